@@ -66,8 +66,8 @@ def shingles(words: np.ndarray, counts: np.ndarray, k: int = 5) -> tuple[np.ndar
     ends = np.cumsum(counts)
     left = np.repeat(ends, counts) - np.arange(n)  # words from here to the row's end
     h = np.zeros(n, U)
-    for j in range(k):
-        h[: n - j] += words[j:] * _MIX[j] if j == 0 else np.where(left[: n - j] > j, words[j:] * _MIX[j], U(0))
+    for j in range(min(k, n)):
+        h[: n - j] += np.where(left[: n - j] > j, words[j:] * _MIX[j], U(0))
     first = np.repeat(ends - counts, counts) == np.arange(n)
     use = (left >= k) | (first & (left < k))
     h += np.where(left < k, left.astype(U) * _MIX[14], U(0))
