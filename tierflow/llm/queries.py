@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm.base import table
+from tierflow.llm import byte_bpe
 from tierflow.llm.near_dup import near_dup
+from tierflow.llm.packing import pack_documents
+from tierflow.llm.wavelet import store_tokens
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup(table(spark, sf_dir, "documents"), 85)
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup,)}
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(byte_bpe.encode_documents(table(spark, sf_dir, "documents")))
+
+
+def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_tokens(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op3_byte_bpe, op5_bm25_packing, op10_wavelet_tokens)}
 ORACLE: dict[str, str] = {}
