@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm.base import table
 from tierflow.llm import byte_bpe
+from tierflow.llm.media import media_features
 from tierflow.llm.near_dup import near_dup
 from tierflow.llm.packing import pack_documents
+from tierflow.llm.warc import roundtrip
 from tierflow.llm.wavelet import store_tokens
 
 
+def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roundtrip(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup(table(spark, sf_dir, "documents"), 85)
 
@@ -19,6 +25,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(byte_bpe.encode_documents(table(spark, sf_dir, "documents")))
 
 
+def op4_media_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_features(table(spark, sf_dir, "documents"))
+
+
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -27,5 +37,5 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_dedup, op3_byte_bpe, op5_bm25_packing, op10_wavelet_tokens)}
+QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op10_wavelet_tokens)}
 ORACLE: dict[str, str] = {}
