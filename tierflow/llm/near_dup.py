@@ -5,9 +5,10 @@ of 256 buckets; a register keeps the leading-zero count and ten mantissa bits of
 seven registers propose candidates (empty registers borrow their value for banding only), the collision-corrected
 estimate sorts them out, and links are confirmed on the full sets.
 
-Scale: equal sets collapse to one node before banding; a band bucket of any size proposes one partner per member first, so
+Scale: equal sets collapse to one node before banding; a band bucket of any size proposes one partner per member first, in a few turns, so
 that large groups of copies become one component in linear work; then only pairs across components of a bucket are made.
-Buckets in which even these would be many are split by the members' other bands. Nothing is capped or dropped.
+Buckets in which even these would be many are compared block against block inside tasks, which emit links alone. Nothing
+is capped or dropped.
 
 Defined cases: null, empty or blank texts have the empty set (n_shingles 0), are kept and linked with nothing; rows that
 share a doc_id are one document; rows with a null doc_id form classes by equal sets only and are not kept unless their
@@ -113,34 +114,77 @@ def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return np.maximum(same - chance, 0) / np.maximum(full - chance, 1e-9)
 
 
+def likely(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """Whether the estimate comes within five deviations of ``least``. Registers that hold most of a union deviate little."""
+    union = (n + m) / (1 + least)
+    full = np.maximum(((x != 0) | (y != 0)).sum(axis=1), 1)
+    sigma = np.sqrt(least * (1 - least) / full * np.clip(1 - full / union, 0.02, 1))
+    return (np.minimum(n, m) >= least * np.maximum(n, m) - 1e-9) & (estimate(x, y, n, m) >= least - 5 * sigma - 1 / full)
+
+
+def overlaps(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+        return False
+    at = np.searchsorted(q, p)
+    both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def _registers(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BUCKETS)
+
+
 def _estimated(batches, least: float):
     for batch in batches:
-        if not len(batch):
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, BUCKETS) for k in ("ra", "rb"))
-        n, m = (batch.column(k).to_numpy().astype(float) for k in ("na", "nb"))
-        sigma = np.sqrt(least * (1 - least) / np.maximum(np.minimum(np.minimum(n, m), BUCKETS), 1))
-        possible = np.minimum(n, m) >= least * np.maximum(n, m) - 1e-9
-        yield batch.filter(pa.array(possible & (estimate(x, y, n, m) >= least - 5 * sigma))).select(["a", "b"])
+        if len(batch):
+            n, m = (batch.column(k).to_numpy().astype(float) for k in ("na", "nb"))
+            yield batch.filter(pa.array(likely(_registers(batch.column("ra")), _registers(batch.column("rb")), n, m, least))).select(["a", "b"])
+
+
+def _block_links(percent: int):
+    return lambda key, table: block_links(key, table, percent)
+
+
+def block_links(key, table: pa.Table, percent: int) -> pa.Table:
+    """The links of one block pair of a bucket, across components; a pair belongs to the first large bucket that it shares."""
+    ids, comp, n, own = (table.column(k).to_numpy() for k in ("id", "comp", "n", "own"))
+    reg = _registers(table.column("registers"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("members")]
+    keys = [set(x) for x in table.column("keys").to_pylist()]
+    this, lo, hi = (x.as_py() for x in key)
+    earlier = [{k for k in x if k < this} for x in keys]
+    left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+    a, b = [], []
+    for i in left.tolist():
+        js = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) if lo == hi else True)]
+        if earlier[i]:
+            js = js[[earlier[i].isdisjoint(earlier[j]) for j in js.tolist()]] if len(js) else js
+        if len(js):
+            js = js[likely(np.broadcast_to(reg[i], (len(js), BUCKETS)), reg[js], np.full(len(js), float(n[i])), n[js].astype(float), percent / 100)]
+        for j in js.tolist():
+            if overlaps(sets[i], sets[j], percent):
+                a.append(int(ids[i]))
+                b.append(int(ids[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _confirmed(batches, percent: int):
     for batch in batches:
-        keep = np.zeros(len(batch), bool)
-        for i, (p, q) in enumerate(zip(batch.column("sa"), batch.column("sb"), strict=True)):
-            p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-            if 100 * min(len(p), len(q)) >= percent * max(len(p), len(q)):
-                at = np.searchsorted(q, p)
-                both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-                keep[i] = 100 * both >= percent * (len(p) + len(q) - both)
+        pairs = zip(batch.column("sa"), batch.column("sb"), strict=True)
+        keep = np.array([overlaps(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64), percent) for p, q in pairs], bool)
         yield batch.filter(pa.array(keep)).select(["a", "b"])
 
 
 class NearDup:
-    """The operator. ``threshold_percent``: least Jaccard similarity of a link, in hundredths."""
+    """The operator. ``threshold_percent``: least Jaccard similarity of a link, in hundredths.
+
+    ``turns``: most turns of one partner per member; they end once the pairs left across components are at most ``linear``
+    for each member. Buckets with more such pairs than that are compared in blocks of about ``block`` members.
+    """
 
-    def __init__(self, threshold_percent: int = 80, split_factor: int = 64):
-        self.percent, self.split_factor = threshold_percent, split_factor
+    def __init__(self, threshold_percent: int = 80, turns: int = 3, linear: int = 16, block: int = 512):
+        self.percent, self.turns, self.linear, self.block = threshold_percent, turns, linear, block
 
     def run(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
@@ -165,39 +209,60 @@ class NearDup:
 
     def _links(self, ws: Workspace, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         keys = nodes.select("id", F.explode("bands").alias("key"))
-        hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
-        members = ws.keep(keys.join(hubs, "key").select("key", "id", "hub"), "members")
+        shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+        members = ws.keep(keys.join(shared, "key"), "members")
         involved = members.select("id").distinct()
         some = nodes.join(involved, "id").select("id", "n", "registers")
         sets = docs.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi").mapInArrow(_full_sets, "id long, members binary")
         sketches, sets = ws.keep(some, "involved"), ws.keep(sets, "sets")
-        # First one partner for each node: the hub that shares most bands with it.
-        stars = members.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("k"))
-        stars = stars.groupBy("id").agg(F.max(F.struct("k", (-F.col("hub")).alias("h"))).alias("best"))
-        first = self._confirm(ws, stars.select(F.col("id").alias("a"), (-F.col("best.h")).alias("b")), sketches, sets, "first")
-        comp = components(ws, first.select(F.col("a").alias("u"), F.col("b").alias("v")), "star")
-        labelled = members.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        labelled = ws.keep(labelled, "labelled")
-        pairs = self._across(ws, labelled, nodes)
-        second = self._confirm(ws, pairs, sketches, sets, "second")
-        ws.drop("members", "labelled", "sets", "involved")
-        return first.unionByName(second)
-
-    def _across(self, ws: Workspace, labelled: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Distinct pairs that share a bucket but not yet a component."""
+        labelled = members.select("key", "id", F.col("id").alias("comp"))
+        links = None
+        for turn in range(self.turns):
+            # One partner for each node: the hub of another component that shares most bands with it.
+            hubs = labelled.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "comp")).alias("hub"))
+            stars = labelled.join(hubs, "key").where(F.col("comp") != F.col("hub.comp")).groupBy("id", F.col("hub.id").alias("hub")).agg(F.count("*").alias("k"))
+            stars = stars.groupBy("id").agg(F.max(F.struct("k", "hub")).alias("best"))
+            found = self._confirm(ws, stars.select(F.col("id").alias("a"), F.col("best.hub").alias("b")), sketches, sets, f"stars{turn}")
+            links = found if links is None else links.unionByName(found)
+            comp = components(ws, links.select(F.col("a").alias("u"), F.col("b").alias("v")), f"star{turn}")
+            labelled = members.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+            labelled = ws.keep(labelled, f"labelled{turn}")
+            n, across = self._mixed(labelled).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("across"), F.lit(0))).first()
+            if across <= self.linear * n:
+                break
+        mixed = ws.keep(self._mixed(labelled).withColumn("large", F.col("across") > self.linear * F.col("n")), "mixed")
+        links = links.unionByName(self._confirm(ws, self._across(labelled, mixed), sketches, sets, "rest"))
+        if mixed.where("large").limit(1).count():
+            links = links.unionByName(self._blocks(ws, labelled, mixed, sketches, sets))
+        ws.drop("members", "sets", "involved", *(f"labelled{k}" for k in range(turn + 1)))
+        return links
+
+    @staticmethod
+    def _mixed(labelled: DataFrame) -> DataFrame:
+        """(key, n, across): members of buckets with several components and the pairs across these."""
         per = labelled.groupBy("key", "comp").agg(F.count("*").alias("k"))
         mixed = per.groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("sq"), F.count("*").alias("comps")).where("comps > 1")
-        mixed = ws.keep(mixed.select("key", ((F.col("n") * F.col("n") - F.col("sq")) / 2 > self.split_factor * F.col("n")).alias("large")), "mixed")
-        left = labelled.join(mixed, "key")
-        small = left.where("not large").select("key", "id", "comp")
-        large = left.where("large").join(nodes.select("id", "bands"), "id")
-        split = large.select(F.explode("bands").alias("other"), "key", "id", "comp").where("other <> key")
-        split = split.select(F.xxhash64("key", "other").alias("key"), "id", "comp")
-        every = ws.keep(small.unionByName(split), "buckets")
+        return mixed.select("key", "n", ((F.col("n") * F.col("n") - F.col("sq")) / 2).alias("across"))
+
+    def _across(self, labelled: DataFrame, mixed: DataFrame) -> DataFrame:
+        """Distinct pairs that share a small bucket but not yet a component."""
+        every = labelled.join(mixed.where("not large").select("key"), "key")
         x = every.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
         y = every.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
         return x.join(y, "key").where("ca <> cb and a < b").select("a", "b").distinct()
 
+    def _blocks(self, ws: Workspace, labelled: DataFrame, mixed: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links across components of the large buckets, block against block: a task emits links alone, never pairs."""
+        every = labelled.join(mixed.where("large").select("key", F.ceil(F.col("n") / self.block).cast("int").alias("blocks")), "key")
+        nodes = every.groupBy("id", "comp").agg(F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("at"))  # at most one key a band
+        nodes = nodes.join(sketches, "id").join(sets, "id").withColumn("keys", F.col("at.key"))
+        rows = nodes.select("id", "comp", "n", "registers", "members", "keys", F.inline("at"))
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        rows = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+        found = rows.groupBy("key", "lo", "hi").applyInArrow(_block_links(self.percent), "a long, b long")
+        return ws.keep(found, "block-links")
+
     def _confirm(self, ws: Workspace, pairs: DataFrame, sketches: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) whose sets reach the threshold; the estimate goes first."""
         for side in "ab":
