@@ -9,6 +9,7 @@ from tierflow.llm import byte_bpe
 from tierflow.llm.media import media_features
 from tierflow.llm.near_dup import near_dup
 from tierflow.llm.packing import pack_documents
+from tierflow.llm.quality import quality
 from tierflow.llm.warc import roundtrip
 from tierflow.llm.wavelet import store_tokens
 
@@ -33,9 +34,13 @@ def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op10_wavelet_tokens)}
+QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op6_weak_supervision, op10_wavelet_tokens)}
 ORACLE: dict[str, str] = {}
