@@ -10,6 +10,7 @@ from tierflow.llm.media import media_features
 from tierflow.llm.near_dup import near_dup
 from tierflow.llm.packing import pack_documents
 from tierflow.llm.quality import quality
+from tierflow.llm.toxicity import toxicity
 from tierflow.llm.warc import roundtrip
 from tierflow.llm.wavelet import store_tokens
 
@@ -42,9 +43,13 @@ def op7_typed_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(table(spark, sf_dir, "conversations"))
 
 
+def op9_fst_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op6_weak_supervision, op7_typed_chat, op10_wavelet_tokens)}
+QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op6_weak_supervision, op7_typed_chat, op9_fst_toxicity, op10_wavelet_tokens)}
 ORACLE: dict[str, str] = {"op7_typed_chat": chat.ORACLE}
