@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm.base import table
-from tierflow.llm import byte_bpe, chat
+from tierflow.llm import byte_bpe, chat, lm
 from tierflow.llm.media import media_features
 from tierflow.llm.near_dup import near_dup
 from tierflow.llm.packing import pack_documents
@@ -43,6 +43,10 @@ def op7_typed_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(table(spark, sf_dir, "conversations"))
 
 
+def op8_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_fst_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,5 +55,5 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op6_weak_supervision, op7_typed_chat, op9_fst_toxicity, op10_wavelet_tokens)}
+QUERIES = {f.__name__: f for f in (op1_warc_segments, op2_minhash_dedup, op3_byte_bpe, op4_media_archive, op5_bm25_packing, op6_weak_supervision, op7_typed_chat, op8_gated_lm, op9_fst_toxicity, op10_wavelet_tokens)}
 ORACLE: dict[str, str] = {"op7_typed_chat": chat.ORACLE}
