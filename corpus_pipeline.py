@@ -1,22 +1,46 @@
-"""The corpus pipeline: toxicity, quality rules, near-duplicates, packing, each stage over what the one before kept."""
+"""The corpus pipeline: toxicity, quality rules, near-duplicates, packing, each stage over what the one before kept.
+
+Rows whose text is null or blank are clean, fail the base quality rule and go there. Extra columns are dropped on entry.
+Rows that repeat a doc_id are one document: the near-duplicate stage keeps one of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierflow.llm.base import Workspace, table
 from tierflow.llm.near_dup import near_dup
+from tierflow.llm.packing import pack_documents
+from tierflow.llm.quality import judge
+from tierflow.llm.toxicity import without_toxic
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the pattern grammar scores at 0.5 or more go."""
+    return without_toxic(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or whose posterior quality is under one half go."""
+    return judge(docs.select(*COLUMNS)).where("_q_kept").select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five words, similarity 0.8) the document with the smallest id stays."""
+    docs = docs.select(*COLUMNS)
     kept = near_dup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of the packed sequences."""
+    return pack_documents(docs)
 
 
-STAGES = [("near_dedup", dedup)]
+STAGES = [("toxicity", toxicity), ("quality", quality), ("near_dedup", near_dedup), ("packing", packing)]
 
 #: DuckDB has no words for the trained stages; tests hold run() against a brute-force version.
 ORACLE_SQL = None
