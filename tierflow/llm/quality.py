@@ -13,7 +13,7 @@ equal verdicts; an empty table gives no rows. Positions and windows work for tex
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -86,53 +86,45 @@ def base_failed() -> Column:
 
 
 class Model:
-    """Class prior and P(vote | class) of each rule; class 1 is quality."""
+    """Class prior and P(vote | class) of each rule; class 1 is quality. ``_q_code`` holds rule * 3 + vote + 1 per rule."""
 
     def __init__(self, prior: float = 0.8):
         self.prior = prior
-        self.table = {r: {1: {1: 0.77, 0: 0.2, -1: 0.03}, 0: {1: 0.45, 0: 0.2, -1: 0.35}} for r in RULES}
+        self.by = {1: [0.03, 0.2, 0.77] * len(RULES), 0: [0.35, 0.2, 0.45] * len(RULES)}
 
     def posterior(self) -> Column:
-        """P(quality | votes) as an expression of the vote columns."""
-        logs = []
-        for name, by in self.table.items():
-            vote = F.col(f"_q_vote_{name}")
-            ratio = {v: F.log(F.lit(by[1][v])) - F.log(F.lit(by[0][v])) for v in (-1, 0, 1)}
-            logs.append(F.when(vote == 1, ratio[1]).when(vote == -1, ratio[-1]).otherwise(ratio[0]))
-        odds = reduce(lambda a, b: a + b, logs) + F.log(F.lit(self.prior / (1 - self.prior)))
+        """P(quality | votes) as an expression of ``_q_code``."""
+        ratios = F.lit([math.log(g / b) for g, b in zip(self.by[1], self.by[0], strict=True)])
+        odds = F.aggregate("_q_code", F.lit(math.log(self.prior / (1 - self.prior))), lambda a, c: a + F.get(ratios, c))
         return 1 / (1 + F.exp(-odds))
 
-    def fit(self, patterns: DataFrame, turns: int = 30, smooth: float = 1.0) -> Model:
-        """EM over (votes, n). A rule never counts as worse than chance: bad documents get at least its share of -1."""
+    def fit(self, patterns: DataFrame, turns: int = 30, smooth: float = 1.0, settled: float = 1e-6) -> Model:
+        """EM over (_q_code, n). A rule never counts as worse than chance: bad documents get at least its share of -1."""
         for _ in range(turns):
-            p = patterns.withColumn("_q_p", self.posterior())
-            good, bad = F.col("_q_p") * F.col("n"), (1 - F.col("_q_p")) * F.col("n")
-            sums = [F.sum(good).alias("g"), F.sum(bad).alias("b")]
-            for name in RULES:
-                for v in (-1, 0, 1):
-                    hit = F.col(f"_q_vote_{name}") == v
-                    sums += [F.sum(F.when(hit, good).otherwise(0.0)).alias(f"{name}/{v}/1"), F.sum(F.when(hit, bad).otherwise(0.0)).alias(f"{name}/{v}/0")]
-            s = p.agg(*sums).first().asDict()
-            if s["g"] is None:
+            p = patterns.select("_q_code", "n", self.posterior().alias("p")).select(F.explode("_q_code").alias("c"), "n", "p")
+            rows = p.groupBy("c").agg(F.sum(F.col("p") * F.col("n")).alias("g"), F.sum((1 - F.col("p")) * F.col("n")).alias("b")).collect()
+            if not rows:
                 return self
-            self.prior = min(max((s["g"] + smooth) / (s["g"] + s["b"] + 2 * smooth), 0.01), 0.99)
-            for name, by in self.table.items():
-                for y, total in ((1, s["g"]), (0, s["b"])):
-                    for v in (-1, 0, 1):
-                        by[y][v] = (s[f"{name}/{v}/{y}"] + smooth) / (total + 3 * smooth)
-                by[0][-1] = max(by[0][-1], by[1][-1])
-                by[1][1] = max(by[1][1], by[0][1])
+            sums, before = {r["c"]: (r["g"], r["b"]) for r in rows}, (self.prior, *self.by[1], *self.by[0])
+            good, bad = (sum(sums.get(c, (0, 0))[k] for c in range(3)) for k in (0, 1))  # each row votes once per rule
+            self.prior = min(max((good + smooth) / (good + bad + 2 * smooth), 0.01), 0.99)
+            for y, k, total in ((1, 0, good), (0, 1, bad)):
+                self.by[y] = [(sums.get(c, (0, 0))[k] + smooth) / (total + 3 * smooth) for c in range(3 * len(RULES))]
+            for c in range(0, 3 * len(RULES), 3):
+                self.by[0][c] = max(self.by[0][c], self.by[1][c])
+                self.by[1][c + 2] = max(self.by[1][c + 2], self.by[0][c + 2])
+            if max(abs(x - y) for x, y in zip(before, (self.prior, *self.by[1], *self.by[0]), strict=True)) < settled:
+                break
         return self
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` plus the ``_q_`` statistics, votes, ``_q_base_failed``, ``_q_posterior`` and ``_q_kept``."""
     ws = Workspace(docs.sparkSession, "quality")
-    judged = ws.keep(votes(statistics(docs)).withColumn("_q_base_failed", base_failed()), "votes")
-    names = [f"_q_vote_{r}" for r in RULES]
-    patterns = ws.keep(judged.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "patterns")
-    model = Model().fit(patterns)
-    judged = judged.withColumn("_q_posterior", model.posterior())
+    code = F.array(*((F.col(f"_q_vote_{r}") + (3 * k + 1)).cast("int") for k, r in enumerate(RULES)))
+    judged = ws.keep(votes(statistics(docs)).withColumn("_q_base_failed", base_failed()).withColumn("_q_code", code), "votes")
+    patterns = ws.keep(judged.groupBy("_q_code").agg(F.count("*").alias("n")).coalesce(1), "patterns")
+    judged = judged.withColumn("_q_posterior", Model().fit(patterns).posterior())
     return judged.withColumn("_q_kept", ~F.col("_q_base_failed") & (F.col("_q_posterior") >= 0.5))
 
 
