@@ -1,6 +1,255 @@
-"""Every query of the library by operator id, with the SQL each is held against."""
+"""Every query of the library by operator id, with the SQL each is held against in DuckDB."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tierflow import functions as fn, schemas
+from tierflow.model import ORACLE as MODEL_SQL, derive
+from tierflow.operators import exports, reports, sampling, stats, upsert, workqueue as wq
+from tierflow.plans import bodies_with_district, chain, preagg_left_join
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+AS_OF = "2001-07-25 00:00:00"
+DAY = 1440
+CHAIN_SQL = "P JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id"
+
+
+def as_of() -> F.Column:
+    return F.expr(f"timestamp_ntz '{AS_OF}'")
+
+
+def add(name: str, sql: str | None, model: bool = True):
+    """Registers a function of the model (or of session and directory) under ``name``; ``sql`` follows the model's views."""
+
+    def put(make):
+        QUERIES[name] = (lambda spark, sf_dir: make(derive(spark, sf_dir))) if model else make
+        if sql:
+            ORACLE[name] = (MODEL_SQL + sql) if model else sql
+        return make
+
+    return put
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- scans, counts ---------------------------------------------------------------------------------------------------
+add("A26_table_counts", "SELECT * FROM (SELECT 'scrape_runs' AS table_name, count(*) AS n FROM R UNION ALL SELECT 'districts', count(*) FROM D UNION ALL SELECT 'local_bodies', count(*) FROM LB UNION ALL SELECT 'projects', count(*) FROM P UNION ALL SELECT 'pdfs', count(*) FROM PDF)")(reports.table_counts)
+for key, view, column, pick in (("D01_districts_by_status", "D", "status", lambda m: m.districts), ("D01_bodies_by_status", "LB", "status", lambda m: m.bodies), ("D02_projects_by_status", "P", "pdf_status", lambda m: m.projects), ("D03_pdfs_by_status", "PDF", "status", lambda m: m.pdfs)):
+    add(key, f"SELECT {column} AS status, count(*) AS n FROM {view} GROUP BY 1")(lambda m, pick=pick, column=column: reports.count_by(pick(m), column))
+
+
+def counters(column: str, **names: str) -> str:
+    return ", ".join(f"count(*) FILTER ({column} IN ({', '.join(repr(x) for x in v.split())})) AS {k}" for k, v in names.items())
+
+
+FOUR = {"done": "DONE", "in_progress": "IN_PROGRESS", "pending": "PENDING"}
+FIVE = {"downloaded": "DOWNLOADED", "missing": "MISSING", "pending": "PENDING", "errors": "ERROR"}
+add("D04_districts_by_year", f"SELECT year_label, count(*) AS total, {counters('status', done='DONE')} FROM D GROUP BY 1")(reports.districts_by_year)
+add("D05_bodies_by_year", f"SELECT D.year_label, count(*) AS total, {counters('LB.status', **FOUR)} FROM LB JOIN D ON LB.district_id = D.id GROUP BY 1")(reports.bodies_by_year)
+add("D06_districts_by_year_district", f"SELECT year_label, district_name, count(*) AS total, {counters('status', **FOUR)} FROM D GROUP BY 1, 2")(reports.districts_by_year_district)
+add("D07_bodies_by_year_district", f"SELECT D.year_label, D.district_name, count(*) AS total, {counters('LB.status', **FOUR)} FROM LB JOIN D ON LB.district_id = D.id GROUP BY 1, 2")(reports.bodies_by_year_district)
+add("D08_pdfs_by_year", f"SELECT D.year_label, count(*) AS total, {counters('P.pdf_status', **FIVE)} FROM {CHAIN_SQL} GROUP BY 1")(reports.pdfs_by_year)
+add("D09_pdfs_by_year_district", f"SELECT D.year_label, D.district_name, count(*) AS total, {counters('P.pdf_status', **FIVE)} FROM {CHAIN_SQL} GROUP BY 1, 2")(reports.pdfs_by_year_district)
+add("D10_total_counts", "SELECT count(*) AS d, (SELECT count(*) FROM LB) AS b, (SELECT count(*) FROM P) AS p FROM D")(lambda m: reports.level_totals(m).select("d", "b", "p"))
+for key, column in (("D13_by_district_name", "district_name"), ("D14_by_year_label", "year_label"), ("D15_by_lb_type_label", "lb_type_label")):
+    # The oracle keeps the correlated form.
+    sql = f"""SELECT g.{column}, count(*) AS total, {counters('g.status', done='DONE', pending='PENDING', errors='ERROR')},
+      CAST(sum(coalesce(g.num_local_bodies, 0)) AS BIGINT) AS local_bodies, CAST(sum(g.num_projects) AS BIGINT) AS expected,
+      (SELECT count(*) FROM P JOIN LB ON P.local_body_id = LB.id JOIN D AS d2 ON LB.district_id = d2.id WHERE d2.{column} = g.{column}) AS projects
+      FROM D AS g GROUP BY g.{column}"""
+    add(key, sql)(lambda m, column=column: reports.by_name(m, column))
+add("C05_preaggregated_count", "SELECT D.id, (SELECT count(*) FROM LB WHERE LB.district_id = D.id) AS bodies FROM D")(lambda m: preagg_left_join(m.districts.select(F.col("id").alias("district_id")), m.bodies, "district_id", "bodies").withColumnRenamed("district_id", "id"))
+add("D16_body_progress", "SELECT CAST(sum(expected_projects) AS BIGINT) AS expected, CAST(sum(scraped_projects) AS BIGINT) AS scraped, count(*) FILTER (expected_projects > scraped_projects) AS behind, CAST(max(expected_projects - scraped_projects) AS BIGINT) AS most_behind, round(avg(expected_projects - scraped_projects), 4) AS mean_behind FROM LB")(lambda m: reports.body_progress(m).withColumn("most_behind", F.col("most_behind").cast("long")))
+add("D17_upload_summary", "SELECT status, count(*) AS n, CAST(coalesce(sum(file_size_bytes), 0) AS BIGINT) AS bytes, round(avg(file_size_bytes), 2) AS mean_bytes, count(DISTINCT content_hash) AS contents FROM PDF GROUP BY 1")(reports.upload_summary)
+WINDOWS = (7 * DAY, 30 * DAY, 365 * DAY)
+
+
+def fail_sql() -> str:
+    parts = []
+    for m in WINDOWS:
+        inside = f"pdf_last_attempt_at >= TIMESTAMP '{AS_OF}' - INTERVAL {m} MINUTE"
+        f, a = f"count(*) FILTER ({inside} AND pdf_status IN ('MISSING', 'ERROR'))", f"count(*) FILTER ({inside} AND pdf_status IN ('DOWNLOADED', 'MISSING', 'ERROR'))"
+        parts += [f"{f} AS failed_{m}", f"{a} AS attempted_{m}", f"CASE WHEN {a} > 0 THEN round({f} / {a} * 100, 2) ELSE 0 END AS rate_{m}"]
+    return f"SELECT {', '.join(parts)} FROM P"
+
+
+def upload_sql() -> str:
+    cut = lambda m: f"uploaded_at > TIMESTAMP '{AS_OF}' - INTERVAL {m} MINUTE"
+    each = ", ".join(f"count(*) FILTER ({cut(m)}) AS uploads_{m}" for m in WINDOWS)
+    return f"SELECT count(*) AS uploaded, CAST(coalesce(sum(file_size_bytes), 0) AS BIGINT) AS bytes, {each}, CAST(coalesce(sum(file_size_bytes) FILTER ({cut(max(WINDOWS))}), 0) AS BIGINT) AS bytes_last FROM PDF WHERE status = 'UPLOADED'"
+
+
+add("D12_fail_rates", fail_sql())(lambda m: reports.fail_rates(m, as_of(), WINDOWS))
+add("D19_upload_rates", upload_sql())(lambda m: reports.upload_rates(m, as_of(), WINDOWS))
+add("D22_year_rollup", f"SELECT D.year_label, D.district_name, count(*) AS total, {counters('LB.status', done='DONE')}, CAST(grouping(D.year_label) * 2 + grouping(D.district_name) AS INT) AS level FROM LB JOIN D ON LB.district_id = D.id GROUP BY ROLLUP (D.year_label, D.district_name)")(reports.year_rollup)
+add("D24_pdfs_by_group", f"SELECT D.district_name, D.lb_type_label, count(*) AS n, string_agg(PDF.id, ',' ORDER BY PDF.id) AS ids FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id GROUP BY 1, 2")(
+    lambda m: m.pdfs.join(chain(m, "p_id", "d_district_name", "d_lb_type_label"), F.col("project_id") == F.col("p_id")).groupBy(F.col("d_district_name").alias("district_name"), F.col("d_lb_type_label").alias("lb_type_label")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
+)
+FAIL = "count(*) AS total, count(*) FILTER (pdf_status = 'DOWNLOADED') AS downloaded, count(*) FILTER (pdf_status IN ('MISSING', 'ERROR')) AS failed, count(*) FILTER (pdf_status IN ('DOWNLOADED', 'MISSING', 'ERROR')) AS attempted"
+add("L10_by_year_failure", f", g AS (SELECT CASE WHEN grouping(D.year_label) = 1 THEN 'TOTAL' ELSE D.year_label END AS year_label, {FAIL} FROM {CHAIN_SQL} GROUP BY ROLLUP (D.year_label)) SELECT *, CASE WHEN attempted > 0 THEN round(failed / attempted * 100, 1) ELSE 0 END AS fail_pct, CASE WHEN total > 0 THEN round(attempted / total * 100, 1) ELSE 0 END AS attempted_pct FROM g")(reports.by_year_failure)
+ORACLE["D11_stats_by_year"] = ORACLE["L10_by_year_failure"] + " WHERE year_label <> 'TOTAL'"
+QUERIES["D11_stats_by_year"] = lambda spark, sf_dir: reports.by_year_failure(derive(spark, sf_dir)).where("year_label <> 'TOTAL'")
+
+# --- joins -----------------------------------------------------------------------------------------------------------
+add("C01_bodies_districts", "SELECT LB.id, D.year_val, D.district_name FROM LB JOIN D ON LB.district_id = D.id")(lambda m: bodies_with_district(m).select(F.col("lb_id").alias("id"), F.col("d_year_val").alias("year_val"), F.col("d_district_name").alias("district_name")))
+add("C02_project_chain", f"SELECT P.id, LB.lb_name, D.district_name FROM {CHAIN_SQL}")(lambda m: chain(m).select(F.col("p_id").alias("id"), F.col("lb_lb_name").alias("lb_name"), F.col("d_district_name").alias("district_name")))
+add("C06_year_type_product", "SELECT y.year_val, t.lb_type_val FROM (SELECT DISTINCT year_val FROM D) y CROSS JOIN (SELECT DISTINCT lb_type_val FROM D) t")(lambda m: m.districts.select("year_val").distinct().crossJoin(m.districts.select("lb_type_val").distinct()))
+add("C07_undiscovered", "SELECT y.year_val, t.lb_type_val FROM (SELECT DISTINCT year_val FROM D) y CROSS JOIN (SELECT DISTINCT lb_type_val FROM D) t WHERE NOT EXISTS (SELECT 1 FROM D AS x WHERE x.year_val = y.year_val AND x.lb_type_val = t.lb_type_val AND x.year_val < 2000)")(lambda m: wq.undiscovered(m.districts.select("year_val").distinct(), m.districts.select("lb_type_val").distinct(), m.districts.where("year_val < 2000")))
+add("C08_without_upload", "SELECT id FROM P WHERE id NOT IN (SELECT project_id FROM PDF WHERE status = 'UPLOADED')")(lambda m: wq.without_upload(m).select("id"))
+add("C08_with_upload", "SELECT id FROM P WHERE id IN (SELECT project_id FROM PDF WHERE status = 'UPLOADED')")(lambda m: wq.with_upload(m).select("id"))
+
+# --- work queue ------------------------------------------------------------------------------------------------------
+add("B06_pending_districts", "SELECT id, year_val, status, retry_count FROM D WHERE status IN ('PENDING', 'ERROR') AND retry_count < 3 ORDER BY year_val DESC, lb_type_val, district_index LIMIT 50")(lambda m: wq.pending_districts(m, 50).select("id", "year_val", "status", "retry_count"))
+add("B07_pending_bodies", "SELECT LB.id, LB.status, LB.retry_count FROM LB JOIN D ON LB.district_id = D.id WHERE LB.status IN ('PENDING', 'PARTIAL', 'ERROR') AND LB.retry_count < 3 ORDER BY D.year_val DESC, D.id, lb_index LIMIT 100")(lambda m: wq.pending_bodies(m, 100).select("id", "status", "retry_count"))
+add("B08_pending_projects", f"SELECT P.id, P.pdf_status, P.project_no FROM {CHAIN_SQL} WHERE P.pdf_status IN ('PENDING', 'ERROR') AND P.pdf_retry_count < 3 ORDER BY D.year_val DESC, LB.id, P.project_no LIMIT 500")(lambda m: wq.pending_projects(m, 500).select("id", "pdf_status", "project_no"))
+add("B09_pending_of_body", "SELECT id, page_number, project_no, pdf_status FROM P WHERE local_body_id = '1998-899' AND pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR') AND pdf_retry_count < 3")(lambda m: wq.pending_projects_of(m, "1998-899").select("id", "page_number", "project_no", "pdf_status"))
+add("B10_no_limit", "SELECT id FROM D WHERE status IN ('PENDING', 'ERROR') AND retry_count < 3")(lambda m: wq.pending_districts(m, 0).select("id"))
+add("D21_bodies_with_pending_pdfs", f"SELECT DISTINCT P.local_body_id, D.year_val FROM {CHAIN_SQL} WHERE P.pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR') AND P.pdf_retry_count < 3 ORDER BY year_val DESC, local_body_id LIMIT 200")(lambda m: wq.bodies_with_pending_pdfs(m, 200))
+add("D21_waiting_per_body", "SELECT local_body_id, count(*) AS waiting FROM P WHERE pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR') AND pdf_retry_count < 3 GROUP BY 1")(reports.pending_bodies_with_pdfs)
+add("H11_claim_batch", "SELECT CASE WHEN id IN (SELECT id FROM D WHERE status IN ('PENDING', 'ERROR') AND retry_count < 3 ORDER BY year_val DESC, lb_type_val, district_index LIMIT 100) THEN 'IN_PROGRESS' ELSE status END AS status, count(*) AS n FROM D GROUP BY 1")(lambda m: reports.count_by(wq.claim(m.districts, wq.pending_districts(m, 100))[1], "status"))
+add("B01_by_id", "SELECT id, district_name FROM D WHERE id = '1997-3-15'")(lambda m: wq.by_key(m.districts, id="1997-3-15").select("id", "district_name"))
+add("B02_by_identity", "SELECT id, status FROM D WHERE year_val = 1997 AND lb_type_val = 3 AND district_index = 16")(lambda m: wq.by_key(m.districts, year_val=1997, lb_type_val=3, district_index=16).select("id", "status"))
+add("B03_pdf_of_project", "SELECT id, status FROM PDF WHERE project_id = '12222'")(lambda m: wq.by_key(m.pdfs, project_id="12222").select("id", "status"))
+add("B04_by_hash", "SELECT id FROM PDF WHERE content_hash = sha256('12222') ORDER BY id LIMIT 1")(lambda m: m.pdfs.where(F.col("content_hash") == F.sha2(F.lit("12222"), 256)).orderBy("id").limit(1).select("id"))
+add("B05_children", "SELECT id, district_index FROM D WHERE year_val = 1997 AND lb_type_val = 3")(lambda m: m.districts.where("year_val = 1997 AND lb_type_val = 3").orderBy("district_index").select("id", "district_index"))
+add("B15_stuck", f"SELECT id FROM P WHERE pdf_status = 'DOWNLOADING' AND (pdf_last_attempt_at IS NULL OR pdf_last_attempt_at < TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY)")(lambda m: m.projects.where(upsert.stuck(as_of(), 365 * DAY)).select("id"))
+add("DQ_unique_keys", "SELECT * FROM (SELECT CAST(year_val AS VARCHAR) AS k, count(*) AS n FROM D GROUP BY year_val, lb_type_val, district_index) WHERE n > 1")(lambda m: wq.duplicates(m.districts, "year_val", "lb_type_val", "district_index").select(F.col("year_val").cast("string").alias("k"), "n"))
+add("F06_latest_runs", "SELECT id, status, current_phase, substr(id, 1, 8) AS short_id FROM R ORDER BY created_at DESC, id LIMIT 3")(lambda m: reports.latest_runs(m, 3).select("id", "status", "current_phase", fn.prefix(F.col("id"), 8).alias("short_id")))
+add("F12_years", "SELECT DISTINCT year_val, year_label FROM D")(lambda m: m.districts.select("year_val", "year_label").distinct().orderBy(F.desc("year_val")))
+add("B20_year_label", "SELECT min(year_label) AS year_label FROM D WHERE year_val = 1998")(lambda m: m.districts.where("year_val = 1998").agg(F.min("year_label").alias("year_label")))
+
+# --- derived status --------------------------------------------------------------------------------------------------
+ERRORS = """, e AS (SELECT * FROM (SELECT 'District' AS type, district_name AS name, error_message AS error, last_processed_at AS seen, id FROM D WHERE status = 'ERROR' ORDER BY seen DESC NULLS FIRST, id LIMIT 3)
+ UNION ALL SELECT * FROM (SELECT 'LocalBody', lb_name, error_message, last_scraped_at AS seen, id FROM LB WHERE status = 'ERROR' ORDER BY seen DESC NULLS FIRST, id LIMIT 3)
+ UNION ALL SELECT * FROM (SELECT 'Project', project_name, 'no file for ' || id, pdf_last_attempt_at AS seen, id FROM P WHERE pdf_status = 'ERROR' ORDER BY seen DESC NULLS FIRST, id LIMIT 3))
+ SELECT type, name, error, id FROM e ORDER BY seen DESC NULLS LAST, type, id LIMIT 5"""
+add("E07_recent_errors", ERRORS)(lambda m: reports.recent_errors(m).drop("at"))
+
+
+def phase_sql(k: int, view: str, column: str, pending: str, progress: str, done: str) -> str:
+    c = counters(column, pending=pending, in_progress=progress, done=done, errors="ERROR")
+    return f"SELECT {k} AS phase, count(*) AS total, {c} FROM {view}"
+
+
+PHASES = " UNION ALL ".join([phase_sql(1, "D", "status", "PENDING", "IN_PROGRESS", "DONE"), phase_sql(2, "LB", "status", "PENDING PARTIAL", "IN_PROGRESS", "DONE"), phase_sql(3, "LB", "status", "PENDING PARTIAL", "IN_PROGRESS", "DONE"), phase_sql(4, "P", "pdf_status", "PENDING", "DOWNLOADING", "DOWNLOADED MISSING")])
+add("L01_phase_status", f", ph AS ({PHASES}) SELECT *, total > 0 AND pending = 0 AND in_progress = 0 AS is_complete, CASE WHEN total > 0 THEN round(done / total * 100, 1) ELSE 0 END AS progress_pct FROM ph")(reports.phase_status)
+add("L11_gating", f", ph AS ({PHASES}) SELECT phase, coalesce(lag(total) OVER (ORDER BY phase), 1) > 0 AS may_run, total > 0 AND pending = 0 AND in_progress = 0 AS skip FROM ph")(reports.gating)
+HAS = lambda view, column, value: f"(SELECT count(*) FROM {view} WHERE {column} = '{value}')"
+ALL = lambda view: f"(SELECT count(*) FROM {view})"
+add("L05_pipeline_status", f"SELECT {HAS('D', 'status', 'DONE')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0 AS phase1, {HAS('LB', 'status', 'DONE')} > 0 AND {HAS('LB', 'status', 'PENDING')} = 0 AS phase2, {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADED')} > 0 AS phase3")(reports.pipeline_status)
+add("L06_progress_report", f"SELECT {ALL('D')} > 0 AS phase1_complete, round({HAS('D', 'status', 'DONE')} / {ALL('D')} * 100, 1) AS phase2_pct, {HAS('D', 'status', 'DONE')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0 AS phase2_complete, round({HAS('LB', 'status', 'DONE')} / {ALL('LB')} * 100, 1) AS phase3_pct, {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADED')} > 0 AS phase3_complete, round(({HAS('P', 'pdf_status', 'DOWNLOADED')} + {HAS('P', 'pdf_status', 'MISSING')}) / {ALL('P')} * 100, 1) AS phase4_pct")(reports.progress_report)
+add("L07_completeness", f"SELECT {ALL('D')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0 AND {HAS('D', 'status', 'IN_PROGRESS')} = 0 AS districts_complete, {ALL('LB')} > 0 AND {HAS('LB', 'status', 'PENDING')} = 0 AND {HAS('LB', 'status', 'IN_PROGRESS')} = 0 AND {HAS('LB', 'status', 'PARTIAL')} = 0 AS bodies_complete, {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADING')} = 0 AS projects_complete")(reports.completeness)
+WORDS = lambda done, some: f"CASE WHEN {done} THEN 'Complete' WHEN {some} THEN 'In Progress' ELSE 'Not Started' END"
+add("L08_summary", f"SELECT {WORDS(ALL('D') + ' > 0 AND ' + HAS('D', 'status', 'DONE') + ' = ' + ALL('D'), ALL('D') + ' > 0')} AS phase1, {WORDS(ALL('LB') + ' > 0 AND ' + HAS('LB', 'status', 'DONE') + ' = ' + ALL('LB'), ALL('LB') + ' > 0')} AS phase2, {WORDS(ALL('P') + ' > 0 AND ' + HAS('LB', 'status', 'DONE') + ' + ' + HAS('LB', 'status', 'ERROR') + ' = ' + ALL('LB'), ALL('P') + ' > 0')} AS phase3, {WORDS(ALL('PDF') + ' > 0 AND ' + HAS('PDF', 'status', 'UPLOADED') + ' = ' + ALL('PDF'), ALL('PDF') + ' > 0')} AS phase4")(reports.summary)
+add("L09_kpis", f", u AS (SELECT count(*) AS uploaded, CAST(sum(file_size_bytes) AS BIGINT) AS bytes, count(*) FILTER (uploaded_at > TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY) AS uploads FROM PDF WHERE status = 'UPLOADED'), l AS (SELECT count(*) FILTER (pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR')) AS remaining, count(*) AS projects FROM P) SELECT u.*, l.*, CASE WHEN uploads > 0 THEN round(remaining / (uploads / {365 * DAY}.0 * 60), 2) END AS hours_remaining FROM u, l")(lambda m: reports.kpis(m, as_of(), 365 * DAY))
+
+# --- exports ---------------------------------------------------------------------------------------------------------
+add(
+    "A14_flat_export",
+    f"SELECT D.year_label, D.lb_type_label, D.district_name, D.district_index, LB.lb_name AS local_body_name, LB.lb_index AS local_body_index, P.project_no, P.project_name, P.formulation, P.expense, P.pdf_status, P.pdf_status = 'DOWNLOADED' AS pdf_downloaded, PDF.gcs_path, PDF.file_size_bytes, PDF.status AS upload_status, PDF.uploaded_at, D.lb_type_val FROM {CHAIN_SQL} LEFT JOIN PDF ON PDF.project_id = P.id WHERE D.year_val = 1997 AND D.district_name ILIKE '%ation_1%'",
+)(lambda m: exports.flat_order(exports.flat(m, 1997, "ation_1")))
+add("A15_flat_all", f"SELECT D.year_label, count(*) AS n, count(PDF.id) AS with_pdf, CAST(sum(PDF.file_size_bytes) AS BIGINT) AS bytes FROM {CHAIN_SQL} LEFT JOIN PDF ON PDF.project_id = P.id GROUP BY 1")(lambda m: exports.flat(m).groupBy("year_label").agg(F.count("*").alias("n"), F.count("gcs_path").alias("with_pdf"), F.sum("file_size_bytes").alias("bytes")))
+add("A16_districts_export", "SELECT id, year_val, year_label, lb_type_val, lb_type_label, district_index, district_name, num_local_bodies, num_projects, status, retry_count FROM D")(exports.districts)
+add("A17_bodies_export", "SELECT LB.id, D.year_label, D.lb_type_label, D.district_name, LB.lb_index, LB.lb_name, LB.expected_projects, LB.scraped_projects, LB.status FROM LB JOIN D ON LB.district_id = D.id")(exports.bodies)
+add("A18_projects_export", f"SELECT P.id, D.year_label, D.district_name, LB.lb_name, P.project_no, P.project_name, P.formulation, P.expense, P.page_number, P.pdf_status FROM {CHAIN_SQL}")(exports.projects)
+add("A19_pdfs_export", "SELECT PDF.id, D.year_label, D.district_name, LB.lb_name, P.project_no, PDF.gcs_path, PDF.file_size_bytes, PDF.content_hash, PDF.status FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id")(exports.pdfs)
+
+# --- upserts and transitions -----------------------------------------------------------------------------------------
+
+
+def _project_source(m) -> DataFrame:
+    """Three passes over every seventh project and some new ones."""
+    old = m.projects.where("cast(id as bigint) % 7 = 0").crossJoin(m.projects.sparkSession.range(3).withColumnRenamed("id", "pass"))
+    old = old.withColumn("project_name", F.concat("project_name", F.lit(" pass "), "pass")).withColumn("expense", F.lit(None).cast("string")).withColumn("page_number", F.lit(99))
+    new = m.projects.where("cast(id as bigint) % 100 = 1").withColumn("project_no", F.concat(F.lit("N"), "project_no")).withColumn("id", F.concat(F.lit("N"), "id")).withColumn("pass", F.lit(0).cast("long"))
+    return old.unionByName(new).withColumn("pdf_status", F.lit("PENDING"))
+
+
+add(
+    "H03_project_upsert",
+    """, s AS (SELECT id, local_body_id, project_no, project_name || ' pass 2' AS project_name FROM P WHERE CAST(id AS BIGINT) % 7 = 0)
+ SELECT P.id, P.project_no, coalesce(s.project_name, P.project_name) AS project_name, CASE WHEN s.id IS NULL THEN P.expense END AS expense, P.page_number, P.pdf_status
+ FROM P LEFT JOIN s ON P.local_body_id = s.local_body_id AND P.project_no = s.project_no
+ UNION ALL SELECT 'N' || id, 'N' || project_no, project_name, expense, page_number, 'PENDING' FROM P WHERE CAST(id AS BIGINT) % 100 = 1""",
+)(lambda m: upsert.upsert_table("projects", m.projects, _project_source(m), "pass").select("id", "project_no", "project_name", "expense", "page_number", "pdf_status"))
+add("H01_district_upsert", "SELECT id, status, num_projects + 1 AS num_projects, district_name || '!' AS district_name FROM D")(lambda m: upsert.upsert_table("districts", m.districts, m.districts.withColumn("num_projects", F.col("num_projects") + 1).withColumn("district_name", F.concat("district_name", F.lit("!"))).withColumn("status", F.lit("PENDING"))).select("id", "status", F.col("num_projects").cast("long").alias("num_projects"), "district_name"))
+add("H02_body_upsert", "SELECT id, status, expected_projects * 2 AS expected_projects FROM LB")(lambda m: upsert.upsert_table("local_bodies", m.bodies, m.bodies.withColumn("expected_projects", F.col("expected_projects") * 2).withColumn("status", F.lit("PENDING"))).select("id", "status", F.col("expected_projects").cast("long").alias("expected_projects")))
+add(
+    "H05_district_transition",
+    "SELECT id, CASE WHEN status = 'PENDING' THEN 'ERROR' WHEN status = 'IN_PROGRESS' THEN 'DONE' ELSE status END AS status, CASE WHEN status = 'PENDING' THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN status = 'PENDING' THEN 'again' ELSE error_message END AS error_message FROM D",
+)(
+    lambda m: upsert.transition(
+        m.districts, m.districts.where("status IN ('PENDING', 'IN_PROGRESS')").select("id", F.when(F.col("status") == "PENDING", "ERROR").otherwise("DONE").alias("to"), F.lit("again").alias("message"), as_of().alias("ts"))
+    ).select("id", "status", "retry_count", "error_message")
+)
+add("H06_body_progress", "SELECT id, status, CASE WHEN status = 'PARTIAL' THEN 9 ELSE last_page_scraped END AS last_page_scraped FROM LB")(lambda m: upsert.set_progress(m.bodies, m.bodies.where("status = 'PARTIAL'").select("id", F.lit(9).alias("page"), F.lit(1).alias("scraped"))).select("id", "status", "last_page_scraped"))
+add("H08_mark_children", "SELECT CASE WHEN pdf_status IN ('PENDING', 'ERROR') AND local_body_id IN (SELECT id FROM LB WHERE status = 'DONE') THEN 'DOWNLOADING' ELSE pdf_status END AS status, count(*) AS n FROM P GROUP BY 1")(lambda m: reports.count_by(upsert.mark_children(m.projects, m.bodies.where("status = 'DONE'"), ("PENDING", "ERROR"), "DOWNLOADING")[0], "pdf_status"))
+STUCK = f"pdf_status = 'DOWNLOADING' AND (pdf_last_attempt_at IS NULL OR pdf_last_attempt_at < TIMESTAMP '{AS_OF}' - INTERVAL 1000 DAY)"
+add("H10_reset_stuck", f"SELECT CASE WHEN {STUCK} THEN 'PENDING' ELSE pdf_status END AS status, count(*) AS n FROM P GROUP BY 1")(lambda m: reports.count_by(upsert.reset_stuck(m.projects, as_of(), 1000 * DAY), "pdf_status"))
+add("H10_dry_run", f"SELECT count(*) FILTER ({STUCK}) AS stuck FROM P")(lambda m: upsert.count_stuck(m.projects, as_of(), 1000 * DAY))
+add(
+    "E06_circuit_breaker",
+    """, a AS (SELECT *, D.id AS g, row_number() OVER (PARTITION BY LB.district_id ORDER BY P.page_number, P.project_no) AS rn, sum(CASE WHEN P.pdf_status = 'ERROR' THEN 0 ELSE 1 END) OVER (PARTITION BY LB.district_id ORDER BY P.page_number, P.project_no) AS ok, P.id AS pid FROM """
+    + CHAIN_SQL
+    + """), b AS (SELECT *, count(*) FILTER (pdf_status = 'ERROR') OVER (PARTITION BY g, ok ORDER BY page_number, project_no) AS run FROM a), c AS (SELECT g, min(rn) AS stop FROM b WHERE run >= 2 GROUP BY g)
+ SELECT b.g AS district_id, b.pid AS id FROM b LEFT JOIN c ON b.g = c.g WHERE c.stop IS NULL OR b.rn <= c.stop""",
+)(lambda m: upsert.circuit_breaker(chain(m).select(F.col("d_id").alias("district_id"), F.col("p_id").alias("id"), F.col("p_page_number").alias("page_number"), F.col("p_project_no").alias("project_no"), F.col("p_pdf_status").alias("pdf_status")), "district_id", run=2).select("district_id", "id"))
+
+# --- samples and statistics ------------------------------------------------------------------------------------------
+LOT = lambda seed, key="id": f"sha256({key} || '/{seed}')"
+add("K01_sample", f"SELECT id FROM P ORDER BY {LOT(7)}, id LIMIT 100")(lambda m: sampling.sample(m.projects, 100, 7).select("id"))
+add("K02_children_sample", f"SELECT id FROM LB WHERE district_id = '1997-3-15' ORDER BY {LOT(7)}, id LIMIT 5")(lambda m: sampling.children(m.bodies, "district_id", "1997-3-15", 5, 7).select("id"))
+add("E01_per_parent_sample", f"SELECT id, district_id FROM LB QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY {LOT(3)}, id) <= 2")(lambda m: sampling.per_group(m.bodies, 2, ("district_id",), 3).select("id", "district_id"))
+add("K04_strata", f"SELECT PDF.id, D.district_name, D.lb_type_label FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id WHERE PDF.status = 'UPLOADED' AND D.year_label = '1997-1998' QUALIFY row_number() OVER (PARTITION BY D.district_name, D.lb_type_label ORDER BY {LOT(1, 'PDF.id')}, PDF.id) <= 2")(lambda m: sampling.uploaded_strata(m, "1997-1998", 2, 1).select("id", "district_name", "lb_type_label"))
+add(
+    "K05_cascade",
+    f""", d3 AS (SELECT id FROM D ORDER BY {LOT(5)}, id LIMIT 3), b3 AS (SELECT LB.id, district_id FROM LB JOIN d3 ON LB.district_id = d3.id QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY {LOT(5, 'LB.id')}, LB.id) <= 3)
+ SELECT b3.district_id, b3.id AS local_body_id, P.id AS project_id FROM P JOIN b3 ON P.local_body_id = b3.id QUALIFY row_number() OVER (PARTITION BY b3.id ORDER BY {LOT(5, 'P.id')}, P.id) <= 3""",
+)(lambda m: sampling.cascade(m, 3, 5))
+add("K06_size_bands", f", q AS (SELECT quantile_cont(file_size_bytes, [0.45, 0.55, 0.95, 0.99]) AS q FROM PDF), b AS (SELECT id, file_size_bytes, CASE WHEN file_size_bytes BETWEEN q[1] AND q[2] THEN 'median' WHEN file_size_bytes > q[4] THEN 'top99' WHEN file_size_bytes > q[3] THEN 'top95' END AS band FROM PDF, q) SELECT * FROM (SELECT id, band, file_size_bytes FROM b WHERE band = 'median' ORDER BY {LOT(2)}, id LIMIT 50) UNION ALL SELECT * FROM (SELECT id, band, file_size_bytes FROM b WHERE band IN ('top95', 'top99') ORDER BY band DESC, {LOT(2)}, id LIMIT 50)")(lambda m: sampling.by_size(m, 50, 2))
+Q = ", ".join(f"round(quantile_cont(file_size_bytes, {p}), 3) AS {'p' + f'{p * 100:g}'.replace('.', '_')}" for p in stats.LEVELS)
+add("D27_size_percentiles", f"SELECT count(*) AS n, min(file_size_bytes) AS min, max(file_size_bytes) AS max, round(avg(file_size_bytes), 3) AS mean, round(stddev_samp(file_size_bytes), 3) AS std, {Q} FROM PDF")(lambda m: stats.describe(m.pdfs, "file_size_bytes"))
+add("D28_log_histogram", ", e AS (SELECT CAST(min(file_size_bytes) AS DOUBLE) AS lo, CAST(max(file_size_bytes) AS DOUBLE) AS hi FROM PDF), x AS (SELECT CAST(least(floor(ln(file_size_bytes / lo) / (ln(hi / lo) / 29) + 1e-9), 28) AS INT) AS bin, lo, hi, count(*) AS n FROM PDF, e GROUP BY ALL), y AS (SELECT *, lo * exp(ln(hi / lo) / 29 * bin) AS a, lo * exp(ln(hi / lo) / 29 * (bin + 1)) AS b FROM x) SELECT bin, round(a, 2) AS bin_lo, round(b, 2) AS bin_hi, round((a + b) / 2, 2) AS bin_mid, n, round(sum(n) OVER (ORDER BY bin) / sum(n) OVER () * 100, 4) AS cumulative_pct FROM y")(lambda m: stats.log_histogram(m.pdfs, "file_size_bytes"))
+add("D29_per_bucket", "SELECT status, count(*) AS n, round(avg(file_size_bytes), 4) AS file_size_bytes_mean, round(median(file_size_bytes), 4) AS file_size_bytes_median FROM PDF GROUP BY 1")(lambda m: stats.per_bucket(m.pdfs, "status", "file_size_bytes"))
+add("D30_per_run", "SELECT page_number, round(avg(CAST(formulation AS BIGINT)), 4) AS mean, round(median(CAST(formulation AS BIGINT)), 4) AS median, round(quantile_cont(CAST(formulation AS BIGINT), 0.9), 4) AS p90, round(quantile_cont(CAST(formulation AS BIGINT), 0.99), 4) AS p99, max(CAST(formulation AS BIGINT)) AS max, count(*) FILTER (CAST(formulation AS BIGINT) > 200000) AS runaways FROM P GROUP BY 1")(lambda m: stats.per_run(m.projects.withColumn("v", F.col("formulation").cast("long")), "page_number", "v", 200000))
+add("D31_pearson", "SELECT round(corr(CAST(PDF.file_size_bytes AS DOUBLE), CAST(P.formulation AS DOUBLE)), 6) AS r FROM PDF JOIN P ON PDF.project_id = P.id")(lambda m: stats.pearson(m.pdfs.join(m.projects.select(F.col("id").alias("project_id"), F.col("formulation").cast("double").alias("f")), "project_id").withColumn("s", F.col("file_size_bytes").cast("double")), "s", "f"))
+add("D32_stratified_total", "SELECT round(avg(file_size_bytes) FILTER (file_size_bytes <= 150000), 6) AS mean_low, round(avg(file_size_bytes) FILTER (file_size_bytes > 150000), 6) AS mean_top, round(1000 * (0.9 * avg(file_size_bytes) FILTER (file_size_bytes <= 150000) + (1 - 0.9) * avg(file_size_bytes) FILTER (file_size_bytes > 150000)), 4) AS total FROM PDF")(lambda m: stats.stratified_total(m.pdfs, "file_size_bytes", F.col("file_size_bytes") > 150000, 1000))
+add("D34_projection", "SELECT round(avg(file_size_bytes) * 1000, 4) AS by_mean, round(median(file_size_bytes) * 1000, 4) AS by_median, round(avg(file_size_bytes) * 1000 * 0.5, 4) AS batch FROM PDF")(lambda m: stats.projection(m.pdfs, "file_size_bytes", 1000))
+add("D33_bootstrap", None)(lambda m: stats.bootstrap(m.pdfs, "id", "file_size_bytes", 200))
+add("C10_compare_runs", "SELECT id, page_number AS n_a, pdf_retry_count AS n_b, pdf_retry_count - page_number AS delta, round(CAST(formulation AS DOUBLE) - CAST(expense AS DOUBLE), 4) AS cost_savings FROM P WHERE expense IS NOT NULL")(
+    lambda m: stats.compare_runs(m.projects.select("id", F.col("page_number").cast("long").alias("n"), F.col("formulation").cast("double").alias("c")), m.projects.where("expense IS NOT NULL").select("id", F.col("pdf_retry_count").cast("long").alias("n"), F.col("expense").cast("double").alias("c")), "id", "n", "c")
+)
+add("C11_agreement", "SELECT count(*) FILTER (P.expense IS NOT DISTINCT FROM P.formulation) AS same, count(*) AS n FROM P")(lambda m: stats.agreement(m.projects, m.projects.select("id", F.col("expense").alias("formulation")), "id", "formulation"))
+
+# --- scalar functions ------------------------------------------------------------------------------------------------
+SLUG = lambda x, n: f"coalesce(nullif(rtrim(substr(trim(regexp_replace(regexp_replace(replace(trim({x}), ' ', '_'), '[<>:\"/\\\\|?*]', '_', 'g'), '_+', '_', 'g'), '_'), 1, {n}), '_'), ''), 'unnamed')"
+add("I08_slug", f"SELECT page_id, {SLUG('url', 50)} AS slug FROM pages", model=False)(lambda s, d: table(s, d, "pages").select("page_id", fn.slugify(F.col("url")).alias("slug")))
+add("I09_storage_path", f"SELECT P.id, 'pdfs/' || {SLUG('D.year_label', 20)} || '/' || {SLUG('D.lb_type_label', 30)} || '/' || {SLUG('D.district_name', 40)} || '/' || {SLUG('LB.lb_name', 60)} || '/' || {SLUG('P.project_no', 30)} || '.pdf' AS path FROM {CHAIN_SQL}")(lambda m: chain(m).select(F.col("p_id").alias("id"), fn.storage_path(F.col("d_year_label"), F.col("d_lb_type_label"), F.col("d_district_name"), F.col("lb_lb_name"), F.col("p_project_no")).alias("path")))
+add("I10_content_hash", "SELECT doc_id, sha256(text) AS hash, CAST(octet_length(encode(text)) AS BIGINT) AS bytes FROM documents", model=False)(lambda s, d: table(s, d, "documents").select("doc_id", fn.content_hash(F.col("text")).alias("hash"), F.octet_length("text").cast("long").alias("bytes")))
+add("I10_duplicate_contents", "SELECT sha256(text) AS hash, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1", model=False)(lambda s, d: table(s, d, "documents").groupBy(fn.content_hash(F.col("text")).alias("hash")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1"))
+add(
+    "I01_formats",
+    """SELECT id, TRY_CAST(replace(trim(formulation), ',', '') AS INT) AS amount, translate(local_body_id || '/a b', '/\\ ', '--_') AS file_label, '₹' || format('{:,}', coalesce(TRY_CAST(expense AS BIGINT), 0)) AS currency, CASE WHEN length(project_name) > 12 THEN substr(project_name, 1, 9) || '...' ELSE project_name END AS short_name,
+ CASE WHEN regexp_matches(project_no, '^[0-9,\\s]+$') THEN true ELSE false END AS totals_like FROM P""",
+)(lambda m: m.projects.select("id", fn.safe_int(F.col("formulation")).alias("amount"), fn.file_year(F.concat("local_body_id", F.lit("/a b"))).alias("file_label"), fn.format_currency(F.col("expense")).alias("currency"), fn.truncate(F.col("project_name"), 12).alias("short_name"), fn.is_totals_row(F.col("project_no")).alias("totals_like")))
+add(
+    "I16_report_text",
+    "SELECT id, CASE WHEN file_size_bytes < 1024 THEN file_size_bytes || ' B' WHEN file_size_bytes < 1048576 THEN printf('%.1f KB', file_size_bytes / 1024.0) ELSE printf('%.1f MB', file_size_bytes / 1048576.0) END AS size_text, CASE WHEN status = 'UPLOADED' THEN '✅' WHEN status = 'FAILED' THEN '❌' ELSE '⏳' END AS icon, substr(content_hash, 1, 16) AS short_hash FROM PDF",
+)(lambda m: m.pdfs.select("id", fn.format_bytes(F.col("file_size_bytes")).alias("size_text"), fn.status_icon(F.col("status")).alias("icon"), fn.prefix(F.col("content_hash"), 16).alias("short_hash")))
+add("I22_progress_text", "SELECT id, scraped_projects || '/' || CASE WHEN coalesce(expected_projects, 0) = 0 THEN '?' ELSE CAST(expected_projects AS VARCHAR) END AS progress FROM LB")(lambda m: m.bodies.select("id", fn.progress_text(F.col("scraped_projects"), F.col("expected_projects")).alias("progress")))
+add("I33_tiles", "SELECT id, CAST(ceil(page_number / 4) AS INT) AS tiles, round(page_number * 1000 / 1e6 * 0.5 + pdf_retry_count * 100 / 1e6 * 3.0, 8) AS cost FROM P")(lambda m: m.projects.select("id", fn.tiles(F.col("page_number")).alias("tiles"), F.round(fn.cost(F.col("page_number") * 1000, F.col("pdf_retry_count") * 100, 0.5, 3.0), 8).alias("cost")))
+add("I34_era", "SELECT id, CASE WHEN year_val + 17 BETWEEN 2012 AND 2016 THEN '2012-2016' WHEN year_val + 17 BETWEEN 2017 AND 2020 THEN '2017-2020' WHEN year_val + 17 BETWEEN 2021 AND 2026 THEN '2021-2026' END AS era FROM D")(lambda m: m.districts.select("id", fn.era(F.col("year_val") + 17).alias("era")))
+
+# --- events: trailing and aligned windows ----------------------------------------------------------------------------
+add("J01_event_windows", "SELECT event_type, count(*) FILTER (ts > m - INTERVAL 1 HOUR) AS hour_1, count(*) FILTER (ts > m - INTERVAL 1 DAY) AS day_1, count(*) FILTER (ts >= m - INTERVAL 7 DAY) AS day_7 FROM events, (SELECT max(ts) AS m FROM events) GROUP BY 1", model=False)(
+    lambda s, d: (lambda e: e.crossJoin(F.broadcast(e.agg(F.max("ts").alias("m")))).groupBy("event_type").agg(F.expr("count_if(ts > m - INTERVAL 1 HOUR)").alias("hour_1"), F.expr("count_if(ts > m - INTERVAL 1 DAY)").alias("day_1"), F.expr("count_if(ts >= m - INTERVAL 7 DAY)").alias("day_7")))(table(s, d, "events"))
+)
+add("J01_daily_counts", "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2", model=False)(lambda s, d: table(s, d, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("w.start").alias("day"), "event_type", "n", "total"))
+add("L12_scheduler_status", "SELECT event_type AS queue, count(*) AS size, count(*) < 1000 AS accepts, (SELECT count(*) FROM events) AS total FROM events GROUP BY 1", model=False)(lambda s, d: reports.scheduler_status(table(s, d, "events").groupBy(F.col("event_type").alias("queue")).agg(F.count("*").alias("size"))))
+
+assert set(schemas.UPSERTS) <= set(schemas.TABLES)

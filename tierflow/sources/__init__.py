@@ -1 +1,88 @@
+"""Sources and sinks: files of blobs, extraction documents, CSV artifacts, paginated readers."""
 
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tierflow.functions import content_hash, storage_path
+
+PROJECT = "struct<project_name:string,project_cost:double,cost_unit:string,cost_raw:string,source_page:int,project_category:string,main_area:string,sector:string,sub_sector:string,micro_sector:string>"
+USAGE = "struct<input_tokens:bigint,output_tokens:bigint,total_tokens:bigint,input_cost_usd:double,output_cost_usd:double,total_cost_usd:double,latency_ms:bigint,model:string>"
+RESULT = f"struct<total_pages:int,total_projects:int,document_title:string,document_date:string,issuing_authority:string,projects:array<{PROJECT}>,extraction_summary:string,warnings:array<string>,total_cost:double,cost_breakdown_by_category:map<string,double>,source_file:string,processed_at:string,llm_usage:{USAGE}>"
+BATCH = f"extraction_date string, model_used string, results array<{RESULT}>"
+CSV = {
+    "manifest": "pdf_id string, gcs_path string, gcs_bucket string, file_size_bytes int, bucket string, year_label string, lb_type_label string, district_name string, local_body_name string, project_no string, era string",
+    "quality": "pdf_id string, page_count int, tiles int, bucket string, n_t int, cost_t double, n_n int, cost_n double, out_n int, delta int, cost_savings double",
+    "histogram": "bin_lo long, bin_hi long, bin_mid long, count long, cumulative_pct double",
+}
+
+
+def blobs(spark: SparkSession, path: str, prefix: str = "", most: int | None = None) -> DataFrame:
+    """(path, modificationTime, length, content) of files under a folder; ``prefix`` of names, at most ``most`` of them."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{prefix}*").load(path)
+    return df.orderBy("path").limit(most) if most else df
+
+
+def upload_columns(df: DataFrame, data: str = "content") -> DataFrame:
+    """Path, hash and size that an upload of a project's document records."""
+    path = storage_path(*(F.col(c) for c in ("year_label", "lb_type_label", "district_name", "lb_name", "project_no")))
+    return df.withColumn("gcs_path", path).withColumn("content_hash", content_hash(F.col(data))).withColumn("file_size_bytes", F.octet_length(data).cast("long"))
+
+
+def materialise(df: DataFrame, folder: str, name: str = "gcs_path", data: str = "content") -> DataFrame:
+    """Writes each row's bytes to ``folder``/name unless the file is there with the same size; (name, ok, bytes).
+
+    Each partition writes its own rows through a temporary name, so a repeated task leaves whole files.
+    """
+    uri = folder if "://" in folder else f"file://{folder}"
+
+    def run(batches) -> Iterator:
+        import pandas as pd
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(uri)
+        for pdf in batches:
+            done = []
+            for n, b in zip(pdf[name], pdf[data], strict=True):
+                if n is None or b is None or ".." in n.split("/"):
+                    done.append((n, False, 0))
+                    continue
+                path = f"{root}/{n}"
+                info = store.get_file_info(path)
+                if info.type == fs.FileType.NotFound or info.size != len(b):
+                    store.create_dir(path.rpartition("/")[0], recursive=True)
+                    with store.open_output_stream(f"{path}.part") as f:
+                        f.write(bytes(b))
+                    store.move(f"{path}.part", path)
+                done.append((n, True, len(b)))
+            yield pd.DataFrame(done, columns=["name", "ok", "bytes"])
+
+    return df.select(name, data).mapInPandas(run, "name string, ok boolean, bytes long")
+
+
+def extraction(spark: SparkSession, path: str) -> DataFrame:
+    """One row per extracted project of a batch document, beside its result's file, pages, cost and latency."""
+    df = spark.read.schema(BATCH).option("multiLine", True).json(path).select("extraction_date", "model_used", F.explode("results").alias("r"))
+    df = df.select("extraction_date", "model_used", F.col("r.source_file").alias("source_file"), F.col("r.total_pages").alias("total_pages"), F.col("r.llm_usage.total_cost_usd").alias("cost_usd"), F.col("r.llm_usage.latency_ms").alias("latency_ms"), F.explode_outer("r.projects").alias("p"))
+    return df.select("*", "p.*").drop("p")
+
+
+def csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return spark.read.schema(CSV[kind]).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def paginated(fetch: Callable[[object, int], tuple[list[dict], int | None]], parent: object, first: int = 1, expected: int | None = None, have: int = 0) -> Iterator[tuple[int, list[dict]]]:
+    """(page, rows) from a fetching function (parent, page) -> (rows, next page or None): stops at the last page, at a page
+    seen before, and once ``expected`` distinct rows have come. For use inside ``mapInPandas`` over parents."""
+    seen: set[int] = set()
+    page: int | None = first
+    while page is not None and page not in seen:
+        seen.add(page)
+        rows, following = fetch(parent, page)
+        have += len(rows)
+        yield page, rows
+        if expected is not None and have >= expected:
+            return
+        page = following
