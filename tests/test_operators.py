@@ -83,7 +83,7 @@ def test_empty_tables_report_zeros(empty):
     assert {r.n for r in reports.table_counts(empty).collect()} == {0}
     assert [r.progress_pct for r in reports.phase_status(empty).collect()] == [0.0] * 4
     assert reports.summary(empty).first().phase1 == "Not Started"
-    assert reports.by_year_failure(empty).collect()[0].total == 0
+    assert reports.by_year_failure(empty).count() == 0  # a rollup of no rows has no total
     assert reports.body_progress(empty).first().expected == 0
     assert not reports.completeness(empty).first().districts_complete
     assert reports.recent_errors(empty).count() == 0

@@ -33,7 +33,7 @@ def pages(spark):
 
 
 def test_district_grid(pages):
-    got = [(r.page_id, r.index, r.district_name, r.num_projects, r.postback_argument, r.productive) for r in hg.read(pages, "districts").collect()]
+    got = [(r.page_id, r["index"], r.district_name, r.num_projects, r.postback_argument, r.productive) for r in hg.read(pages, "districts").collect()]
     assert got == [("d", 1, "First", 1166, "Select$0", None), ("d", 2, "Second", 950, "Select$1", None)]
 
 

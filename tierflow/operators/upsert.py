@@ -109,7 +109,7 @@ def swap(spark: SparkSession, df: DataFrame, path: str) -> str:
     out = fs.create(tmp, True)
     out.write(bytearray(at.encode()))
     out.close()
-    there = hadoop.Path(f"{path}/_CURRENT")
+    there = hadoop.Path(f"{path}/CURRENT")
     if fs.exists(there):
         fs.delete(there, False)
     fs.rename(tmp, there)
@@ -117,5 +117,5 @@ def swap(spark: SparkSession, df: DataFrame, path: str) -> str:
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    at = spark.read.text(f"{path}/_CURRENT", wholetext=True).first()[0]
+    at = spark.read.text(f"{path}/CURRENT", wholetext=True).first()[0]
     return spark.read.parquet(at)
