@@ -179,7 +179,7 @@ def _sample_sums(learned: dict[int, float]):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, turns: int = 50) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, turns: int = 50) -> np.ndarray:
     """Ridge logistic coefficients, the intercept last, by Newton steps; coefficients of readings stay at least 0."""
     x = np.hstack((x, np.ones((len(x), 1))))
     w, penalty = np.zeros(x.shape[1]), np.diag([ridge] * (x.shape[1] - 1) + [1e-3])
@@ -202,7 +202,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int = 5000, evidence: float = 18.0, odds: float = 2.5) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int = 5000, evidence: float = 18.0, odds: float = 4.0) -> Model:
     """Learns lexicon and readings. ``sample``: most toxic rows (clean ones: twice that); ``entries``: most lexicon entries.
 
     A feature enters with log-odds of at least ``odds`` whose log-likelihood ratio against the base rate reaches ``evidence``,
@@ -226,7 +226,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int =
     learned = {r["feature"]: r["w"] for r in best.collect()}
     found = texts.mapInArrow(_sample_sums(learned), "toxic int, sums array<double>").collect()
     x, y = np.log1p(np.array([r["sums"] for r in found])), np.array([r["toxic"] for r in found], float)
-    return Model(learned, _logistic(x, y).tolist())
+    w = _logistic(x, y)
+    every = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    w[-1] += np.log(every[1] / every[0]) - np.log(pos / neg)  # the sample holds more toxic rows than the labels do
+    return Model(learned, w.tolist())
 
 
 def _scorer(model: Model, least: float | None):
