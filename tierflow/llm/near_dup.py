@@ -183,7 +183,7 @@ class NearDup:
     for each member. Buckets with more such pairs than that are compared in blocks of about ``block`` members.
     """
 
-    def __init__(self, threshold_percent: int = 80, turns: int = 3, linear: int = 16, block: int = 512):
+    def __init__(self, threshold_percent: int = 80, turns: int = 1, linear: int = 16, block: int = 512):
         self.percent, self.turns, self.linear, self.block = threshold_percent, turns, linear, block
 
     def run(self, docs: DataFrame) -> DataFrame:
@@ -213,7 +213,8 @@ class NearDup:
         members = ws.keep(keys.join(shared, "key"), "members")
         involved = members.select("id").distinct()
         some = nodes.join(involved, "id").select("id", "n", "registers")
-        sets = docs.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi").mapInArrow(_full_sets, "id long, members binary")
+        # The ids are hashed, so that the texts stream past them unsorted.
+        sets = docs.withColumnRenamed("doc_id", "id").join(involved.hint("shuffle_hash"), "id", "left_semi").mapInArrow(_full_sets, "id long, members binary")
         sketches, sets = ws.keep(some, "involved"), ws.keep(sets, "sets")
         labelled = members.select("key", "id", F.col("id").alias("comp"))
         links = None
