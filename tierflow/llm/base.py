@@ -32,8 +32,16 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, rows: int = 500) -> DataFrame:
+        """Writes and reads back a table. Meanwhile Arrow batches hold at most ``rows`` rows, so that long rows stay small
+        in the buffers of JVM and Python."""
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, rows)
+        try:
+            df.write.parquet(self.path(name))
+        finally:
+            self.spark.conf.set(setting, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
