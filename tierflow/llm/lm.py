@@ -279,7 +279,7 @@ def _tokens(batches, vocab: Vocabulary, most: int):
 def _trainer(vocab: Vocabulary, weights: np.ndarray):
     def run(batches):
         p, seen = unflat(weights), 0
-        for held in _tokens(batches, vocab, 4_000_000):
+        for held in _tokens(batches, vocab, 2_000_000):
             n, rank, cls, ids = (np.concatenate([x[k] for x in held]) for k in (1, 3, 4, 5))
             p, seen = train_replica(p, rank, cls.astype(np.int64), ids, n), seen + len(ids)
         if seen:
@@ -297,7 +297,7 @@ def _scorer(vocab: Vocabulary, weights: np.ndarray):
         p, row = unflat(weights), TaskContext.get().partitionId() << 40
         logs = np.log10(vocab.c + 0.1) if len(vocab.c) else np.zeros(1)
         inside = vocab.inside if len(vocab.c) else np.zeros(1)
-        for held in _tokens(batches, vocab, 4_000_000):
+        for held in _tokens(batches, vocab, 2_000_000):
             n, tail, rank, cls, ids = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3, 4, 5))
             docs = pa.concat_arrays([x[0].cast(pa.int64()) for x in held])
             starts, safe, known = np.cumsum(n) - n, np.maximum(rank, 0), rank >= 0
