@@ -131,3 +131,31 @@ def test_neighbours_are_lexical():
     index = packing.Bm25(ids, np.array([5, 5, 5]))
     assert index.neighbours(0, np.array([False, True, True]), 12).tolist() == [1]
     assert packing.pack(np.arange(0, dtype=np.uint16), np.zeros(0, np.int64)).shape == (0, 5)
+
+
+def brute_bm25(docs, seed):
+    """The BM25 score of every document for all distinct terms of the seed, term by term."""
+    n, mean, score = len(docs), sum(map(len, docs)) / len(docs), [0.0] * len(docs)
+    counts = [Counter(d) for d in docs]
+    for t in counts[seed]:
+        df = sum(t in c for c in counts)
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        for k, c in enumerate(counts):
+            query = idf * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * len(docs[k]) / mean))
+            score[k] += query
+    return np.array(score)
+
+
+def test_neighbours_have_the_recall_of_brute_force():
+    rng = np.random.default_rng(3)
+    docs = [np.minimum(rng.zipf(1.3, rng.integers(60, 300)), 3000).tolist() for _ in range(200)]
+    per = np.array([len(d) for d in docs])
+    index, found, first = packing.Bm25(np.concatenate(docs).astype(np.uint16), per), 0, 0
+    assert np.median([len(set(d)) for d in docs]) > 24
+    for seed in range(20):
+        unused = np.arange(200) != seed
+        score = np.where(unused, brute_bm25(docs, seed), -1)
+        want = np.argsort(-score, kind="stable")[:10]
+        got = index.neighbours(seed, unused)[:10]
+        found, first = found + len(set(want.tolist()) & set(got.tolist())), first + int(want[0] == got[0])
+    assert found >= 0.9 * 200 and first >= 18

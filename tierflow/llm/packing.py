@@ -3,7 +3,7 @@
 Every input partition is cut into shards of about ``shard_tokens`` ids in row order. A shard's index maps token ids to
 postings (document, BM25 weight). Windows that one document fills alone are emitted first; the remainder of each document
 goes into the pool. The next unused pool entry seeds a window, the index ranks unused entries by BM25 against the seed's
-heaviest terms, and they fill the window in that order; the last one is cut where the window ends and its rest stays in
+distinct terms, all of them, and they fill the window in that order; the last one is cut where the window ends and its rest stays in
 the pool. So every sequence but the last of a shard is exactly full. Nothing is shuffled: shards see one partition each,
 hot sources spread over shards, and memory is bounded by the shard and the longest document.
 
@@ -47,26 +47,26 @@ class Bm25:
         self.by_doc = np.argsort(self.doc.astype(np.uint16) if n <= 1 << 16 else self.doc, kind="stable")
         self.doc_bounds = np.searchsorted(self.doc[self.by_doc], np.arange(n + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray, terms: int) -> np.ndarray:
-        """Unused documents by falling score against the seed's heaviest terms; ties by document."""
+    def neighbours(self, seed: int, unused: np.ndarray, terms: int | None = None) -> np.ndarray:
+        """Unused documents by falling score against all distinct terms of the seed; ties by document.
+
+        ``terms`` keeps the heaviest so many terms only, for comparison.
+        """
         own = self.by_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]]
-        if len(own) > terms:
+        if terms is not None and len(own) > terms:
             own = own[np.argpartition(-self.weight[own], terms - 1)[:terms]]
         spans = [slice(self.bounds[t], self.bounds[t + 1] if t + 1 < 1 << 16 else None) for t in self.term[own].tolist()]
         docs, weight = (np.concatenate([x[s] for s in spans]) for x in (self.doc, self.weight))
-        keep = unused[docs]
-        docs, weight = docs[keep], weight[keep]
-        if not len(docs):
-            return docs
-        u, back = np.unique(docs, return_inverse=True)
-        score = np.bincount(back, weight)
+        score = np.bincount(docs, weight, len(unused))
+        u = np.flatnonzero((score > 0) & unused)
+        score = score[u]
         if len(u) > 256:  # more than ever fill a window come into question only when these are used up
             top = np.argpartition(-score, 255)[:256]
             u, score = u[top], score[top]
         return u[np.lexsort((u, -score))]
 
 
-def pack(ids: np.ndarray, per_doc: np.ndarray, window: int = 2048, terms: int = 12) -> np.ndarray:
+def pack(ids: np.ndarray, per_doc: np.ndarray, window: int = 2048, terms: int | None = None) -> np.ndarray:
     """Rows (document, start, length, sequence, offset) that hold each id once."""
     out, seq = [], 0
     whole = per_doc // window
@@ -104,7 +104,7 @@ def pack(ids: np.ndarray, per_doc: np.ndarray, window: int = 2048, terms: int =
         seq += 1
 
 
-def _packer(vocab: str, window: int, shard_tokens: int, terms: int):
+def _packer(vocab: str, window: int, shard_tokens: int, terms: int | None):
     def run(batches):
         pid, base, held, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -136,7 +136,7 @@ def _packer(vocab: str, window: int, shard_tokens: int, terms: int):
     return run
 
 
-def pack_documents(docs: DataFrame, vocab: str | None = None, window: int = 2048, shard_tokens: int = 3_000_000, terms: int = 12) -> DataFrame:
+def pack_documents(docs: DataFrame, vocab: str | None = None, window: int = 2048, shard_tokens: int = 3_000_000, terms: int | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_packer(vocab or vocabulary(), window, shard_tokens, terms), PIECES)
