@@ -99,6 +99,20 @@ def test_lm_base_score(documents, empty, by_id):
     assert lm.score(empty).count() == 0
 
 
+def test_lm_trains_on_every_training_document(spark, documents, monkeypatch):
+    kept = {}
+    keep = lm.Workspace.keep
+
+    def noted(self, df, name, *rest):
+        kept[name] = keep(self, df, name, *rest)
+        return kept[name]
+
+    monkeypatch.setattr(lm.Workspace, "keep", noted)
+    want = lm.score(documents, head=64).first().train_tokens
+    for k in range(2):
+        assert kept[f"replicas{k}"].agg(F.sum("seen")).first()[0] == want
+
+
 def vocabulary(n):
     rng = np.random.default_rng(4)
     h = rng.integers(1, 2**62, n)

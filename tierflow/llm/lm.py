@@ -6,9 +6,9 @@ hash through a join. Output classes: the ``LEARNED`` most frequent words in grou
 rest of the head in frequency bins and all other words by length, with the smoothed counts inside. P(word) is
 P(class | state) * P(word | class, state); each class of other words keeps one place for unknown words, so that all sums to 1.
 
-Training: truncated backpropagation over windows, carrying the state; a fixed share ``1 / thin`` of the training documents
-(chosen by hash, so growing with the input) trains one replica in each task, and the replicas are averaged by a group-by
-over parameter positions, ``rounds`` times. Everything counted covers all training documents.
+Training: truncated backpropagation over windows, carrying the state; all training documents train, one replica in each
+task, and the replicas are averaged by a group-by over parameter positions, ``rounds`` times. With ``thin`` over 1 a share
+``1 / thin`` of them, chosen by hash, trains instead. Everything counted covers all training documents.
 
 Scoring: documents run in lockstep, longest first, and carry their state from the first to the last token.
 
@@ -334,7 +334,9 @@ def fit(docs: DataFrame, ws: Workspace, head: int, thin: int, rounds: int) -> tu
     rest = {k: (n - int(head_c[head_lc == k].sum()), v - int((head_lc == k).sum())) for k, (n, v) in per.items()}
     vocab = Vocabulary(head_h, head_c, rest, total, distinct)
     weights = flat(initial(vocab))
-    share = ws.keep(train.where(F.pmod(F.xxhash64("doc_id"), F.lit(thin)) == 0).repartition(parts(docs.sparkSession)), "share")
+    share = train
+    if thin > 1:
+        share = ws.keep(train.where(F.pmod(F.xxhash64("doc_id"), F.lit(thin)) == 0).repartition(parts(docs.sparkSession)), "share")
     for k in range(rounds):
         replicas = ws.keep(share.mapInArrow(_trainer(vocab, weights), "seen long, params array<float>"), f"replicas{k}")
         mean = replicas.select("seen", F.posexplode("params")).groupBy("pos").agg((F.sum(F.col("col").cast("double") * F.col("seen")) / F.sum("seen")).alias("v"))
@@ -344,7 +346,7 @@ def fit(docs: DataFrame, ws: Workspace, head: int, thin: int, rounds: int) -> tu
     return vocab, weights, counts
 
 
-def score(docs: DataFrame, head: int = 131_072, thin: int = 32, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, head: int = 131_072, thin: int = 1, rounds: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     ws = Workspace(docs.sparkSession, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
