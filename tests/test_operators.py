@@ -177,3 +177,10 @@ def test_nested_view(spark, sf):
     m = derive(spark, sf)
     r = reports.nested(reports.districts_by_year_district(m), "year_label", "district_name", "total").first()
     assert sum(r.total.values()) == m.districts.where(F.col("year_label") == r.year_label).count()
+
+
+def test_registered_bootstrap_runs_every_iteration(spark):
+    from tierflow import registry
+
+    r = registry.QUERIES["D33_bootstrap"](spark, "/root/testdata/sf0.001").first()
+    assert r.iterations == 2000 and r.low < r.high
