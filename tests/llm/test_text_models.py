@@ -194,6 +194,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert r.tp >= 0.75 * r.p and r.fp <= 0.01 * r.n  # few labels here: rare stems stay unknown
 
 
+def test_toxicity_recall_with_few_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents").where("doc_id < 6000"), table(spark, sf, "labels")
+    r = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").agg(F.expr("count_if(toxic = 1 and predicted = 1)").alias("tp"), F.expr("count_if(toxic = 1)").alias("p"), F.expr("count_if(toxic = 0 and predicted = 1)").alias("fp"), F.expr("count_if(toxic = 0)").alias("n")).first()
+    assert r.tp >= 0.85 * r.p and r.fp <= 0.01 * r.n
+
+
 def test_toxicity_edges(spark, documents, empty, by_id):
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     got = {r.doc_id: r for r in toxicity.toxicity(documents, none).collect()}

@@ -202,11 +202,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int = 5000, evidence: float = 18.0, odds: float = 4.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int = 5000, evidence: float = 18.0) -> Model:
     """Learns lexicon and readings. ``sample``: most toxic rows (clean ones: twice that); ``entries``: most lexicon entries.
 
-    A feature enters with log-odds of at least ``odds`` whose log-likelihood ratio against the base rate reaches ``evidence``,
-    so that none of millions of neutral features is expected to enter by chance.
+    A feature that speaks for toxicity enters when its log-likelihood ratio against the base rate reaches ``evidence``, so
+    that none of millions of neutral features is expected to enter by chance. Its weight is its log-odds less one standard
+    error: a feature of few documents, or one that clean rows use too, weighs less and is not dropped.
     """
     ws = Workspace(docs.sparkSession, "toxicity")
     rows = labels.where(F.col("toxic").isNotNull()).where(crc_mod(F.col("doc_id"), 5) != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
@@ -221,8 +222,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int =
     counts = texts.mapInArrow(_count_features, "feature long, t long, n long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     weight = F.log((F.col("t") + 0.5) / (pos + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (neg + 1))
     c, p = F.col("n") - F.col("t"), pos / (pos + neg)
+    weight = weight - F.sqrt(1 / (F.col("t") + 0.5) + 1 / (c + 0.5))
     ratio = F.col("t") * F.log(F.col("t") / (F.col("n") * p)) + F.when(c > 0, c * F.log(c / (F.col("n") * (1 - p)))).otherwise(0.0)
-    best = counts.where(F.col("t") > 0).where(ratio >= evidence).withColumn("w", weight).where(F.col("w") >= odds).orderBy(F.desc("w"), "feature").limit(entries)
+    best = counts.where(F.col("t") > 0).where(ratio >= evidence).withColumn("w", weight).where(F.col("w") > 0).orderBy(F.desc("w"), "feature").limit(entries)
     learned = {r["feature"]: r["w"] for r in best.collect()}
     found = texts.mapInArrow(_sample_sums(learned), "toxic int, sums array<double>").collect()
     x, y = np.log1p(np.array([r["sums"] for r in found])), np.array([r["toxic"] for r in found], float)
