@@ -9,6 +9,12 @@ def words(rng, n):
     return [rng.choice(["th", "er", "on", "ble", "nd", "ing"]) + rng.choice(["a", "tion", "st", "ly", "es"]) + str(rng.randrange(30)) for _ in range(n)]
 
 
+def thue_morse(n):
+    """A word of n letters and its complement: power sums of their letters agree to a high degree."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
 def texts():
     """Texts with copies, near copies, edges of every kind; the ids are their places."""
     rng = random.Random(5)
@@ -21,6 +27,9 @@ def texts():
     out += [None, "", " \n\t ", "one", "ONE", "one two three four", "one two three four five", "One Two three four five", "a b c", "x" * 3000, "é" * 70 + "\r\nok 你好 🎉", "don't </s> [INST] \\< <|end|>"]
     out += [" ".join(words(rng, rng.randrange(50, 160))) for _ in range(20)]
     out.append(" ".join(words(rng, 40_000)))
+    for n in (1024, 4096):  # two words each, alone and inside texts, that only a sound hash tells apart
+        out += thue_morse(n)
+        out += [f"one two {w} three four five six" for w in thue_morse(n)]
     out.append("same line\nsame line\n\nsame line\nother\n" * 3)
     return out
 

@@ -9,7 +9,10 @@ import pyarrow as pa
 import pytest
 
 from tierflow.llm import byte_bpe, packing, wavelet, word_bpe
+from tests.llm.conftest import thue_morse
 from tierflow.llm.base import Workspace, text_buffers
+from tierflow.llm.piececache import PieceCache
+from tierflow.llm.textscan import span_keys
 
 tiktoken = pytest.importorskip("tiktoken")
 P = pytest.importorskip("public_tokenizers")
@@ -43,7 +46,7 @@ def fuzz(n, letters, seed):
 
 
 def test_byte_bpe_equals_tiktoken(reference):
-    rows = [*fuzz(3000, [*"ab 'stremvl\n\t 　\r1２Ⅷé中̀!.,İ🎉 ", "'re", "'s", " '"], 3), "a" * 3000, "ab" * 500 + " " * 300, "", None]
+    rows = [*fuzz(3000, [*"ab 'stremvl\n\t 　\r1２Ⅷé中̀!.,İ🎉 ", "'re", "'s", " '"], 3), "a" * 3000, "ab" * 500 + " " * 300, "", None, *thue_morse(1024), *thue_morse(4096)]
     b, o = text_buffers(pa.array(rows))
     ids, per, starts, per_row, lens = byte_bpe.coder(byte_bpe.ranks_file()).encode(b, o)
     ends = np.cumsum(per)
@@ -53,6 +56,44 @@ def test_byte_bpe_equals_tiktoken(reference):
     assert lens.sum() == len(ids) and per_row.sum() == len(starts)
 
 
+def test_ranges_decode_to_their_place():
+    coder = byte_bpe.coder(byte_bpe.ranks_file())
+    text = "Ünder the 12,345 trees — they're \n\n  talking! 🎉🎉 ok"
+    b, o = text_buffers(pa.array([text]))
+    ids, _, starts, _, lens = coder.encode(b, o)
+    whole = text.encode()
+    for lo in range(len(ids) + 1):
+        for hi in range(lo, len(ids) + 1):
+            at, raw = coder.decode_range(ids, starts, lens, lo, hi)
+            assert at == len(coder.decode(ids[:lo])) and whole[at : at + len(raw)] == raw == coder.decode(ids[lo:hi])
+    assert coder.decode_pieces(ids, starts, lens) == whole
+    for bad in (starts + 1, starts[::-1]):
+        with pytest.raises(ValueError):
+            coder.decode_pieces(ids, bad, lens)
+    assert coder.decode_range(ids[:0], starts[:0], lens[:0], 0, 0) == (0, b"")
+
+
+def test_hashes_tell_spans_apart():
+    rng = random.Random(8)
+    words = {*thue_morse(64), *thue_morse(1024), *thue_morse(4096), *("a" * k for k in range(1, 200)), *("".join(rng.choice("ab") for _ in range(rng.randrange(1, 130))) for _ in range(20000))}
+    words = sorted(words)
+    b = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - np.array([len(w) for w in words])
+    for lane in span_keys(b, starts, ends):
+        assert len(np.unique(lane)) == len(words)
+    upper = np.frombuffer(" ".join(words).upper().encode(), np.uint8)
+    assert all((x == y).all() for x, y in zip(span_keys(b, starts, ends), span_keys(upper, starts, ends), strict=True))
+
+
+def test_a_second_hash_guards_the_cache():
+    cache = PieceCache(lambda ps: (np.array([p[0] for p in ps], np.uint16), np.ones(len(ps), np.int64)))
+    same = np.zeros(3, np.uint64)
+    for _ in range(2):
+        ids, lens = cache.tokens(b"xyx", [same, np.array([1, 2, 1], np.uint64)], np.arange(3), np.arange(1, 4))
+        assert ids.tolist() == [120, 121, 120] and lens.tolist() == [1, 1, 1]
+
+
 def test_byte_bpe_query(documents, empty, by_id, reference):
     got = byte_bpe.digest(byte_bpe.encode_documents(documents)).collect()
     assert len(got) == len(by_id) + 1
@@ -66,7 +107,7 @@ def test_byte_bpe_query(documents, empty, by_id, reference):
 
 
 def test_word_bpe_equals_the_library(library):
-    rows = [*fuzz(2000, [*"aB é.,;!'s\n ̀<|>İßﬁ１中-", "<|endoftext|>", "'re", "thing", "(x)"], 4), None]
+    rows = [*fuzz(2000, [*"aB é.,;!'s\n ̀<|>İßﬁ１中-", "<|endoftext|>", "'re", "thing", "(x)"], 4), None, *thue_morse(1024), *thue_morse(4096)]
     b, o = text_buffers(pa.array(rows))
     ids, per = word_bpe.WordEncoder(word_bpe.vocabulary()).encode(b, o)
     ends = np.cumsum(per)
@@ -129,7 +170,7 @@ def test_packing(documents, empty, by_id, library):
 def test_neighbours_are_lexical():
     ids = np.array([5, 6, 7, 8, 9, 5, 6, 7, 8, 9, 20, 21, 22, 23, 24], np.uint16)
     index = packing.Bm25(ids, np.array([5, 5, 5]))
-    assert index.neighbours(0, np.array([False, True, True]), 12).tolist() == [1]
+    assert list(index.neighbours(0, np.array([False, True, True]))) == [1]
     assert packing.pack(np.arange(0, dtype=np.uint16), np.zeros(0, np.int64)).shape == (0, 5)
 
 
@@ -156,6 +197,37 @@ def test_neighbours_have_the_recall_of_brute_force():
         unused = np.arange(200) != seed
         score = np.where(unused, brute_bm25(docs, seed), -1)
         want = np.argsort(-score, kind="stable")[:10]
-        got = index.neighbours(seed, unused)[:10]
-        found, first = found + len(set(want.tolist()) & set(got.tolist())), first + int(want[0] == got[0])
+        got = list(index.neighbours(seed, unused))[:10]
+        found, first = found + len(set(want.tolist()) & set(got)), first + int(want[0] == got[0])
     assert found >= 0.9 * 200 and first >= 18
+
+
+def test_every_neighbour_comes_before_a_stranger():
+    """Thousands of tiny rows: a window takes all that share a term with its seed, however many, by falling score."""
+    rng = np.random.default_rng(5)
+    docs = [[1, 7 + k % 2, 100 + int(rng.integers(40))] if k % 2 else [8 + k % 2 + 20, 200 + int(rng.integers(40))] for k in range(1600)]
+    per = np.array([len(d) for d in docs])
+    ids = np.concatenate(docs).astype(np.uint16)
+    got = packing.pack(ids, per)
+    first = got[got[:, 3] == 0]
+    seed = int(first[0, 0])
+    score = brute_bm25(docs, seed)
+    order = first[1:, 0]
+    assert (score[order[:799]] > 0).all() and not score[order[799:]].any()  # all 799 of its kind, then the others
+    assert (np.diff(score[order[:799]]) < 1e-4).all()
+
+
+def test_pruning_changes_nothing(monkeypatch):
+    rng = np.random.default_rng(6)
+    per = rng.integers(5, 400, 300)
+    ids = np.minimum(rng.zipf(1.3, int(per.sum())), 900).astype(np.uint16)
+    want = packing.pack(ids, per)
+    calls = []
+    prune = packing.Bm25.prune
+    monkeypatch.setattr(packing.Bm25, "prune", lambda self, unused: calls.append(1))
+    assert (packing.pack(ids, per) == want).all() and calls
+    monkeypatch.setattr(packing.Bm25, "prune", prune)
+    index, unused = packing.Bm25(ids, per), rng.random(300) < 0.3
+    before = list(index.neighbours(int(np.flatnonzero(unused)[0]), unused))
+    index.prune(unused)
+    assert list(index.neighbours(int(np.flatnonzero(unused)[0]), unused)) == before

@@ -14,15 +14,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = "4m"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    """The folder every executor sees: ``spark.checkpoint.dir``. Only a local master may leave it unset: then a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tierflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found if "://" in found else found.replace("file:", "file://", 1) if found.startswith("file:") else "file://" + found
 
 
+def bounded(spark: SparkSession) -> None:
+    """Bounds the bytes of Arrow batches, so that long rows stay small in the buffers of JVM and Python; results don't change."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def rows_of(docs: DataFrame, *extra: str) -> DataFrame:
+    """(doc_id long, text string) of the documents that an operator reads in Arrow batches, and the ``extra`` columns."""
+    bounded(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
+
+
 class Workspace:
     """Written tables of one operator call in the shared folder: they cut lineage and outlive a lost executor."""
 
@@ -32,16 +48,10 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
 
-    def keep(self, df: DataFrame, name: str, rows: int = 500) -> DataFrame:
-        """Writes and reads back a table. Meanwhile Arrow batches hold at most ``rows`` rows, so that long rows stay small
-        in the buffers of JVM and Python."""
-        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, rows)
-        try:
-            df.write.parquet(self.path(name))
-        finally:
-            self.spark.conf.set(setting, before)
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes and reads back a table."""
+        bounded(self.spark)
+        df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -7,7 +7,8 @@ cache of merged pieces; missing pieces are merged together, lowest rank and left
 stay beside the ids, so that a token range decodes to its place in the text.
 
 Defined cases: null and empty texts have no ids (the digests are those of the empty string); long texts and long pieces
-are processed whole; equal rows give equal rows.
+are processed whole; null ids stay null; repeated rows give a row each; extra columns are never read; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.llm.base import row_chunks, text_buffers
+from tierflow.llm.base import row_chunks, rows_of, text_buffers
 from tierflow.llm.piececache import PieceCache
-from tierflow.llm.textscan import span_hash
+from tierflow.llm.textscan import span_keys
 
 # The code points with the property White_Space, and the contractions' letters.
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -142,6 +143,7 @@ class ByteBpe:
         self.vocab = [b""] * (max(self.ranks.values()) + 1)
         for k, v in self.ranks.items():
             self.vocab[v] = k
+        self.sizes = np.fromiter(map(len, self.vocab), np.int64, len(self.vocab))
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], np.int64)
         made = [(self.ranks[t[:i]] << 17 | self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         pairs = np.array(sorted(made), np.int64)
@@ -251,7 +253,7 @@ class ByteBpe:
         """(ids, ids per row, byte offset of each piece, pieces per row, ids per piece)."""
         starts, per_row = pieces(b, offs)
         ends = np.append(starts[1:], len(b))
-        ids, lens = self.cache.tokens(b.tobytes(), span_hash(b, starts, ends, lower=False), starts, ends)
+        ids, lens = self.cache.tokens(b.tobytes(), span_keys(b, starts, ends, lower=False), starts, ends)
         total = np.concatenate(([0], np.cumsum(lens)))
         return ids, np.diff(total[np.concatenate(([0], np.cumsum(per_row)))]), starts, per_row, lens
 
@@ -263,7 +265,21 @@ class ByteBpe:
         wide = self.digits[ids].ravel()
         return wide[wide != 0].tobytes()[:-1]
 
+    def decode_range(self, ids: np.ndarray, offsets: np.ndarray, tokens: np.ndarray, lo: int, hi: int) -> tuple[int, bytes]:
+        """(byte offset in the text, bytes) of the ids [lo, hi) of a row: the piece's offset gives the place, not the ids before."""
+        bounds = np.concatenate(([0], np.cumsum(tokens)))
+        piece = max(int(np.searchsorted(bounds, lo, "right")) - 1, 0)
+        if lo >= bounds[-1]:
+            return int(offsets[-1]) + int(self.sizes[ids[bounds[-2] :]].sum()) if len(offsets) else 0, b""
+        return int(offsets[piece]) + int(self.sizes[ids[bounds[piece] : lo]].sum()), self.decode(ids[lo:hi])
 
+    def decode_pieces(self, ids: np.ndarray, offsets: np.ndarray, tokens: np.ndarray) -> bytes:
+        """The text of a row. Each piece must lie where its offset says and hold the ids counted for it."""
+        bounds = np.concatenate(([0], np.cumsum(tokens)))
+        at = np.concatenate(([0], np.cumsum(self.sizes[ids])))
+        if bounds[-1] != len(ids) or (at[bounds[:-1]] != offsets).any():
+            raise ValueError("the pieces do not lie where their offsets say")
+        return self.decode(ids)
 
 
 @cache
@@ -291,7 +307,7 @@ def _encoded(path: str):
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids, piece_offsets, piece_tokens): the ids, the byte offset of each piece and how many ids it has."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = rows_of(docs)
     return docs.mapInArrow(_encoded(path or ranks_file()), "doc_id long, ids array<int>, piece_offsets array<int>, piece_tokens array<int>")
 
 
@@ -299,11 +315,11 @@ def _digest(path: str):
     def run(batches):
         for batch in batches:
             bpe, rows = coder(path), []
-            col = batch.column("ids")
-            ids, offs = col.values.to_numpy(), col.offsets.to_numpy()
-            for i in range(len(col)):
-                own = ids[offs[i] : offs[i + 1]]
-                rows.append((len(own), hashlib.sha256(bpe.spelled(own)).hexdigest(), hashlib.sha256(bpe.decode(own)).hexdigest()))
+            lists = [batch.column(k) for k in ("ids", "piece_offsets", "piece_tokens")]
+            values = [(x.values.to_numpy(), x.offsets.to_numpy()) for x in lists]
+            for i in range(len(batch)):
+                ids, offsets, tokens = (v[o[i] : o[i + 1]] for v, o in values)
+                rows.append((len(ids), hashlib.sha256(bpe.spelled(ids)).hexdigest(), hashlib.sha256(bpe.decode_pieces(ids, offsets, tokens)).hexdigest()))
             n, a, d = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -311,5 +327,6 @@ def _digest(path: str):
 
 
 def digest(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded documents, decoding their ids."""
-    return encoded.select("doc_id", "ids").mapInArrow(_digest(path or ranks_file()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded documents, decoding their pieces."""
+    columns = ["doc_id", "ids", "piece_offsets", "piece_tokens"]
+    return encoded.select(*columns).mapInArrow(_digest(path or ranks_file()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.llm.base import Workspace, crc_mod, parts, ragged, row_chunks, text_buffers
+from tierflow.llm.base import Workspace, crc_mod, parts, ragged, row_chunks, rows_of, text_buffers
 from tierflow.llm.textscan import span_hash, word_spans
 
 H, GROUPS, GROUP, BINS = 16, 16, 32, 24
@@ -349,7 +349,7 @@ def fit(docs: DataFrame, ws: Workspace, head: int, thin: int, rounds: int) -> tu
 def score(docs: DataFrame, head: int = 131_072, thin: int = 1, rounds: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     ws = Workspace(docs.sparkSession, "lm")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = rows_of(docs)
     vocab, weights, counts = fit(docs, ws, head, thin, rounds)
     partial = ws.keep(docs.mapInArrow(_scorer(vocab, weights), PARTIAL), "partial")
     tail = partial.select("row", F.inline("tail")).join(counts.select("h", "c"), "h", "left")

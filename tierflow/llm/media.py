@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from tierflow.llm.base import Workspace, filesystem
+from tierflow.llm.base import Workspace, filesystem, rows_of
 
 WIDTH = 64
 MEMBERS = "doc_id long, n_bytes long, media binary"
@@ -232,7 +232,7 @@ def store(docs: DataFrame, uri: str) -> None:
     spark.dataSource.register(MediaArchive)
     fs, path = filesystem(uri)
     fs.create_dir(path, recursive=True)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = rows_of(docs)
     docs.mapInArrow(_to_media, MEMBERS).write.format("media_archive").mode("append").save(uri)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.llm.base import Workspace, ragged, row_chunks, text_buffers
+from tierflow.llm.base import Workspace, ragged, row_chunks, rows_of, text_buffers
 from tierflow.llm.components import components
 from tierflow.llm.textscan import U, mix, shingles, span_hash, word_spans
 
@@ -189,7 +189,7 @@ class NearDup:
     def run(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
         ws = Workspace(docs.sparkSession, "neardup")
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        docs = rows_of(docs)
         sketch = ws.keep(docs.mapInArrow(_sketch, SKETCH), "sketch")
         some = sketch.where("n_shingles > 0")
         classes = some.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))

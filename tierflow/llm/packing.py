@@ -3,8 +3,9 @@
 Every input partition is cut into shards of about ``shard_tokens`` ids in row order. A shard's index maps token ids to
 postings (document, BM25 weight). Windows that one document fills alone are emitted first; the remainder of each document
 goes into the pool. The next unused pool entry seeds a window, the index ranks unused entries by BM25 against the seed's
-distinct terms, all of them, and they fill the window in that order; the last one is cut where the window ends and its rest stays in
-the pool. So every sequence but the last of a shard is exactly full. Nothing is shuffled: shards see one partition each,
+distinct terms, all of them, and they fill the window in that order; the last one is cut where the window ends and its rest
+stays in the pool. So every sequence but the last of a shard is exactly full. Postings of used documents are dropped whenever
+a quarter of the index is used. Nothing is shuffled: shards see one partition each,
 hot sources spread over shards, and memory is bounded by the shard and the longest document.
 
 Defined cases: null and blank texts hold the end id alone; repeated rows are packed once each; a document is named by its
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.llm.base import row_chunks, text_buffers
+from tierflow.llm.base import row_chunks, rows_of, text_buffers
 from tierflow.llm.word_bpe import encoder, vocabulary, with_end
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -38,35 +39,45 @@ class Bm25:
         first[1:] = (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])
         at = np.flatnonzero(first)
         tf = np.diff(np.append(at, len(term))).astype(np.float32)
-        self.term, self.doc = term[at], doc[at].astype(np.int64)
-        self.bounds = np.searchsorted(self.term, np.arange(1 << 16))
-        df = np.diff(np.append(self.bounds, len(self.term)))
+        term, doc = term[at], doc[at].astype(np.int64)
+        df = np.bincount(term, minlength=1 << 16)
         idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
         norm = (K1 * (1 - B + B * per_doc / max(per_doc.mean(), 1))).astype(np.float32)
-        self.weight = idf[self.term] * tf * np.float32(K1 + 1) / (tf + norm[self.doc])
-        self.by_doc = np.argsort(self.doc.astype(np.uint16) if n <= 1 << 16 else self.doc, kind="stable")
-        self.doc_bounds = np.searchsorted(self.doc[self.by_doc], np.arange(n + 1))
+        self._index(term, doc, idf[term] * tf * np.float32(K1 + 1) / (tf + norm[doc]), n)
 
-    def neighbours(self, seed: int, unused: np.ndarray, terms: int | None = None) -> np.ndarray:
-        """Unused documents by falling score against all distinct terms of the seed; ties by document.
+    def neighbours(self, seed: int, unused: np.ndarray, first: int = 256):
+        """Unused documents by falling score against all distinct terms of the seed, ties by document: an iterator.
 
-        ``terms`` keeps the heaviest so many terms only, for comparison.
+        The ``first`` are sorted at once and the others, all of them, only when these run out.
         """
         own = self.by_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]]
-        if terms is not None and len(own) > terms:
-            own = own[np.argpartition(-self.weight[own], terms - 1)[:terms]]
-        spans = [slice(self.bounds[t], self.bounds[t + 1] if t + 1 < 1 << 16 else None) for t in self.term[own].tolist()]
+        spans = [slice(self.bounds[t], self.bounds[t + 1]) for t in self.term[own].tolist()]
+        if not spans:
+            return
         docs, weight = (np.concatenate([x[s] for s in spans]) for x in (self.doc, self.weight))
         score = np.bincount(docs, weight, len(unused))
         u = np.flatnonzero((score > 0) & unused)
         score = score[u]
-        if len(u) > 256:  # more than ever fill a window come into question only when these are used up
-            top = np.argpartition(-score, 255)[:256]
-            u, score = u[top], score[top]
-        return u[np.lexsort((u, -score))]
-
-
-def pack(ids: np.ndarray, per_doc: np.ndarray, window: int = 2048, terms: int | None = None) -> np.ndarray:
+        if len(u) > first:
+            edge = np.partition(score, len(u) - first)[len(u) - first]
+            above = score >= edge  # ties at the edge come along, so that the order is that of all
+            yield from u[above][np.lexsort((u[above], -score[above]))].tolist()
+            u, score = u[~above], score[~above]
+        yield from u[np.lexsort((u, -score))].tolist()
+
+    def prune(self, unused: np.ndarray) -> None:
+        """Drops the postings of used documents; weights stay those of the whole shard."""
+        keep = unused[self.doc]
+        self._index(self.term[keep], self.doc[keep], self.weight[keep], len(unused))
+
+    def _index(self, term: np.ndarray, doc: np.ndarray, weight: np.ndarray, n: int) -> None:
+        self.term, self.doc, self.weight = term, doc, weight
+        self.bounds = np.searchsorted(term, np.arange((1 << 16) + 1))
+        self.by_doc = np.argsort(doc.astype(np.uint16) if n <= 1 << 16 else doc, kind="stable")
+        self.doc_bounds = np.searchsorted(doc[self.by_doc], np.arange(n + 1))
+
+
+def pack(ids: np.ndarray, per_doc: np.ndarray, window: int = 2048) -> np.ndarray:
     """Rows (document, start, length, sequence, offset) that hold each id once."""
     out, seq = [], 0
     whole = per_doc // window
@@ -76,35 +87,38 @@ def pack(ids: np.ndarray, per_doc: np.ndarray, window: int = 2048, terms: int |
             seq += 1
     start, left = whole * window, per_doc % window
     unused = left > 0
-    index = Bm25(ids, per_doc) if unused.sum() > 1 else None
+    live = indexed = int(unused.sum())
+    index = Bm25(ids, per_doc) if live > 1 else None
     cursor, n = 0, len(per_doc)
     while True:
         while cursor < n and not unused[cursor]:
             cursor += 1
         if cursor == n:
             return np.array(out, np.int64).reshape(-1, 5)
-        space, current, ranked = window, cursor, iter(())
-        asked = False
+        if index is not None and 4 * live < 3 * indexed:
+            index.prune(unused)  # so that a shard's work is not the square of its documents
+            indexed = live
+        space, current = window, cursor
+        ranked = index.neighbours(cursor, unused) if index is not None else iter(())
         while space and current is not None:
             take = min(space, int(left[current]))
             out.append((current, int(start[current]), take, seq, window - space))
             space -= take
             start[current] += take
             left[current] -= take
-            unused[current] = left[current] > 0
+            if not left[current]:
+                unused[current], live = False, live - 1
             if not space:
                 break
-            if not asked and index is not None:
-                ranked, asked = iter(index.neighbours(cursor, unused, terms).tolist()), True
-            current = next(ranked, None)
-            if current is None:  # no more lexical neighbours: the next unused one
+            current = next((d for d in ranked if unused[d]), None)
+            if current is None:  # no unused document shares a term with the seed: the next one in order
                 while cursor < n and not unused[cursor]:
                     cursor += 1
                 current = cursor if cursor < n else None
         seq += 1
 
 
-def _packer(vocab: str, window: int, shard_tokens: int, terms: int | None):
+def _packer(vocab: str, window: int, shard_tokens: int):
     def run(batches):
         pid, base, held, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -112,7 +126,7 @@ def _packer(vocab: str, window: int, shard_tokens: int, terms: int | None):
             nonlocal base
             ids, per, docs = (np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), pa.chunked_array([x[2] for x in held]).combine_chunks())
             held.clear()
-            p = pack(ids, per, window, terms)
+            p = pack(ids, per, window)
             first = (np.cumsum(per) - per)[p[:, 0]] + p[:, 1]
             wide = ids.astype("<u4")
             crc = [zlib.crc32(wide[s : s + k]) for s, k in zip(first.tolist(), p[:, 2].tolist(), strict=True)]
@@ -136,7 +150,7 @@ def _packer(vocab: str, window: int, shard_tokens: int, terms: int | None):
     return run
 
 
-def pack_documents(docs: DataFrame, vocab: str | None = None, window: int = 2048, shard_tokens: int = 3_000_000, terms: int | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, vocab: str | None = None, window: int = 2048, shard_tokens: int = 3_000_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_packer(vocab or vocabulary(), window, shard_tokens, terms), PIECES)
+    docs = rows_of(docs)
+    return docs.mapInArrow(_packer(vocab or vocabulary(), window, shard_tokens), PIECES)

@@ -1,4 +1,8 @@
-"""A bounded per-process cache from byte pieces to token ids, looked up and assembled with array operations."""
+"""A bounded per-process cache from byte pieces to token ids, looked up and assembled with array operations.
+
+A piece is known by two independent 64-bit hashes: the first finds its place, the second must agree with the one kept there.
+A span whose second hash differs is encoded by itself.
+"""
 
 from __future__ import annotations
 
@@ -24,7 +28,7 @@ class PieceCache:
         none_k, none_v = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.old, self.new = (none_k, none_v), (none_k, none_v)
         self.ids, self.used = np.zeros(1 << 16, self.kind), 0
-        self.starts, self.lens, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), 0
+        self.starts, self.lens, self.check, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.uint64), 0
 
     @staticmethod
     def _find(level, u: np.ndarray) -> np.ndarray:
@@ -34,20 +38,23 @@ class PieceCache:
         at = np.minimum(np.searchsorted(keys, u), len(keys) - 1)
         return np.where(keys[at] == u, values[at], -1)
 
-    def _add(self, ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    def _add(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, check: np.ndarray) -> np.ndarray:
+        ids, lens = self.encode([raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         while self.n + len(lens) > len(self.lens):
-            self.starts, self.lens = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lens))
+            self.starts, self.lens, self.check = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lens, self.check))
         self.ids[self.used : self.used + len(ids)] = ids
         places = np.arange(self.n, self.n + len(lens))
         self.lens[places] = lens
+        self.check[places] = check
         self.starts[places] = self.used + np.cumsum(lens) - lens
         self.used, self.n = self.used + len(ids), self.n + len(lens)
         return places
 
-    def tokens(self, raw: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces in order, number of ids of each piece) of the spans of ``raw``."""
+    def tokens(self, raw: bytes, keys: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in order, number of ids of each piece) of the spans of ``raw``; ``keys``: both hashes of each."""
+        hashes, check = keys
         if not len(hashes):
             return np.zeros(0, self.kind), np.zeros(0, np.int64)
         if self.n > self.most:
@@ -59,12 +66,15 @@ class PieceCache:
         miss = np.flatnonzero(place < 0)
         if len(miss):
             at = first[miss]
-            place[miss] = self._add(*self.encode([raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]))
+            place[miss] = self._add(raw, starts[at], ends[at], check[at])
             self.new = _merge(*self.new, u[miss], place[miss])
             if len(self.new[0]) > max(1 << 16, len(self.old[0]) // 4):
                 self.old = _merge(*self.old, *self.new)
                 self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         place = place[back]
+        other = np.flatnonzero(self.check[place] != check)
+        if len(other):
+            place[other] = self._add(raw, starts[other], ends[other], check[other])
         lens = self.lens[place].astype(np.int64)
         ends_out = np.cumsum(lens)
         return self.ids[np.repeat(self.starts[place] - (ends_out - lens), lens) + np.arange(ends_out[-1])], lens

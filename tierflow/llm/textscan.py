@@ -3,28 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
-_B = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_B, -1, 1 << 64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _rng = np.random.Generator(np.random.PCG64(20240607))
-_TABLE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
-_LOWER = _TABLE.copy()
-_LOWER[65:91] = _TABLE[97:123]
 _MIX = _rng.integers(1, 1 << 63, 16, dtype=np.uint64) * U(2) + U(1)
-_POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
-        for k, base in enumerate((_B, _INV)):
-            p = np.full(size, base, U)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0][:n], _POWERS[1]
+_HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first k bytes of a word of eight
+LONG = 64  # longer spans are hashed one by one by xxh3
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -50,14 +39,43 @@ def word_spans(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.diff(np.searchsorted(starts, offs))
 
 
-def span_hash(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hashes of byte spans; equal bytes (A-Z as a-z with ``lower``) give equal hashes."""
+def lowered(b: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return _LOWER[b]
+
+
+def span_keys(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, lanes: int = 2) -> list[np.ndarray]:
+    """``lanes`` independent 64-bit hashes of byte spans; equal bytes (A-Z as a-z with ``lower``) give equal hashes.
+
+    Each lane chains the span's words of eight bytes through the finaliser, so it has no families of colliding spans; spans
+    of up to eight bytes and one length never collide. Spans over ``LONG`` bytes are digested by xxh3 with the lane's seed.
+    """
     if not len(starts):
-        return np.zeros(0, U)
-    up, down = _powers(len(b) + 1)
-    total = np.zeros(len(b) + 1, U)
-    np.cumsum((_LOWER if lower else _TABLE)[b] * up[:-1], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] ^ (ends - starts).astype(U) * _MIX[15])
+        return [np.zeros(0, U) for _ in range(lanes)]
+    wide = np.zeros(len(b) + 16, np.uint8)
+    wide[: len(b)] = lowered(b) if lower else b
+    words = np.ndarray((len(b) + 8,), "<u8", buffer=wide, strides=(1,))
+    size = ends - starts
+    first = words[starts] & _HEAD[np.minimum(size, 8)]
+    seeds = size.astype(U) * _MIX[15]
+    out = [mix(first ^ (seeds + _MIX[14 - k])) for k in range(lanes)]
+    at, place = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(at):
+        block = words[starts[at] + place] & _HEAD[np.minimum(size[at] - place, 8)]
+        for k, h in enumerate(out):
+            h[at] = mix((h[at] ^ block) * _MIX[12 - k])
+        place += 8
+        at = at[size[at] > place]
+    for i in np.flatnonzero(size > LONG).tolist():
+        raw = wide[starts[i] : ends[i]].data
+        for k, h in enumerate(out):
+            h[i] = xxhash.xxh3_64_intdigest(raw, seed=k + 1)
+    return out
+
+
+def span_hash(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """The first lane of ``span_keys``."""
+    return span_keys(b, starts, ends, lower, 1)[0]
 
 
 def shingles(words: np.ndarray, counts: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.llm.base import Workspace, crc_mod, ragged, row_chunks, text_buffers
+from tierflow.llm.base import Workspace, crc_mod, ragged, row_chunks, rows_of, text_buffers
 from tierflow.llm.textscan import U, mix, span_hash
 from tierflow.llm.word_bpe import units
 
@@ -254,7 +254,7 @@ def _scorer(model: Model, least: float | None):
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = rows_of(docs)
     scored = docs.mapInArrow(_scorer(train(docs, labels, sample), None), "doc_id long, score double")
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

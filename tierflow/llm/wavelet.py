@@ -16,7 +16,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tierflow.llm.base import Workspace, filesystem, parts, row_chunks, text_buffers
+from tierflow.llm.base import Workspace, filesystem, parts, row_chunks, rows_of, text_buffers
 from tierflow.llm.word_bpe import encoder, vocabulary, with_end
 
 MAGIC, LEVELS = b"WVMX0001", 16
@@ -173,7 +173,7 @@ def write_shards(docs: DataFrame, ws: Workspace, vocab: str | None = None, shard
     Null texts are empty; null doc_ids come first; rows that share a doc_id are ordered by text. An empty table gives an
     empty manifest.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = rows_of(docs)
     docs = docs.repartitionByRange(parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
     write = _writer(ws.path("shards"), vocab or vocabulary(), shard_tokens)
     fs, path = filesystem(ws.path("shards"))

@@ -13,7 +13,7 @@ from itertools import chain
 import numpy as np
 
 from tierflow.llm.piececache import PieceCache
-from tierflow.llm.textscan import SPACES, U, span_hash
+from tierflow.llm.textscan import SPACES, lowered, span_keys
 
 _MARK = np.zeros(256, bool)
 _MARK[list(b".,!?;:*$%&#()-")] = True
@@ -77,11 +77,12 @@ class WordEncoder:
     def encode(self, b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in order, ids per row)."""
         starts, ends, per_row = units(b, offs)
-        h = span_hash(b, starts, ends)
+        known = lowered(b)  # the model works in lower case, so these may share an entry
         if (b == 60).any():  # special tokens are matched before the lower case
             sign = np.concatenate(([0], np.cumsum(b == 60)))
-            h = np.where(sign[ends] > sign[starts], span_hash(b, starts, ends, lower=False) ^ U(0x5555555555555555), h)
-        ids, lens = self.pieces.tokens(b.tobytes(), h, starts, ends)
+            for k in np.flatnonzero(sign[ends] > sign[starts]).tolist():
+                known[starts[k] : ends[k]] = b[starts[k] : ends[k]]
+        ids, lens = self.pieces.tokens(b.tobytes(), span_keys(known, starts, ends, lower=False), starts, ends)
         total = np.concatenate(([0], np.cumsum(lens)))
         return ids, np.diff(total[np.concatenate(([0], np.cumsum(per_row)))])
 
