@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,19 +187,59 @@ def test_grammar_readings():
     assert read(t.THREAT) == set() and read(t.TARGET, t.THREAT) == {"threat"}
 
 
-def test_toxicity_on_held_out_rows(spark):
+def test_grammar_is_the_composition_of_its_parts():
+    """Each string of up to five symbols, fed through the five transducers one after the other."""
+    import itertools
+
+    t = toxicity
+    parts = [t.threats(), t.targets(), t.negations(), t.reports(), t.insults()]
+    for n in range(1, 6):
+        for string in itertools.product(t.SYMBOLS, repeat=n):
+            states, state = [p.start for p in parts], t.GRAMMAR.start
+            for symbol in string:
+                state, got = t.GRAMMAR.arcs[state, symbol]
+                for k, p in enumerate(parts):
+                    states[k], symbol = p.step(states[k], symbol)
+                assert got == symbol
+    assert {r for _, r in t.GRAMMAR.arcs.values()} == {None, *t.READINGS}
+
+
+@pytest.fixture(scope="module", params=["doc_id < 6000", "doc_id >= 4000", "doc_id % 2 = 0"])
+def subset(spark, request):
     sf = "/root/testdata/sf0.1"
-    docs, labels = table(spark, sf, "documents").where("doc_id < 6000"), table(spark, sf, "labels")
+    docs, labels = table(spark, sf, "documents").where(request.param), table(spark, sf, "labels")
+    return docs, labels
+
+
+def test_toxicity_on_held_out_rows(subset):
+    docs, labels = subset
     got = toxicity.toxicity(docs, labels)
     r = got.join(labels, "doc_id").where("held_out").agg(*(F.expr(f"count_if({c})").alias(n) for n, c in {"tp": "toxic = 1 and predicted = 1", "p": "toxic = 1", "fp": "toxic = 0 and predicted = 1", "n": "toxic = 0"}.items())).first()
-    assert r.tp >= 0.75 * r.p and r.fp <= 0.01 * r.n  # few labels here: rare stems stay unknown
+    assert r.tp >= 0.85 * r.p and r.fp <= 0.01 * r.n
 
 
-def test_toxicity_recall_with_few_labels(spark):
-    sf = "/root/testdata/sf0.1"
-    docs, labels = table(spark, sf, "documents").where("doc_id < 6000"), table(spark, sf, "labels")
-    r = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").agg(F.expr("count_if(toxic = 1 and predicted = 1)").alias("tp"), F.expr("count_if(toxic = 1)").alias("p"), F.expr("count_if(toxic = 0 and predicted = 1)").alias("fp"), F.expr("count_if(toxic = 0)").alias("n")).first()
-    assert r.tp >= 0.85 * r.p and r.fp <= 0.01 * r.n
+def test_the_grammar_decides(spark, subset):
+    docs, labels = subset
+    m = toxicity.train(docs, labels)
+    assert m.factors["threat"] > 0 and m.factors["targeted"] > m.factors["plain"] > max(m.factors["negated"], m.factors["reported"])
+    assert all(c >= 0 for c in m.coefficients[:-1]) and sum(m.coefficients[:-1]) > 0
+    words = "one fine day the people of the town went out to look at the old mill by the river and came home late"
+    said = {1: "idiot", 2: f"{words} idiot", 3: "you idiot", 4: "you are a stupid worthless idiot", 5: "I will kill you", 6: "he said you idiot", 7: "you are not an idiot", 8: words}
+    texts = list(said.values())
+    from tierflow.llm.base import text_buffers
+
+    b, offs = text_buffers(pa.array(texts))
+    found = toxicity.findings(b, offs, toxicity.Lexicon({}))
+    score = dict(zip(said, m.scores(found), strict=True))
+    assert max(score[k] for k in (1, 2, 6, 7, 8)) < 0.5 < min(score[k] for k in (3, 4, 5))
+
+
+def test_conflicting_labels_count_as_toxic(spark):
+    rows = [(k, f"plain words number {k} again") for k in range(40)] + [(100 + k, f"you zorkface and zorkface number {k}") for k in range(40)]
+    labels = [(k, 0) for k, _ in rows if k < 100] + [(k, y) for k, _ in rows if k >= 100 for y in (0, 1, None)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels).collect()}
+    assert all(got[k] == (k >= 100) for k in got)
 
 
 def test_toxicity_edges(spark, documents, empty, by_id):

@@ -1,26 +1,37 @@
 """Toxicity by a weighted finite-state pattern grammar whose lexical weights are learned from labels.
 
 Lexical layer: whole units and byte prefixes of units carry log-odds learned from labelled rows, beside a short general
-list of insults, threats, targets, negations and verbs of speech. Grammar layer: transducers for insult, threat, target,
-negation and reported speech are composed into one automaton; it reads the symbols of a clause and adds each weight to
-the sum of the reading in which it stands (plain, targeted, negated, reported, threat). A logistic layer, fitted on the
-same labelled rows, turns the sums of a document's clauses into a score.
+list of insults, threats, targets, negations and verbs of speech. It turns a clause into a string of symbols.
+
+Grammar layer: five transducers read that string, one after the other: threat (a threat verb with a target on either side),
+target (an insult after a target), negation (what stands within its reach), reported speech (what follows its verb) and
+insult (events to readings). ``compose`` makes one machine of them; its events carry the lexical weight of their unit. A
+document's strength is the sum over its events, each times the factor of its reading; the strongest event that aims at
+nobody and threatens nobody is left out, so one isolated word never decides.
+
+Calibration: a logistic layer over the strength and its share of the text. Lexicon weights are learned on all folds but
+one and the logistic layer and the factors are fitted on the events found in the fold left out, so that they see weights
+as they are on unseen text. Factors keep the order of the grammar: threat and targeted above plain, plain above negated
+and reported.
 
 Learning reads at most ``sample`` toxic and twice as many clean labelled rows of the training folds, those with the smallest
 hashes of their ids; all scoring covers every row and the whole text. Labels, language, source and id are no inputs of a score.
 
 Defined cases: null, empty and clean texts get the score of a text without findings; without labelled rows the general
-list alone scores; null ids count as the empty text in the folds; equal texts get equal scores; extra columns are ignored.
+list alone scores; null ids count as the empty text in the folds; equal texts get equal scores; a document with several
+labels is toxic if one of them says so; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierflow.llm.base import Workspace, crc_mod, ragged, row_chunks, rows_of, text_buffers
-from tierflow.llm.textscan import U, mix, span_hash
+from tierflow.llm.textscan import U, lowered, mix, span_hash
 from tierflow.llm.word_bpe import units
 
 # The general word lists, in several languages.
@@ -30,10 +41,16 @@ TARGETS = "you your yours u he she they them him her du dich dir ihr euch sie tu
 NEGATIONS = "not never no nobody isn't aren't don't doesn't nicht kein keine nie ne pas jamais non nunca jamás".split()
 SPEECH = "said says say wrote writes claimed called quoted reported according sagte sagt schrieb laut dit écrit selon dijo dice según".split()
 
-PREFIXES = (4, 5, 6, 7)
-INSULT, THREAT, TARGET, NEGATION, SPEECH_VERB, WORD = range(6)
-READINGS = ("plain", "targeted", "negated", "reported", "threat")
-REACH = 3  # words that a negation reaches
+PREFIXES = (3, 4, 5, 6, 7, 8)
+SYMBOLS = INSULT, THREAT, TARGET, NEGATION, SPEECH_VERB, WORD = ("insult", "threat", "target", "negation", "speech", "word")
+READINGS = ("plain", "targeted", "threat", "negated", "reported")
+REACH = 3  # words that a target or a negation reaches
+FOLDS = 5
+GENERAL = 3.0  # weight of the general list's insults and threats
+#: Factors of the readings before any label is seen, and those among which the fit chooses.
+FACTORS = {"plain": 1.0, "targeted": 1.5, "threat": 2.0, "negated": 0.25, "reported": 0.25}
+CHOICES = {"targeted": (1.2, 1.5, 2.0, 3.0), "negated": (0.1, 0.25, 0.5), "reported": (0.1, 0.25, 0.5)}
+DEFAULT = [0.7, 3.4, -6.0]
 
 
 def _word_hash(word: str) -> int:
@@ -44,50 +61,111 @@ def _word_hash(word: str) -> int:
 LISTS = {kind: {_word_hash(w) for w in words} for kind, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (SPEECH_VERB, SPEECH))}
 
 
-def compose() -> dict[tuple[int, int], tuple[int, str | None]]:
-    """The composed automaton: (state, symbol) to (state, reading that takes the weight of an insult or threat).
+class Transducer:
+    """A deterministic transducer: arcs from (state, symbol read) to (next state, symbol written). Other symbols pass."""
+
+    def __init__(self, start, arcs: dict):
+        self.start, self.arcs = start, arcs
+
+    def step(self, state, symbol):
+        return self.arcs.get((state, symbol), (state, symbol))
+
+    def compose(self, other: Transducer, alphabet) -> Transducer:
+        """The transducer that feeds what this one writes to ``other``; only states that can be reached are made."""
+        start = (self.start, other.start)
+        arcs, todo, known = {}, [start], {start}
+        while todo:
+            state = todo.pop()
+            for symbol in alphabet:
+                mine, written = self.step(state[0], symbol)
+                theirs, out = other.step(state[1], written)
+                arcs[state, symbol] = ((mine, theirs), out)
+                if (mine, theirs) not in known:
+                    known.add((mine, theirs))
+                    todo.append((mine, theirs))
+        return Transducer(start, arcs)
+
+
+def threats() -> Transducer:
+    """A threat verb up to REACH words after a target, or a target up to REACH words after a threat verb: a threat at someone.
 
-    A state holds the words that a negation still reaches, whether speech is reported, and the distance (to 3) from the
-    last target; the transducers for these run side by side.
+    States: how near the last target and the last threat verb are.
     """
-    table = {}
-    for neg in range(REACH + 1):
-        for told in (0, 1):
-            for near in range(REACH + 1):
-                state = (neg * 2 + told) * (REACH + 1) + near
-                for symbol in range(6):
-                    n, t, d = max(neg - 1, 0), told, max(near - 1, 0)
-                    reading = None
-                    if symbol == NEGATION:
-                        n = REACH
-                    elif symbol == SPEECH_VERB:
-                        t = 1
-                    elif symbol == TARGET:
-                        d = REACH
-                    elif symbol in (INSULT, THREAT):
-                        reading = "reported" if told else "negated" if neg else "threat" if symbol == THREAT and near else None if symbol == THREAT else "targeted" if near else "plain"
-                    table[state, symbol] = ((n * 2 + t) * (REACH + 1) + d, reading)
-    return table
+    arcs = {}
+    for near, verb in product(range(REACH + 1), repeat=2):
+        after = max(near - 1, 0), max(verb - 1, 0)
+        arcs |= {((near, verb), x): (after, x) for x in (NEGATION, SPEECH_VERB, WORD)}
+        arcs[(near, verb), INSULT] = ((near, after[1]), INSULT)
+        arcs[(near, verb), THREAT] = ((near, 0), "threat at") if near else ((0, REACH), WORD)
+        arcs[(near, verb), TARGET] = ((REACH, 0), "threat at" if verb else TARGET)
+    return Transducer((0, 0), arcs)
+
+
+def targets() -> Transducer:
+    """An insult up to REACH words after a target, other insults not counted, is aimed at it. State: how near the target is."""
+    arcs = {}
+    for near in range(REACH + 1):
+        arcs |= {(near, x): (max(near - 1, 0), x) for x in (NEGATION, SPEECH_VERB, WORD)}
+        arcs |= {(near, x): (REACH, x) for x in (TARGET, "threat at")}
+        arcs[near, INSULT] = (near, "insult at" if near else INSULT)
+    return Transducer(0, arcs)
+
+
+EVENTS = (INSULT, "insult at", "threat at")
+
+
+def negations() -> Transducer:
+    """Events up to REACH words after a negation are negated. State: the words it still reaches."""
+    arcs = {}
+    for left in range(REACH + 1):
+        arcs |= {(left, x): (max(left - 1, 0), x) for x in (TARGET, SPEECH_VERB, WORD)}
+        arcs |= {(left, x): (left, "negated" if left else x) for x in EVENTS}
+        arcs[left, NEGATION] = (REACH, NEGATION)
+    return Transducer(0, arcs)
+
+
+def reports() -> Transducer:
+    """Events after a verb of speech are reported, to the clause's end."""
+    told = {(True, x): (True, "reported") for x in (*EVENTS, "negated")}
+    return Transducer(False, told | {(False, SPEECH_VERB): (True, SPEECH_VERB)})
+
+
+def insults() -> Transducer:
+    """Names the reading of each event; all other symbols are silent."""
+    named = {INSULT: "plain", "insult at": "targeted", "threat at": "threat", "negated": "negated", "reported": "reported"}
+    return Transducer(0, {(0, x): (0, named.get(x)) for x in (*SYMBOLS, *named)})
+
+
+def compose() -> Transducer:
+    machine = threats()
+    for part in (targets(), negations(), reports(), insults()):
+        machine = machine.compose(part, SYMBOLS)
+    return machine
 
 
 GRAMMAR = compose()
 
 
-def read_clause(symbols: list[int], weights: list[float], sums: dict[str, float]) -> None:
-    state = 0
+def read_clause(symbols: list[str], weights: list[float], sums: dict[str, float]) -> float:
+    """Adds the clause's events to ``sums``; returns the largest weight among those that are neither aimed nor a threat."""
+    state, top = GRAMMAR.start, 0.0
     for symbol, weight in zip(symbols, weights, strict=True):
-        state, reading = GRAMMAR[state, symbol]
+        state, reading = GRAMMAR.arcs[state, symbol]
         if reading:
             sums[reading] += weight
+            if reading not in ("targeted", "threat"):
+                top = max(top, weight)
+    return top
 
 
 def unit_features(b: np.ndarray, offs: np.ndarray):
     """(starts, ends, units per row, [hashes of the whole units, then of each prefix length; 0 where there is none])."""
+    b = lowered(b)
     starts, ends, per_row = units(b, offs)
-    out = [span_hash(b, starts, ends)]
+    out = [span_hash(b, starts, ends, lower=False)]
     for k in PREFIXES:
         longer = ends - starts > k
-        out.append(np.where(longer, mix(span_hash(b, starts, np.minimum(ends, starts + k)) + U(k)), U(0)))
+        out.append(np.where(longer, mix(span_hash(b, starts, np.minimum(ends, starts + k), lower=False) + U(k)), U(0)))
     return starts, ends, per_row, out
 
 
@@ -95,7 +173,7 @@ class Lexicon:
     """Learned weights by feature hash, looked up through a bit table first."""
 
     def __init__(self, learned: dict[int, float]):
-        both = {_word_hash(w): 3.0 for w in INSULTS} | {k & (1 << 64) - 1: v for k, v in learned.items()}
+        both = {_word_hash(w): GENERAL for w in INSULTS} | {k & (1 << 64) - 1: v for k, v in learned.items()}
         self.keys = np.array(sorted(both), np.uint64)
         self.weights = np.array([both[int(k)] for k in self.keys], np.float64)
         self.maybe = np.zeros(1 << 16, bool)
@@ -111,12 +189,14 @@ class Lexicon:
 
 
 _THREATS = np.array(sorted(LISTS[THREAT]), np.uint64)
+FOUND = len(READINGS) + 2  # a row of findings: the sum of each reading, the strongest event without aim, the units
 
 
-def sums_of(b: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
-    """The sum of each reading for each row."""
+def findings(b: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+    """The findings of each row."""
     starts, ends, per_row, feats = unit_features(b, offs)
-    out = np.zeros((len(offs) - 1, len(READINGS)))
+    out = np.zeros((len(offs) - 1, FOUND))
+    out[:, -1] = per_row
     if not len(starts):
         return out
     weight = lexicon.look(feats[0])
@@ -136,102 +216,150 @@ def sums_of(b: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
     for i, r in zip(found.tolist(), row.tolist(), strict=True):
         if i <= done:
             continue  # its clause has been read
-        lo = hi = i
-        while lo > bounds[r] and clause[lo - 1] == clause[i]:
-            lo -= 1
-        while hi < bounds[r + 1] and clause[hi] == clause[i]:
-            hi += 1
+        lo = max(int(np.searchsorted(clause, clause[i])), bounds[r])
+        hi = min(int(np.searchsorted(clause, clause[i], "right")), bounds[r + 1])
         done = hi - 1
         symbols = []
         for h, w in zip(feats[0][lo:hi].tolist(), weight[lo:hi].tolist(), strict=True):
             symbols.append(INSULT if w > 0 else next((k for k, words in LISTS.items() if h in words), WORD))
         sums = dict.fromkeys(READINGS, 0.0)
-        read_clause(symbols, [w if w > 0 else 2.0 for w in weight[lo:hi].tolist()], sums)
-        out[r] += [sums[k] for k in READINGS]
+        top = read_clause(symbols, [w if w > 0 else GENERAL for w in weight[lo:hi].tolist()], sums)
+        out[r, : len(READINGS)] += [sums[k] for k in READINGS]
+        out[r, -2] = max(out[r, -2], top)
     return out
 
 
 def _count_features(batches):
-    """(feature, toxic documents, documents) per batch: each feature once a document."""
+    """(feature, fold, toxic documents, documents) per batch: each feature once a document."""
     for batch in batches:
         b, offs = text_buffers(batch.column("text"))
-        toxic = batch.column("toxic").to_numpy()
+        toxic, fold = batch.column("toxic").to_numpy(), batch.column("fold").to_numpy()
         for i, j in row_chunks(offs):
             _, _, per_row, feats = unit_features(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            row = np.repeat(np.arange(j - i, dtype=np.uint64), per_row)
-            h = np.concatenate(feats)
-            keep = h != 0
-            pair = np.unique(np.stack((h[keep], np.tile(row, len(feats))[keep])), axis=1) if keep.any() else np.zeros((2, 0), np.uint64)
-            u, back = np.unique(pair[0], return_inverse=True)
-            t = np.bincount(back, toxic[i:j][pair[1].astype(np.int64)], minlength=len(u)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(t), pa.array(np.bincount(back, minlength=len(u)).astype(np.int64))], ["feature", "t", "n"])
+            row, h = np.tile(np.repeat(np.arange(j - i), per_row), len(feats)), np.concatenate(feats)
+            u, back = np.unique(h[h != 0], return_inverse=True)
+            pair = np.unique(back * (j - i) + row[h != 0])
+            feature, doc = pair // (j - i), pair % (j - i)
+            key = feature * FOLDS + fold[i:j][doc]
+            n, t = np.bincount(key, minlength=len(u) * FOLDS), np.bincount(key, toxic[i:j][doc], minlength=len(u) * FOLDS)
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(u[at // FOLDS].view(np.int64)), pa.array((at % FOLDS).astype(np.int32)), pa.array(t[at].astype(np.int64)), pa.array(n[at].astype(np.int64))], ["feature", "fold", "t", "n"])
+
 
+def _sample_findings(lexica: list[dict[int, float]]):
+    """The findings of the sample's rows, each by the lexicon that its fold did not teach."""
 
-def _sample_sums(learned: dict[int, float]):
     def run(batches):
-        lexicon = Lexicon(learned)
+        looked = [Lexicon(x) for x in lexica]
         for batch in batches:
-            b, offs = text_buffers(batch.column("text"))
-            for i, j in row_chunks(offs):
-                s = sums_of(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lexicon)
-                yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(i, j - i), ragged(s.ravel(), np.full(len(s), len(READINGS)), pa.float64())], ["toxic", "sums"])
+            for k, lexicon in enumerate(looked):
+                part = batch.filter(pa.array(batch.column("fold").to_numpy() == k))
+                b, offs = text_buffers(part.column("text"))
+                for i, j in row_chunks(offs):
+                    s = findings(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lexicon)
+                    yield pa.RecordBatch.from_arrays([part.column("toxic").slice(i, j - i), ragged(s.ravel(), np.full(len(s), FOUND), pa.float64())], ["toxic", "found"])
 
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, turns: int = 50) -> np.ndarray:
-    """Ridge logistic coefficients, the intercept last, by Newton steps; coefficients of readings stay at least 0."""
-    x = np.hstack((x, np.ones((len(x), 1))))
-    w, penalty = np.zeros(x.shape[1]), np.diag([ridge] * (x.shape[1] - 1) + [1e-3])
-    for _ in range(turns):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (p - y) + penalty @ w)
-        w = w - step
-        if np.abs(step).max() < 1e-6:
-            break
-    w[:-1] = np.maximum(w[:-1], 0)
-    return w
+def _weights(t: np.ndarray, n: np.ndarray, pos: int, neg: int, evidence: float) -> np.ndarray:
+    """Log-odds less one standard error of features in t toxic of n documents; 0 without enough evidence."""
+    c, p = n - t, pos / (pos + neg)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(t > 0, t * np.log(t / (n * p)), 0.0) + np.where(c > 0, c * np.log(c / (n * (1 - p))), 0.0)
+    w = np.log((t + 0.5) / (pos + 1)) - np.log((c + 0.5) / (neg + 1)) - np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+    return np.where((ratio >= evidence) & (t > 0), np.maximum(w, 0), 0.0)
+
+
+def inputs(found: np.ndarray, factors: dict[str, float]) -> np.ndarray:
+    """The logistic layer's inputs: log strength, log strength per hundred units, and 1."""
+    strength = np.maximum(found[:, : len(READINGS)] @ [factors[k] for k in READINGS] - found[:, -2], 0)
+    strength = np.where(strength < 1e-9, 0, strength)
+    return np.stack((np.log1p(strength), np.log1p(100 * strength / (found[:, -1] + 20)), np.ones(len(found))), axis=1)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, turns: int = 100) -> tuple[np.ndarray, float]:
+    """(coefficients, loss) of a logistic layer with a ridge towards DEFAULT, by Newton steps.
+
+    Strength never counts against a text: an input that would is left out and the others are fitted anew.
+    """
+    use, prior, penalty = np.ones(x.shape[1], bool), np.array(DEFAULT), np.array([ridge] * (x.shape[1] - 1) + [1e-3])
+    while True:
+        w = np.where(use, prior, 0.0)
+        a = x * use
+        for _ in range(turns):
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + np.diag(penalty), a.T @ (p - y) + penalty * (w - prior) * use)
+            w = w - np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-6:
+                break
+        against = use & (w < 0)
+        against[-1] = False
+        if not against.any():
+            z = np.clip(a @ w, -30, 30)
+            return w, float((np.log1p(np.exp(z)) - y * z).sum() + 0.5 * (penalty * (w - prior) ** 2).sum())
+        use &= ~against
 
 
 class Model:
-    def __init__(self, learned: dict[int, float], coefficients: list[float]):
-        self.learned, self.coefficients = learned, coefficients
+    def __init__(self, learned: dict[int, float], factors: dict[str, float], coefficients: list[float]):
+        self.learned, self.factors, self.coefficients = learned, factors, coefficients
 
-    def scores(self, sums: np.ndarray) -> np.ndarray:
-        z = np.hstack((np.log1p(sums), np.ones((len(sums), 1)))) @ np.array(self.coefficients)
+    def scores(self, found: np.ndarray) -> np.ndarray:
+        z = inputs(found, self.factors) @ np.array(self.coefficients)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int = 5000, evidence: float = 18.0) -> Model:
-    """Learns lexicon and readings. ``sample``: most toxic rows (clean ones: twice that); ``entries``: most lexicon entries.
+def calibrate(found: np.ndarray, toxic: np.ndarray) -> tuple[dict[str, float], np.ndarray]:
+    """(factors, coefficients) of the least loss over findings of unseen rows."""
+    best = None
+    for chosen in product(*CHOICES.values()):
+        factors = FACTORS | dict(zip(CHOICES, chosen, strict=True))
+        w, loss = _logistic(inputs(found, factors), toxic)
+        loss += sum(np.log(factors[k] / FACTORS[k]) ** 2 for k in CHOICES)
+        if best is None or loss < best[0] - 1e-9:
+            best = loss, factors, w
+    return best[1], best[2]
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int = 5000, evidence: float = 10.0) -> Model:
+    """Learns lexicon, factors and calibration. ``sample``: most toxic rows (clean ones: twice that); ``entries``: most features.
 
-    A feature that speaks for toxicity enters when its log-likelihood ratio against the base rate reaches ``evidence``, so
-    that none of millions of neutral features is expected to enter by chance. Its weight is its log-odds less one standard
-    error: a feature of few documents, or one that clean rows use too, weighs less and is not dropped.
+    A feature that speaks for toxicity enters when its log-likelihood ratio against the base rate reaches ``evidence``. Its
+    weight is its log-odds less one standard error, so that features of few documents weigh less.
     """
     ws = Workspace(docs.sparkSession, "toxicity")
-    rows = labels.where(F.col("toxic").isNotNull()).where(crc_mod(F.col("doc_id"), 5) != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    rows = labels.where(F.col("toxic").isNotNull()).where(crc_mod(F.col("doc_id"), 5) != 0).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     pick = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k) for y, k in ((1, sample), (0, 2 * sample))]
     chosen = ws.keep(pick[0].unionByName(pick[1]), "chosen")  # at most 3 * sample narrow rows: bounded, so broadcast
-    texts = ws.keep(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "texts")
-    total = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pos, neg = total.get(1, 0), total.get(0, 0)
-    base = Model({}, [1.0] * len(READINGS) + [-1.0])
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = ws.keep(texts.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold")), "texts")
+    sizes = {(r["toxic"], r["fold"]): r["count"] for r in texts.groupBy("toxic", "fold").count().collect()}
+    per = {y: np.array([sizes.get((y, k), 0) for k in range(FOLDS)]) for y in (0, 1)}
+    pos, neg = int(per[1].sum()), int(per[0].sum())
     if not pos or not neg:
-        return base
-    counts = texts.mapInArrow(_count_features, "feature long, t long, n long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
-    weight = F.log((F.col("t") + 0.5) / (pos + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (neg + 1))
+        return Model({}, FACTORS, DEFAULT)
+    counts = texts.mapInArrow(_count_features, "feature long, fold int, t long, n long").groupBy("feature")
+    by_fold = [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}") for c in "tn" for k in range(FOLDS)]
+    counts = counts.agg(F.sum("t").alias("t"), F.sum("n").alias("n"), *by_fold).where(F.col("t") > 0)
     c, p = F.col("n") - F.col("t"), pos / (pos + neg)
-    weight = weight - F.sqrt(1 / (F.col("t") + 0.5) + 1 / (c + 0.5))
     ratio = F.col("t") * F.log(F.col("t") / (F.col("n") * p)) + F.when(c > 0, c * F.log(c / (F.col("n") * (1 - p)))).otherwise(0.0)
-    best = counts.where(F.col("t") > 0).where(ratio >= evidence).withColumn("w", weight).where(F.col("w") > 0).orderBy(F.desc("w"), "feature").limit(entries)
-    learned = {r["feature"]: r["w"] for r in best.collect()}
-    found = texts.mapInArrow(_sample_sums(learned), "toxic int, sums array<double>").collect()
-    x, y = np.log1p(np.array([r["sums"] for r in found])), np.array([r["toxic"] for r in found], float)
-    w = _logistic(x, y)
+    # Folds left out lower a ratio or raise it a little; half the evidence keeps every feature that some lexicon may admit.
+    top = counts.where(F.col("t") > F.col("n") * p).where(ratio >= evidence / 2).orderBy(F.desc(ratio), "feature").limit(entries).toArrow()
+    feature, t, n = (top.column(k).to_numpy() for k in ("feature", "t", "n"))
+    lexica = []
+    for k in range(FOLDS):
+        w = _weights(t - top.column(f"t{k}").to_numpy(), n - top.column(f"n{k}").to_numpy(), pos - int(per[1][k]), neg - int(per[0][k]), evidence)
+        lexica.append(dict(zip(feature[w > 0].tolist(), w[w > 0].tolist(), strict=True)))
+    found = texts.mapInArrow(_sample_findings(lexica), "toxic int, found array<double>").collect()
+    x, y = np.array([r["found"] for r in found]), np.array([r["toxic"] for r in found], float)
+    factors, coefficients = calibrate(x, y)
     every = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    w[-1] += np.log(every[1] / every[0]) - np.log(pos / neg)  # the sample holds more toxic rows than the labels do
-    return Model(learned, w.tolist())
+    coefficients[-1] += np.log(every[1] / every[0]) - np.log(pos / neg)  # the sample holds more toxic rows than the labels do
+    # A text without findings, or with one isolated word, is never toxic by itself.
+    coefficients[-1] = min(coefficients[-1], -1.0)
+    w = _weights(t, n, pos, neg, evidence)
+    return Model(dict(zip(feature[w > 0].tolist(), w[w > 0].tolist(), strict=True)), factors, coefficients.tolist())
 
 
 def _scorer(model: Model, least: float | None):
@@ -242,7 +370,7 @@ def _scorer(model: Model, least: float | None):
         for batch in batches:
             b, offs = text_buffers(batch.column("text"))
             for i, j in row_chunks(offs, 4 << 20):
-                s = [model.scores(sums_of(b[offs[k] : offs[m]], offs[k : m + 1] - offs[k], lexicon)) for k, m in ((i + x, i + y) for x, y in row_chunks(offs[i : j + 1] - offs[i]))]
+                s = [model.scores(findings(b[offs[k] : offs[m]], offs[k : m + 1] - offs[k], lexicon)) for k, m in ((i + x, i + y) for x, y in row_chunks(offs[i : j + 1] - offs[i]))]
                 score, part = np.concatenate(s), batch.slice(i, j - i)
                 if least is None:
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], ["doc_id", "score"])
