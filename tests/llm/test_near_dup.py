@@ -55,6 +55,55 @@ def test_large_group_of_copies_below_the_threshold(spark):
     assert got == brute(rows, 85)
 
 
+def family(n, seed=1):
+    rng = random.Random(seed)
+    base, rows = [f"w{k}" for k in range(90)], []
+    for i in range(n):
+        t = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            t[rng.randrange(90)] = f"z{rng.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+@pytest.mark.parametrize("linear, turns, shingles", [(0, 1, 200), (0, 2, 1 << 20), (10**9, 1, 1 << 20), (10**9, 3, 1 << 20)])
+def test_both_routes_find_the_same(spark, linear, turns, shingles):
+    rows = family(120, 3) + [(1000 + i, t + " tail") for i, t in family(40, 4)]
+    op = nd.NearDup(85, turns=turns, linear=linear, block=16, block_shingles=shingles)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in op.run(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute(rows, 85)
+
+
+def test_a_large_component_and_a_stranger(spark):
+    """20,000 members of one component and a stranger in a bucket give 20,000 pairs, not their square."""
+    labelled = spark.range(20_000).selectExpr("1L as key", "id", "0L as comp").unionAll(spark.sql("select 1L, 99999L, 99999L"))
+    mixed = nd.NearDup._mixed(labelled)
+    r = mixed.first()
+    assert (r.n, r.across, r.main) == (20_001, 20_000, 0)
+    pairs = nd.NearDup._across(labelled, mixed.selectExpr("*", "false as large"))
+    assert pairs.where("b = 99999").count() == pairs.count() == 20_000
+    made = {p: sum(1 for i in range(60) for j in range(i) if i % p != j % p) for p in (2, 3, 7)}
+    for p, want in made.items():
+        some = spark.range(60).selectExpr("1L as key", "id", f"id % {p} as comp")
+        assert nd.NearDup._across(some, nd.NearDup._mixed(some).selectExpr("*", "false as large")).count() == want
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_recall_of_the_bands(percent):
+    """Planted pairs at the threshold: at least 0.999 share a band and pass the estimate."""
+    rng, rows, found, n = np.random.default_rng(percent), nd.band_rows(percent), 0, 3000
+    assert (1 - (percent / 100) ** rows) ** (nd.BUCKETS // rows) <= nd.MISS
+    for _ in range(n):
+        union = int(rng.integers(60, 1500))
+        both = -(-percent * union // 100)
+        own = int(rng.integers(0, union - both + 1))
+        h = rng.integers(0, 2**63, union, dtype=np.uint64) * 2
+        x, y = np.sort(h[: both + own]), np.sort(np.concatenate((h[:both], h[both + own :])))
+        r, q = nd.registers_of(x), nd.registers_of(y)
+        shared = (nd.bands_of(r, rows) == nd.bands_of(q, rows)).any()
+        found += bool(shared and nd.likely(r[None], q[None], np.array([float(len(x))]), np.array([float(len(y))]), percent / 100)[0])
+    assert found >= 0.999 * n
+
+
 def test_nulls_and_empty_tables(spark, empty):
     assert nd.near_dup(empty).count() == 0
     rows = [(None, "a b c d e f"), (None, None), (7, "a b c d e f"), (3, None)]

@@ -100,6 +100,51 @@ def test_lm_base_score(documents, empty, by_id):
     assert lm.score(empty).count() == 0
 
 
+def test_lm_score_against_one_token_at_a_time(spark, monkeypatch):
+    """The model's score recomputed word by word in plain Python, with the weights that were learned."""
+    from tierflow.llm.textscan import span_hash
+
+    rng, held = np.random.default_rng(11), {}
+    rows = [(i, " ".join(f"w{int(k)}{'x' * int(k % 23)}" for k in np.minimum(rng.zipf(1.3, rng.integers(0, 60)), 5000))) for i in range(300)]
+    fit = lm.fit
+    monkeypatch.setattr(lm, "fit", lambda *a: held.setdefault("fitted", fit(*a)))
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), head=700).collect()}
+    vocab, weights, counts = held["fitted"]
+    p = {k: v.astype(float) for k, v in lm.unflat(weights).items()}
+    count = {r.h: (r.c, r.lc) for r in counts.collect()}
+    rank = {int(k): int(v) for k, v in zip(vocab.keys, vocab.place, strict=True)}
+    kind = {h: int(vocab.cls[r]) for h, r in rank.items()}
+    sums = Counter()
+    for h, (c, lc) in count.items():
+        sums[kind[h] if h in kind else ("rest", lc)] += c
+    distinct = Counter(lc for h, (_, lc) in count.items() if h not in rank)
+
+    def probability(h, size, state):
+        logit = state @ p["wc"] + p["bc"]
+        lc = 0 if size is None else int(np.searchsorted(lm.LENGTHS, size))
+        cls = kind.get(h, lm.GROUPS + lm.BINS + lc)
+        out = math.exp(logit[cls] - logit.max()) / np.exp(logit - logit.max()).sum()
+        c = count.get(h, (0, 0))[0]
+        if h in rank and rank[h] < lm.LEARNED:
+            inner = state @ p["wv"][cls] + p["bv"][cls]
+            return out * math.exp(inner[rank[h] % lm.GROUP] - inner.max()) / np.exp(inner - inner.max()).sum(), rank[h]
+        if h in rank:
+            return out * c / sums[cls], lm.LEARNED + cls
+        return out * (c + 0.1) / (sums["rest", lc] + 0.1 * (distinct[lc] + 1)), lm.LEARNED + cls
+
+    for i, text in rows[::7]:
+        state, fed, total = np.zeros(lm.H), lm.START, 0.0
+        words = [(int(span_hash(b, np.array([0]), np.array([len(b)])).view(np.int64)[0]), len(b)) for b in (np.frombuffer(w.encode(), np.uint8) for w in split(text))]
+        for h, size in [*words, (int(lm.END), None)]:
+            a, g = p["wx"][fed], state @ p["u"]
+            z, r = (1 / (1 + np.exp(-(a[k : k + lm.H] + g[k : k + lm.H]))) for k in (0, lm.H))
+            new = np.tanh(a[2 * lm.H :] + r * g[2 * lm.H :])
+            state = (1 - z) * new + z * state
+            q, fed = probability(h, size, state)
+            total += math.log10(q)
+        assert got[i] == pytest.approx(total, rel=1e-4, abs=1e-3)
+
+
 def test_lm_trains_on_every_training_document(spark, documents, monkeypatch):
     kept = {}
     keep = lm.Workspace.keep

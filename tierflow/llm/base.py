@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +76,17 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@cache
+def one_thread() -> None:
+    """Keeps numpy's matrix products of this worker on one thread: a task has one core, and waiting threads would burn others."""
+    for path in Path(np.__file__).parents[1].glob("numpy.libs/*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                return
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes, row offsets) of a string column; null reads as empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.llm.base import Workspace, crc_mod, parts, ragged, row_chunks, rows_of, text_buffers
+from tierflow.llm.base import Workspace, crc_mod, one_thread, parts, ragged, row_chunks, rows_of, text_buffers
 from tierflow.llm.textscan import span_hash, word_spans
 
 H, GROUPS, GROUP, BINS = 16, 16, 32, 24
@@ -233,24 +233,39 @@ def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, r
                 g["wv"][k], g["bv"][k] = hs[at].T @ inner, inner.sum(axis=0)
                 dhs[at] += inner @ p["wv"][k].T
         dhs, dh = dhs.reshape(cols.shape[1], streams, H), np.zeros((streams, H), np.float32)
+        das, dgs = np.empty((2, cols.shape[1], streams, 3 * H), np.float32)
         for t in range(cols.shape[1] - 1, -1, -1):
             before, z, r, n, gn = kept[t]
-            dh = dh + dhs[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            da = np.hstack((dz, dr, dn))
-            dg = np.hstack((dz, dr, dn * r))
-            np.add.at(g["wx"], inputs[cols[:, t]], da)
-            g["u"] += before.T @ dg
-            dh = (dh * z + dg @ p["u"].T) * ~first[cols[:, t]][:, None]
+            dh += dhs[t]
+            da, dg = das[t], dgs[t]
+            dn = dh * (1 - z)
+            dn *= 1 - n * n
+            np.multiply(dh * (before - n), z * (1 - z), out=da[:, :H])
+            np.multiply(dn * gn, r * (1 - r), out=da[:, H : 2 * H])
+            da[:, 2 * H :] = dn
+            dg[:, : 2 * H] = da[:, : 2 * H]
+            np.multiply(dn, r, out=dg[:, 2 * H :])
+            dh *= z
+            dh += dg @ p["u"].T
+            dh *= ~first[cols[:, t]][:, None]
+        # Every step's share at once: inputs are sorted, so that those that occur several times are summed.
+        fed = inputs[where]
+        order = np.argsort(fed, kind="stable")
+        fed = fed[order]
+        new = np.flatnonzero(np.concatenate(([True], fed[1:] != fed[:-1])))
+        g["wx"][fed[new]] = np.add.reduceat(das.reshape(-1, 3 * H)[order], new, axis=0)
+        g["u"] = np.concatenate([k[0] for k in kept]).T @ dgs.reshape(-1, 3 * H)
         norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-        scale = min(1.0, 1.0 / max(norm, 1e-9))
+        scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        size, root = np.float32(rate / (1 - 0.9**turn)), np.float32(1 / np.sqrt(1 - 0.999**turn))
         for k, x in g.items():
-            x = x * scale
-            m[k] = 0.9 * m[k] + 0.1 * x
-            v[k] = 0.999 * v[k] + 0.001 * x * x
-            p[k] = (p[k] - rate * (m[k] / (1 - 0.9**turn)) / (np.sqrt(v[k] / (1 - 0.999**turn)) + 1e-6)).astype(np.float32)
+            x *= scale
+            m[k] *= np.float32(0.9)
+            m[k] += np.float32(0.1) * x
+            v[k] *= np.float32(0.999)
+            x *= x
+            v[k] += np.float32(0.001) * x
+            p[k] -= size * m[k] / (np.sqrt(v[k]) * root + np.float32(1e-6))
     return p
 
 
@@ -278,6 +293,7 @@ def _tokens(batches, vocab: Vocabulary, most: int):
 
 def _trainer(vocab: Vocabulary, weights: np.ndarray):
     def run(batches):
+        one_thread()
         p, seen = unflat(weights), 0
         for held in _tokens(batches, vocab, 2_000_000):
             n, rank, cls, ids = (np.concatenate([x[k] for x in held]) for k in (1, 3, 4, 5))
@@ -294,6 +310,7 @@ PARTIAL = "row long, doc_id long, n_tokens long, head_known long, head_base doub
 
 def _scorer(vocab: Vocabulary, weights: np.ndarray):
     def run(batches):
+        one_thread()
         p, row = unflat(weights), TaskContext.get().partitionId() << 40
         logs = np.log10(vocab.c + 0.1) if len(vocab.c) else np.zeros(1)
         inside = vocab.inside if len(vocab.c) else np.zeros(1)

@@ -1,14 +1,16 @@
-"""Near-duplicate documents by HyperMinHash registers, banding, estimation and exact confirmation.
+"""Near-duplicate documents by HyperMinHash registers, banding, estimation and confirmation on the full sets.
 
 A document's set holds the 64-bit hashes of its distinct 5-word shingles (A-Z lower-cased). One hash per shingle picks one
 of 256 buckets; a register keeps the leading-zero count and ten mantissa bits of the smallest hash of its bucket. Bands of
-seven registers propose candidates (empty registers borrow their value for banding only), the collision-corrected
-estimate sorts them out, and links are confirmed on the full sets.
+registers propose candidates (empty registers borrow their value for banding only), the collision-corrected estimate sorts
+them out, and links are confirmed on the full sets. ``band_rows`` chooses the registers of a band by the threshold, so that
+a pair at the threshold itself stays without a shared band with a probability of at most ``MISS``.
 
-Scale: equal sets collapse to one node before banding; a band bucket of any size proposes one partner per member first, in a few turns, so
-that large groups of copies become one component in linear work; then only pairs across components of a bucket are made.
-Buckets in which even these would be many are compared block against block inside tasks, which emit links alone. Nothing
-is capped or dropped.
+Scale: equal sets collapse to one node before banding; a band bucket of any size first proposes one partner per member, so
+that large groups of copies become one component in linear work; then the members outside a bucket's largest component are
+paired with those of other components, at most twice as many pairs as there are across components. Buckets in which even
+these would be many are compared block against block inside tasks, which emit links alone; blocks are bounded by members
+and by bytes. Nothing is capped or dropped.
 
 Defined cases: null, empty or blank texts have the empty set (n_shingles 0), are kept and linked with nothing; rows that
 share a doc_id are one document; rows with a null doc_id form classes by equal sets only and are not kept unless their
@@ -28,10 +30,10 @@ from tierflow.llm.base import Workspace, ragged, row_chunks, rows_of, text_buffe
 from tierflow.llm.components import components
 from tierflow.llm.textscan import U, mix, shingles, span_hash, word_spans
 
-BUCKETS, MANTISSA, BANDS, ROWS = 256, 10, 36, 7
+BUCKETS, MANTISSA, MISS = 256, 10, 1e-5
 _EDGES = np.arange(BUCKETS, dtype=np.uint64) << U(56)
 _BORROW = np.random.Generator(np.random.PCG64(11)).permuted(np.tile(np.arange(BUCKETS), (BUCKETS, 1)), axis=1)
-_SALT = np.random.Generator(np.random.PCG64(12)).integers(1, 1 << 62, (BANDS, ROWS), dtype=np.uint64) * U(2) + U(1)
+_SALT = np.random.Generator(np.random.PCG64(12)).integers(1, 1 << 62, BUCKETS, dtype=np.uint64) * U(2) + U(1)
 SKETCH = "doc_id long, n_shingles long, fp1 long, fp2 long, registers binary, bands array<long>"
 
 
@@ -58,41 +60,49 @@ def registers_of(s: np.ndarray) -> np.ndarray:
     return np.where(full, 1 + (zeros << MANTISSA | mantissa), 0).astype(np.uint16)
 
 
-def bands_of(reg: np.ndarray) -> np.ndarray:
+def band_rows(percent: int) -> int:
+    """The most registers a band may have so that a pair of this similarity misses all bands at most with ``MISS``."""
+    j = percent / 100
+    return max((r for r in range(1, 33) if (1 - j**r) ** (BUCKETS // r) <= MISS), default=1)
+
+
+def bands_of(reg: np.ndarray, rows: int) -> np.ndarray:
     """One signed 64-bit key per band. An empty register borrows that of a full bucket in an order fixed for it."""
-    empty = np.flatnonzero(reg == 0)
+    empty, bands = np.flatnonzero(reg == 0), BUCKETS // rows
     dense = reg.astype(np.uint64)
     if len(empty):
         order = _BORROW[empty]
         pick = order[np.arange(len(empty)), np.argmax(reg[order] != 0, axis=1)]
         dense[empty] = reg[pick].astype(np.uint64) | (pick.astype(np.uint64) << U(16))
-    rows = mix(dense[: BANDS * ROWS].reshape(BANDS, ROWS) * _SALT)
-    return mix(rows.sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-
-
-def _sketch(batches):
-    for batch in batches:
-        b, offs = text_buffers(batch.column("text"))
-        ids = batch.column("doc_id")
-        for i, j in row_chunks(offs):
-            n, fps, regs, bands = [], [], [], []
-            for s in sets_of(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
-                n.append(len(s))
-                if len(s):
-                    d = xxhash.xxh3_128_intdigest(s.tobytes())
-                    fps.append((d >> 64, d & (1 << 64) - 1))
-                    reg = registers_of(s)
-                    regs.append(reg.tobytes())
-                    bands.append(bands_of(reg))
-                else:
-                    fps.append((0, 0))
-                    regs.append(b"")
-                    bands.append(np.zeros(0, np.int64))
-            fp = np.array(fps, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(i, j - i).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), pa.array(regs, pa.binary()), ragged(np.concatenate(bands), np.array([len(x) for x in bands]), pa.int64())],
-                ["doc_id", "n_shingles", "fp1", "fp2", "registers", "bands"],
-            )
+    mixed = mix(dense[: bands * rows] * _SALT[: bands * rows]).reshape(bands, rows)
+    return mix(mixed.sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
+
+
+def _sketch(rows: int):
+    def run(batches):
+        for batch in batches:
+            b, offs = text_buffers(batch.column("text"))
+            ids = batch.column("doc_id")
+            for i, j in row_chunks(offs):
+                n, fps, regs, bands = [], [], [], []
+                for s in sets_of(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
+                    n.append(len(s))
+                    if len(s):
+                        d = xxhash.xxh3_128_intdigest(s.tobytes())
+                        fps.append((d >> 64, d & (1 << 64) - 1))
+                        reg = registers_of(s)
+                        regs.append(reg.tobytes())
+                        bands.append(bands_of(reg, rows))
+                    else:
+                        fps.append((0, 0))
+                        regs.append(b"")
+                        bands.append(np.zeros(0, np.int64))
+                fp = np.array(fps, np.uint64).view(np.int64)
+                keys = ragged(np.concatenate(bands), np.array([len(x) for x in bands]), pa.int64())
+                columns = [ids.slice(i, j - i).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), pa.array(regs, pa.binary()), keys]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "fp1", "fp2", "registers", "bands"])
+
+    return run
 
 
 def _full_sets(batches):
@@ -180,17 +190,18 @@ class NearDup:
     """The operator. ``threshold_percent``: least Jaccard similarity of a link, in hundredths.
 
     ``turns``: most turns of one partner per member; they end once the pairs left across components are at most ``linear``
-    for each member. Buckets with more such pairs than that are compared in blocks of about ``block`` members.
+    for each member. Buckets with more such pairs than that are compared in blocks of about ``block`` members and
+    ``block_shingles`` shingles (of eight bytes). These choose the way to a link, not which links are found.
     """
 
-    def __init__(self, threshold_percent: int = 80, turns: int = 1, linear: int = 16, block: int = 512):
-        self.percent, self.turns, self.linear, self.block = threshold_percent, turns, linear, block
+    def __init__(self, threshold_percent: int = 80, turns: int = 1, linear: int = 16, block: int = 512, block_shingles: int = 1 << 20):
+        self.percent, self.turns, self.linear, self.block, self.block_shingles = threshold_percent, turns, linear, block, block_shingles
 
     def run(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
         ws = Workspace(docs.sparkSession, "neardup")
         docs = rows_of(docs)
-        sketch = ws.keep(docs.mapInArrow(_sketch, SKETCH), "sketch")
+        sketch = ws.keep(docs.mapInArrow(_sketch(band_rows(self.percent)), SKETCH), "sketch")
         some = sketch.where("n_shingles > 0")
         classes = some.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))
         classes = ws.keep(classes.where("rep is not null"), "classes")
@@ -240,21 +251,25 @@ class NearDup:
 
     @staticmethod
     def _mixed(labelled: DataFrame) -> DataFrame:
-        """(key, n, across): members of buckets with several components and the pairs across these."""
+        """(key, n, across, main): members of buckets with several components, the pairs across these, the largest one."""
         per = labelled.groupBy("key", "comp").agg(F.count("*").alias("k"))
-        mixed = per.groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("sq"), F.count("*").alias("comps")).where("comps > 1")
-        return mixed.select("key", "n", ((F.col("n") * F.col("n") - F.col("sq")) / 2).alias("across"))
+        sums = [F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("sq"), F.count("*").alias("comps"), F.max(F.struct("k", "comp"))["comp"].alias("main")]
+        mixed = per.groupBy("key").agg(*sums).where("comps > 1")
+        return mixed.select("key", "n", ((F.col("n") * F.col("n") - F.col("sq")) / 2).alias("across"), "main")
 
-    def _across(self, labelled: DataFrame, mixed: DataFrame) -> DataFrame:
-        """Distinct pairs that share a small bucket but not yet a component."""
-        every = labelled.join(mixed.where("not large").select("key"), "key")
-        x = every.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
-        y = every.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
-        return x.join(y, "key").where("ca <> cb and a < b").select("a", "b").distinct()
+    @staticmethod
+    def _across(labelled: DataFrame, mixed: DataFrame) -> DataFrame:
+        """Distinct pairs that share a small bucket but not yet a component: one side is always outside the largest one."""
+        every = labelled.join(mixed.where("not large").select("key", "main"), "key")
+        x = every.where("comp <> main").select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
+        y = every.select("key", F.col("id").alias("y"), F.col("comp").alias("cy"))
+        return x.join(y, "key").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     def _blocks(self, ws: Workspace, labelled: DataFrame, mixed: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
         """Links across components of the large buckets, block against block: a task emits links alone, never pairs."""
-        every = labelled.join(mixed.where("large").select("key", F.ceil(F.col("n") / self.block).cast("int").alias("blocks")), "key")
+        held = labelled.join(mixed.where("large").select("key"), "key").join(sketches.select("id", F.col("n").alias("size")), "id")
+        number = F.ceil(F.greatest(F.count("*") / self.block, F.sum("size") / self.block_shingles)).cast("int")
+        every = labelled.join(held.groupBy("key").agg(number.alias("blocks")), "key")
         nodes = every.groupBy("id", "comp").agg(F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("at"))  # at most one key a band
         nodes = nodes.join(sketches, "id").join(sets, "id").withColumn("keys", F.col("at.key"))
         rows = nodes.select("id", "comp", "n", "registers", "members", "keys", F.inline("at"))
