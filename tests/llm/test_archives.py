@@ -104,3 +104,98 @@ def test_ranges_cover_an_archive_once(spark, documents, by_id):
     with fs.open_output_stream(f"{path}/unlisted.arc") as f:
         f.write(b"an attempt that was lost")
     assert read.count() == len(by_id) + 1
+
+
+def test_appending_keeps_what_was_there(spark):
+    uri = Workspace(spark, "t").path("archives")
+    rows = lambda *ids: spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").coalesce(1)
+    for k in (1, 2, 3):
+        media.store(rows(k), uri)
+    assert sorted(r.doc_id for r in media.load(spark, uri).collect()) == [1, 2, 3]
+    media.store(rows(7, 8), uri, "overwrite")
+    assert sorted(r.doc_id for r in media.load(spark, uri).collect()) == [7, 8]
+    media.store(rows(9), uri)
+    assert sorted(r.doc_id for r in media.load(spark, uri).collect()) == [7, 8, 9]
+    media.store(rows(), uri)
+    assert media.load(spark, uri).count() == 3
+
+
+def test_a_lost_file_is_opened_anew():
+    data, opened = b"abcdefgh", []
+
+    class Dying:
+        """A handle that fails once and for ever after its second read."""
+
+        def __init__(self):
+            self.reads, self.at = 0, 0
+            opened.append(self)
+
+        def seek(self, at):
+            self.at = at
+
+        def read(self, n):
+            self.reads += 1
+            if self.reads > 1:
+                raise OSError("connection lost")
+            return data[self.at : self.at + n]
+
+        def close(self):
+            raise OSError("lost")
+
+    members = media.Members(Dying, "x", 3)
+    assert [members.at(k, 2, zlib.crc32(data[k : k + 2])) for k in (0, 2, 4)] == [b"ab", b"cd", b"ef"] and len(opened) == 3
+    with pytest.raises(ValueError):
+        members.at(0, 2, 1)
+
+
+def test_ranges_know_their_entries():
+    marks = [(0, 0), (100, 7), (230, 9), (300, 20)]
+    for size in (1, 30, 99, 100, 1000):
+        got = media.ranges("a", marks, size)
+        assert [(r.lo, r.hi) for r in got] == [(k, min(k + size, 300)) for k in range(0, 300, size)]
+        for r in got:
+            assert r.first == max(m for o, m in marks if o <= r.lo) and r.last == min(m for o, m in marks if o >= r.hi)
+
+
+def independent_png(raw):
+    """A reader of PNG written from its specification: all filters, any width, grey 8 bit."""
+    import struct
+
+    assert raw[:8] == bytes([137, 80, 78, 71, 13, 10, 26, 10])
+    at, idat = 8, b""
+    while at < len(raw):
+        n, kind = struct.unpack(">I4s", raw[at : at + 8])
+        body, at = raw[at + 8 : at + 8 + n], at + 12 + n
+        if kind == b"IHDR":
+            width, height, depth, colour, *rest = struct.unpack(">IIBBBBB", body)
+            assert (depth, colour, *rest) == (8, 0, 0, 0, 0)
+        idat += body if kind == b"IDAT" else b""
+    flat, out, up = zlib.decompress(idat), b"", bytes(width)
+    assert len(flat) == height * (width + 1)
+    for y in range(height):
+        kind, line = flat[y * (width + 1)], bytearray(flat[y * (width + 1) + 1 : (y + 1) * (width + 1)])
+        for x in range(width):
+            a, b, c = line[x - 1] if x else 0, up[x], up[x - 1] if x else 0
+            p = a + b - c
+            paeth = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c
+            line[x] = (line[x] + (0, a, b, (a + b) // 2, paeth)[kind]) % 256
+        up = bytes(line)
+        out += up
+    return out
+
+
+def test_stored_images_by_another_reader(spark, documents, by_id):
+    uri = Workspace(spark, "t").path("archives")
+    media.store(documents, uri)
+    got = media.load(spark, uri).where("n_bytes < 20000").collect()
+    for r in got:
+        text = (by_id[r.doc_id] or "").encode()
+        assert r.n_bytes == len(text) and independent_png(bytes(r.media)) == text.ljust(max(64, -(-len(text) // 64) * 64), b"\0")
+    features = {r.doc_id: r.feature for r in media.media_features(documents).collect()}
+    for i, text in by_id.items():
+        raw = (text or "").encode()
+        x = list(raw) + [0] * (max(64, -(-len(raw) // 64) * 64) - len(raw))
+        mean = sum(x) / len(x)
+        entropy = -sum(x.count(v) / len(x) * np.log2(x.count(v) / len(x)) for v in set(x))
+        want = [mean, np.sqrt(sum((v - mean) ** 2 for v in x) / len(x)), entropy, sum(abs(a - b) for a, b in zip(x, x[1:], strict=False)) / (len(x) - 1)]
+        assert [float(f.split("=")[1]) for f in features[i].split(";")] == pytest.approx(want, abs=2e-4)

@@ -53,6 +53,77 @@ def test_quality_plan_has_no_python(documents):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def brute_em(rows, turns=30):
+    """Dawid-Skene over the rows' votes, row by row, with the operator's start, smoothing and order of good and bad."""
+    prior, n = 0.8, len(quality.RULES)
+    good, bad = ([[*x] for _ in range(n)] for x in ([0.03, 0.2, 0.77], [0.35, 0.2, 0.45]))
+
+    def odds(v):
+        return math.prod(good[k][x + 1] / bad[k][x + 1] for k, x in enumerate(v)) * prior / (1 - prior)
+
+    for _ in range(turns):
+        p = [odds(v) / (1 + odds(v)) for v in rows]
+        old = (prior, good, bad)
+        prior = min(max((sum(p) + 1) / (len(p) + 2), 0.01), 0.99)
+        good, bad = ([[(sum(w for v, w in zip(rows, ws, strict=True) if v[k] == x) + 1) / (sum(ws) + 3) for x in (-1, 0, 1)] for k in range(n)] for ws in (p, [1 - x for x in p]))
+        for k in range(n):
+            bad[k][0], good[k][2] = max(bad[k][0], good[k][0]), max(good[k][2], bad[k][2])
+        if max(abs(a - b) for x, y in ((good, old[1]), (bad, old[2])) for u, w in zip(x, y, strict=True) for a, b in zip(u, w, strict=True)) < 1e-6 and abs(prior - old[0]) < 1e-6:
+            break
+    return [odds(v) / (1 + odds(v)) for v in rows]
+
+
+def test_quality_verdict_against_em_in_plain_python(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    judged = quality.judge(docs.select("doc_id", "text")).collect()
+    want = brute_em([[r[f"_q_vote_{k}"] for k in quality.RULES] for r in judged])
+    for r, p in zip(judged, want, strict=True):
+        assert r._q_posterior == pytest.approx(p, abs=1e-6)
+        assert r._q_kept == (not r._q_base_failed and p >= 0.5)
+
+
+def test_quality_votes_in_plain_python(documents, by_id):
+    for r in quality.judge(documents.select("doc_id", "text")).collect():
+        text = by_id[r.doc_id] or ""
+        w, lines = split(text), [x for x in text.split("\n") if split(x)]
+        chars, symbols = sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text))
+        marked = len(re.findall(r"[#*$%&|<>][\x20\x09-\x0D]+", text))
+        ratio = lambda a, b: None if not b else a / b
+        n = statistics(text)
+        import unicodedata
+
+        capitals = sum(unicodedata.category(c) == "Lu" for c in text)
+        want = {
+            "symbols": (ratio(symbols, len(w)), lambda x: x > 0.1, lambda x: x < 0.02),
+            "density": (ratio(symbols, chars), lambda x: x > 0.02, lambda x: x < 0.005),
+            "marked": (ratio(marked, len(w)), lambda x: x > 0.1, lambda x: x < 0.02),
+            "repeats": (ratio(n[4], len(w)), lambda x: x > 0.4, lambda x: x < 0.3),
+            "lines": (ratio(n[3], len(lines)), lambda x: x > 0.5, lambda x: x < 0.4),
+            "capitals": (ratio(capitals, chars), lambda x: x > 0.4, lambda x: x < 0.25),
+            "shouting": (ratio(text.count("!"), len(w)), lambda x: x > 0.2, lambda x: x < 0.05),
+            "vocabulary": (ratio(len(set(w)), len(w)), lambda x: x < 0.1, lambda x: x > 0.15),
+            "length": (ratio(chars, len(w)), lambda x: not 2.5 <= x <= 12, lambda x: 3 <= x <= 10),
+        }
+        assert set(want) == set(quality.RULES)
+        for k, (x, against, good) in want.items():
+            assert r[f"_q_vote_{k}"] == (0 if x is None else -1 if against(x) else 1 if good(x) else 0), k
+
+
+def test_long_texts_repeat_windows_as_short_ones_do(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, n, size))) for k, (n, size) in enumerate([(30, 6000), (300, 9000), (10**6, 20000), (12, quality.PACKED), (12, quality.PACKED + 1)])]
+    got = {r.doc_id: r.n_repeat_words for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: statistics(t)[4] for k, t in rows}
+
+
+def test_quality_reads_the_patterns_in_one_job(spark, documents):
+    spark.sparkContext.setJobGroup("em", "em")
+    quality.judge(documents.select("doc_id", "text"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("em")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) <= 5  # the written table, the patterns and their sort
+
+
 CONV = "conv_id long, turn long, role string, text string, formatted string"
 
 

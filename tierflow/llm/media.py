@@ -1,16 +1,20 @@
 """Media columns: a data source for archives of lossless 8-bit images, written and read as byte ranges.
 
 ``media_archive`` writes each row's samples as a PNG (grey, 8 bit, 64 samples a line) into archive files, one series per
-task; the commit lists the files of the attempts that counted in ``_MANIFEST``. Reading plans byte ranges over these files;
-a range reads the members that begin in it through the index at the file's end, checks each against its checksum, repeats
-a member alone, by its offset, when it fails, and streams Arrow batches.
+task; each commit adds a manifest that names the files of the attempts that counted, and a commit that overwrites names the
+manifests it replaces. Reading plans byte ranges over the files of all manifests that stand; a range reads its own slice of
+the index at the file's end, checks each member against its checksum, reads a member that fails again, alone, by its offset
+and through a newly opened file, and streams Arrow batches.
 
 Defined cases: null and empty texts are 64 zero bytes with n_bytes 0; texts whose length is a multiple of 64 are not
-padded; long texts are one member of any length; an empty table gives no rows; equal texts give equal values.
+padded; long texts are one member of any length; null ids stay null; repeated rows are a member each; extra columns are
+never read; an empty table gives no rows; equal texts give equal values.
 """
 
 from __future__ import annotations
 
+import bisect
+import contextlib
 import hashlib
 import json
 import struct
@@ -20,6 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
@@ -82,29 +87,48 @@ def feature(samples: np.ndarray) -> str:
 
 
 class Files(WriterCommitMessage):
-    def __init__(self, files: list[tuple[str, int]]):
+    """Of each file: name, number of members, and a mark (offset, member) for each ``MARK`` bytes of data, the end last."""
+
+    def __init__(self, files: list[tuple[str, int, list[tuple[int, int]]]]):
         self.files = files
 
 
+MARK = 8 << 20
+
+
+def manifests(uri: str) -> dict[str, dict]:
+    """The manifests that stand under ``uri``, by path."""
+    fs, path = filesystem(f"{uri}/_manifests")
+    found = {}
+    for info in fs.get_file_info(FileSelector(path, allow_not_found=True)):
+        if info.path.endswith(".json"):
+            with fs.open_input_stream(info.path) as f:
+                found[info.base_name] = json.loads(f.read())
+    gone = {x for m in found.values() for x in m["replaces"]}
+    return {k: m for k, m in found.items() if k not in gone}
+
+
 class ArchiveWriter(DataSourceArrowWriter):
-    def __init__(self, uri: str, file_bytes: int):
-        self.uri, self.file_bytes = uri, file_bytes
+    def __init__(self, uri: str, file_bytes: int, overwrite: bool):
+        self.uri, self.file_bytes, self.overwrite = uri, file_bytes, overwrite
 
     def write(self, iterator) -> Files:
-        files, out, entries, at = [], None, [], 0
+        files, out, entries, marks, at = [], None, [], [], 0
 
         def close():
             index = np.array(entries, _ENTRY).tobytes()
             out.write(index + struct.pack("<Q", len(entries)))
             out.close()
-            files.append((name, at))
+            files.append((name, len(entries), [*marks, (at, len(entries))]))
 
         for batch in iterator:
             for doc, n, media in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "n_bytes", "media")), strict=True):
                 if out is None:
                     name = f"{uuid.uuid4().hex}.arc"
                     fs, path = filesystem(f"{self.uri}/{name}")
-                    out, entries, at = fs.open_output_stream(path), [], 0
+                    out, entries, marks, at = fs.open_output_stream(path), [], [], 0
+                if at >= len(marks) * MARK:
+                    marks.append((at, len(entries)))
                 out.write(media)
                 entries.append((at, len(media), zlib.crc32(media), doc is None, doc or 0, n))
                 at += len(media)
@@ -116,17 +140,35 @@ class ArchiveWriter(DataSourceArrowWriter):
         return Files(files)
 
     def commit(self, messages) -> None:
-        fs, path = filesystem(f"{self.uri}/_MANIFEST")
-        with fs.open_output_stream(path) as f:
-            f.write(json.dumps([x for m in messages if m for x in m.files]).encode())
+        """One manifest a commit, in place by a rename: readers see all of a commit or nothing."""
+        manifest = {"replaces": list(manifests(self.uri)) if self.overwrite else [], "files": [x for m in messages if m for x in m.files]}
+        name = uuid.uuid4().hex
+        fs, path = filesystem(f"{self.uri}/_manifests")
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(f"{path}/{name}.part") as f:
+            f.write(json.dumps(manifest).encode())
+        fs.move(f"{path}/{name}.part", f"{path}/{name}.json")
 
     def abort(self, messages) -> None:
         """Files of a failed write stay unlisted and are never read."""
 
 
 class Range(InputPartition):
-    def __init__(self, name: str, data_end: int, lo: int, hi: int):
-        self.name, self.data_end, self.lo, self.hi = name, data_end, lo, hi
+    """The members of a file that begin in [lo, hi), among the entries [first, last) of its index."""
+
+    def __init__(self, name: str, data_end: int, lo: int, hi: int, first: int, last: int):
+        self.name, self.data_end, self.lo, self.hi, self.first, self.last = name, data_end, lo, hi, first, last
+
+
+def ranges(name: str, marks: list[tuple[int, int]], size: int) -> list[Range]:
+    """Byte ranges of ``size`` over a file, each with the entries between the marks around it."""
+    offsets, members = zip(*marks, strict=True)
+    end, out = offsets[-1], []
+    for lo in range(0, end, size):
+        hi = min(lo + size, end)
+        first = members[bisect.bisect_right(offsets, lo) - 1]
+        out.append(Range(name, end, lo, hi, first, members[min(bisect.bisect_left(offsets, hi), len(members) - 1)]))
+    return out
 
 
 def with_retries(read, attempts: int, pause: float = 0.05):
@@ -140,39 +182,54 @@ def with_retries(read, attempts: int, pause: float = 0.05):
             time.sleep(pause * 2**k)
 
 
+class Members:
+    """Reads a file by offsets. A failed read drops the open file, so that the next attempt has a new one."""
+
+    def __init__(self, open_file, name: str, attempts: int):
+        self.open_file, self.name, self.attempts, self.file = open_file, name, attempts, None
+
+    def close(self) -> None:
+        file, self.file = self.file, None
+        if file is not None:
+            with contextlib.suppress(OSError):
+                file.close()
+
+    def at(self, offset: int, size: int, crc: int | None = None) -> bytes:
+        def once() -> bytes:
+            try:
+                self.file = self.file or self.open_file()
+                self.file.seek(offset)
+                raw = self.file.read(size)
+                if len(raw) != size or crc is not None and zlib.crc32(raw) != crc:
+                    raise ValueError(f"{self.name} at {offset}: not as written")
+                return raw
+            except (OSError, ValueError):
+                self.close()
+                raise
+
+        return with_retries(once, self.attempts)
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, uri: str, range_bytes: int, attempts: int, batch_bytes: int = 4 << 20):
         self.uri, self.range_bytes, self.attempts, self.batch_bytes = uri, range_bytes, attempts, batch_bytes
 
     def partitions(self):
-        fs, path = filesystem(f"{self.uri}/_MANIFEST")
-        with fs.open_input_stream(path) as f:
-            files = json.loads(f.read())
-        return [Range(name, end, lo, min(lo + self.range_bytes, end)) for name, end in files for lo in range(0, end, self.range_bytes)] or [Range("", 0, 0, 0)]
+        found = [r for m in manifests(self.uri).values() for name, _, marks in m["files"] for r in ranges(name, marks, self.range_bytes)]
+        return found or [Range("", 0, 0, 0, 0, 0)]
 
     def read(self, partition):
         if not partition.name:
             return
         fs, path = filesystem(f"{self.uri}/{partition.name}")
-        with fs.open_input_file(path) as f:
-
-            def at(offset: int, size: int, crc: int | None = None) -> bytes:
-                def once() -> bytes:
-                    f.seek(offset)
-                    raw = f.read(size)
-                    if len(raw) != size or crc is not None and zlib.crc32(raw) != crc:
-                        raise ValueError(f"{partition.name} at {offset}: not as written")
-                    return raw
-
-                return with_retries(once, self.attempts)
-
-            whole = f.size()
-            (count,) = struct.unpack("<Q", at(whole - 8, 8))
-            index = np.frombuffer(at(partition.data_end, count * _ENTRY.itemsize), _ENTRY)
+        members = Members(lambda: fs.open_input_file(path), partition.name, self.attempts)
+        try:
+            step = _ENTRY.itemsize
+            index = np.frombuffer(members.at(partition.data_end + partition.first * step, (partition.last - partition.first) * step), _ENTRY)
             first, last = np.searchsorted(index["offset"], [partition.lo, partition.hi])
             rows, size = [], 0
             for x in index[first:last]:
-                media = at(int(x["offset"]), int(x["size"]), int(x["crc"]))
+                media = members.at(int(x["offset"]), int(x["size"]), int(x["crc"]))
                 rows.append((None if x["null"] else int(x["doc"]), int(x["n"]), media))
                 size += len(media)
                 if size >= self.batch_bytes:
@@ -180,6 +237,8 @@ class ArchiveReader(DataSourceReader):
                     rows, size = [], 0
             if rows:
                 yield _batch(rows)
+        finally:
+            members.close()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -200,7 +259,7 @@ class MediaArchive(DataSource):
         return ArchiveReader(self.options["path"], int(self.options.get("rangeBytes", 8 << 20)), int(self.options.get("attempts", 4)))
 
     def writer(self, schema, overwrite: bool) -> ArchiveWriter:
-        return ArchiveWriter(self.options["path"], int(self.options.get("fileBytes", 32 << 20)))
+        return ArchiveWriter(self.options["path"], int(self.options.get("fileBytes", 32 << 20)), overwrite)
 
 
 def _to_media(batches):
@@ -226,14 +285,14 @@ def _features(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], [x.split()[0] for x in FEATURES.split(", ")])
 
 
-def store(docs: DataFrame, uri: str) -> None:
-    """Writes ``docs`` (doc_id, text) as archives under ``uri``."""
+def store(docs: DataFrame, uri: str, mode: str = "append") -> None:
+    """Writes ``docs`` (doc_id, text) as archives under ``uri``; ``mode`` is append or overwrite."""
     spark = docs.sparkSession
     spark.dataSource.register(MediaArchive)
     fs, path = filesystem(uri)
     fs.create_dir(path, recursive=True)
     docs = rows_of(docs)
-    docs.mapInArrow(_to_media, MEMBERS).write.format("media_archive").mode("append").save(uri)
+    docs.mapInArrow(_to_media, MEMBERS).write.format("media_archive").mode(mode).save(uri)
 
 
 def load(spark: SparkSession, uri: str) -> DataFrame:

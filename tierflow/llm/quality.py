@@ -1,14 +1,15 @@
 """Quality rules as weak supervision, in DataFrame expressions only.
 
-Each rule votes for quality (1), against it (-1) or abstains (0). Expectation-maximisation over the table of vote patterns
-(at most 3 to the power of the number of rules, whatever the input) estimates how often each rule votes which way on good
-and on bad documents; the posterior probability of quality takes the place of passing all rules. The base rule (fewer than
+Each rule votes for quality (1), against it (-1) or abstains (0). One job counts the vote patterns (at most 3 to the power
+of the number of rules, 19,683, whatever the input); expectation-maximisation over these counts estimates how often each
+rule votes which way on good and on bad documents, and the log-ratios go back into the plan as literals; the posterior probability of quality takes the place of passing all rules. The base rule (fewer than
 50 words, or more than half of the words in repeated three-word windows) rejects by itself.
 
 Scale: statistics are expressions of one row; only vote patterns are aggregated, partially before their shuffle.
 
 Defined cases: null and blank texts have no words and fail the base rule; null ids are kept as they are; equal rows get
-equal verdicts; an empty table gives no rows. Positions and windows work for texts of any length.
+equal verdicts; an empty table gives no rows; columns of ``docs`` that begin with ``_q_`` are dropped on entry. Positions and
+windows work for texts of any length.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierflow.llm.base import Workspace
 
 GAP, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
+PACKED = 4096  # most words of a text whose windows are sorted as longs
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 #: Rule: (statistic, against when this holds, for quality when that holds); neither: the rule abstains.
@@ -38,7 +40,7 @@ RULES = {
 
 def statistics(docs: DataFrame) -> DataFrame:
     """``docs`` (with text) plus the columns of STATS, n_marked, n_lines, n_capitals, n_shouts and n_distinct, prefixed ``_q_``."""
-    keep = list(docs.columns)
+    keep = [c for c in docs.columns if not c.startswith("_q_")]
     cols = [F.col(f"`{c}`") for c in keep]
     df = docs.select(*cols, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_q_text"))
     df = df.select("*", F.expr(f"filter(split(_q_text, r'{GAP}'), x -> x <> '')").alias("_q_words"), F.expr(f"filter(split(_q_text, '\\n'), x -> x rlike r'{WORD}')").alias("_q_lines"))
@@ -55,15 +57,30 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.expr("cast(regexp_count(_q_text, '!') as bigint)").alias("_q_n_shouts"),
         F.size(F.array_distinct("_q_words")).cast("long").alias("_q_n_distinct"),
     ).drop("_q_lines", "_q_text")
-    # Hash and position of each three-word window in one long, sorted: equal windows stand side by side.
-    df = df.withColumn("_q_packed", F.expr("sort_array(transform(slice(_q_words, 1, greatest(size(_q_words) - 2, 0)), (x, i) -> shiftleft(xxhash64(x, _q_words[i + 1], _q_words[i + 2]), _q_bits) | cast(i as bigint)))"))
-    place = "cast({0} & (shiftleft(1L, _q_bits) - 1) as int)"
-    same = "(shiftright({0}, _q_bits) = shiftright({1}, _q_bits) AND " + " AND ".join(f"_q_words[{place.format('{0}')} + {k}] = _q_words[{place.format('{1}')} + {k}]" for k in range(3)) + ")"
-    before, after = same.format("h", "_q_packed[k - 1]"), same.format("h", "_q_packed[k + 1]")
-    found = f"filter(_q_packed, (h, k) -> (k > 0 AND {before}) OR (k < size(_q_packed) - 1 AND {after}))"
-    df = df.withColumn("_q_places", F.expr(f"sort_array(transform({found}, h -> h & (shiftleft(1L, _q_bits) - 1)))"))
+    # Hash and position of each three-word window, sorted: equal windows stand side by side. Up to PACKED words both share a
+    # long, with at least 52 bits of hash; longer texts sort pairs with the whole hash.
+    windows = "slice(_q_words, 1, greatest(size(_q_words) - 2, 0))"
+    digest = "xxhash64(x, _q_words[i + 1], _q_words[i + 2])"
+    packed = f"sort_array(transform({windows}, (x, i) -> shiftleft({digest}, _q_bits) | cast(i as bigint)))"
+    pairs = f"sort_array(transform({windows}, (x, i) -> struct({digest} as h, cast(i as bigint) as p)))"
+    df = df.withColumn("_q_packed", F.expr(f"IF(size(_q_words) <= {PACKED}, {packed}, array())"))
+    df = df.withColumn("_q_pairs", F.expr(f"IF(size(_q_words) > {PACKED}, {pairs}, array())"))
+
+    def repeated(column: str, hashed: str, place: str) -> str:
+        """Places of windows whose three words equal those of the window before or after in the sorted ``column``."""
+
+        def same(x: str, y: str) -> str:
+            words = " AND ".join(f"_q_words[cast({place.format(x)} as int) + {k}] = _q_words[cast({place.format(y)} as int) + {k}]" for k in range(3))
+            return f"({hashed.format(x)} = {hashed.format(y)} AND {words})"
+
+        before, after = same("e", f"{column}[k - 1]"), same("e", f"{column}[k + 1]")
+        return f"transform(filter({column}, (e, k) -> (k > 0 AND {before}) OR (k < size({column}) - 1 AND {after})), e -> {place.format('e')})"
+
+    short = repeated("_q_packed", "shiftright({0}, _q_bits)", "({0} & (shiftleft(1L, _q_bits) - 1))")
+    long = repeated("_q_pairs", "{0}.h", "{0}.p")
+    df = df.withColumn("_q_places", F.expr(f"sort_array(IF(size(_q_words) <= {PACKED}, {short}, {long}))"))
     covered = "aggregate(transform(_q_places, (p, k) -> IF(k < size(_q_places) - 1, least(3L, _q_places[k + 1] - p), 3L)), 0L, (a, x) -> a + x)"
-    return df.withColumn("_q_n_repeat_words", F.expr(covered)).drop("_q_words", "_q_packed", "_q_places", "_q_bits")
+    return df.withColumn("_q_n_repeat_words", F.expr(covered)).drop("_q_words", "_q_packed", "_q_pairs", "_q_places", "_q_bits")
 
 
 def _own(text: str) -> str:
@@ -98,18 +115,21 @@ class Model:
         odds = F.aggregate("_q_code", F.lit(math.log(self.prior / (1 - self.prior))), lambda a, c: a + F.get(ratios, c))
         return 1 / (1 + F.exp(-odds))
 
-    def fit(self, patterns: DataFrame, turns: int = 30, smooth: float = 1.0, settled: float = 1e-6) -> Model:
-        """EM over (_q_code, n). A rule never counts as worse than chance: bad documents get at least its share of -1."""
-        for _ in range(turns):
-            p = patterns.select("_q_code", "n", self.posterior().alias("p")).select(F.explode("_q_code").alias("c"), "n", "p")
-            rows = p.groupBy("c").agg(F.sum(F.col("p") * F.col("n")).alias("g"), F.sum((1 - F.col("p")) * F.col("n")).alias("b")).collect()
-            if not rows:
-                return self
-            sums, before = {r["c"]: (r["g"], r["b"]) for r in rows}, (self.prior, *self.by[1], *self.by[0])
-            good, bad = (sum(sums.get(c, (0, 0))[k] for c in range(3)) for k in (0, 1))  # each row votes once per rule
+    def fit(self, patterns: list[tuple[list[int], int]], turns: int = 30, smooth: float = 1.0, settled: float = 1e-6) -> Model:
+        """EM over (codes, rows) of each pattern. A rule never counts as worse than chance: bad documents get at least its
+        share of -1."""
+        for _ in range(turns if patterns else 0):
+            ratios, prior = [math.log(g / b) for g, b in zip(self.by[1], self.by[0], strict=True)], math.log(self.prior / (1 - self.prior))
+            sums, before = [[0.0] * len(ratios), [0.0] * len(ratios)], (self.prior, *self.by[1], *self.by[0])
+            for codes, n in patterns:
+                p = 1 / (1 + math.exp(-(prior + sum(ratios[c] for c in codes))))
+                for c in codes:
+                    sums[0][c] += p * n
+                    sums[1][c] += (1 - p) * n
+            good, bad = (sum(x[:3]) for x in sums)  # each row votes once per rule
             self.prior = min(max((good + smooth) / (good + bad + 2 * smooth), 0.01), 0.99)
             for y, k, total in ((1, 0, good), (0, 1, bad)):
-                self.by[y] = [(sums.get(c, (0, 0))[k] + smooth) / (total + 3 * smooth) for c in range(3 * len(RULES))]
+                self.by[y] = [(x + smooth) / (total + 3 * smooth) for x in sums[k]]
             for c in range(0, 3 * len(RULES), 3):
                 self.by[0][c] = max(self.by[0][c], self.by[1][c])
                 self.by[1][c + 2] = max(self.by[1][c + 2], self.by[0][c + 2])
@@ -123,7 +143,8 @@ def judge(docs: DataFrame) -> DataFrame:
     ws = Workspace(docs.sparkSession, "quality")
     code = F.array(*((F.col(f"_q_vote_{r}") + (3 * k + 1)).cast("int") for k, r in enumerate(RULES)))
     judged = ws.keep(votes(statistics(docs)).withColumn("_q_base_failed", base_failed()).withColumn("_q_code", code), "votes")
-    patterns = ws.keep(judged.groupBy("_q_code").agg(F.count("*").alias("n")).coalesce(1), "patterns")
+    # At most 3 to the power of the number of rules, whatever the input; in a fixed order, so that sums repeat.
+    patterns = sorted((r["_q_code"], r["n"]) for r in judged.groupBy("_q_code").agg(F.count("*").alias("n")).collect())
     judged = judged.withColumn("_q_posterior", Model().fit(patterns).posterior())
     return judged.withColumn("_q_kept", ~F.col("_q_base_failed") & (F.col("_q_posterior") >= 0.5))
 

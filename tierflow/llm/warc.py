@@ -8,8 +8,10 @@ own; each task writes its own files, and the manifest names the files of the att
 Read: whole records are decoded where they are read; segments are grouped by the identifier of their origin, ordered by
 number and checked (numbers gapless from 1, total length as stated) before the framing is decoded.
 
-Scale: the holder of each payload comes from a pre-aggregated maximum over digests; only responses carry their payload
-through a shuffle, by page and digest, so a payload that a third of all pages share moves once. One group is one record.
+Scale: the holder of each payload comes from a pre-aggregated maximum over digests. The pages meet their digest's holder by
+(digest, page_id), which spreads copies of one payload over all tasks; every html moves once there, and no other exchange
+carries html. Revisits are joined by digest without their html; adaptive execution splits that join where one digest is hot.
+One reassembled group is one record.
 
 Defined cases: a null html is an empty payload; a null page_id is smaller than any other; a repeated page row (same id and
 payload) repeats its record; null urls are written as empty; an empty table gives no rows. Extra columns are never read.
