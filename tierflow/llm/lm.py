@@ -138,30 +138,63 @@ def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def step(p, x: np.ndarray, h: np.ndarray):
     """One step of the gated unit: (new state, update gate, reset gate, candidate, its recurrent part)."""
     a, g = p["wx"][x], h @ p["u"]
-    zr = sigmoid(a[:, : 2 * H] + g[:, : 2 * H])
+    zr = a[:, : 2 * H] + g[:, : 2 * H]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
     z, r, gn = zr[:, :H], zr[:, H:], g[:, 2 * H :]
-    n = np.tanh(a[:, 2 * H :] + r * gn)
-    return n + z * (h - n), z, r, n, gn
+    n = r * gn
+    n += a[:, 2 * H :]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, z, r, n, gn
+
+
+def exps(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials, their sums by row, the shift that was taken off). One shift serves all rows unless a row's sum vanishes."""
+    shift = logit.max() if logit.size else 0.0
+    e = np.exp(logit - shift)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    if total.all():
+        return e, total, np.broadcast_to(shift, len(logit))
+    shift = logit.max(axis=1)
+    e = np.exp(logit - shift[:, None])
+    return e, e.sum(axis=1), shift
+
+
+def by_group(cls: np.ndarray):
+    """(places of the words in learned groups, sorted by group; [(group, from, to)] among these)."""
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    bounds = np.searchsorted(cls[order], np.arange(GROUPS + 1))
+    return order[: bounds[-1]], [(g, bounds[g], bounds[g + 1]) for g in range(GROUPS) if bounds[g] < bounds[g + 1]]
+
+
+def inner_logits(p, hs: np.ndarray, groups) -> np.ndarray:
+    """The logits inside the own group of each state; ``hs`` is sorted by group."""
+    out = np.empty((len(hs), GROUP), hs.dtype)
+    for g, lo, hi in groups:
+        np.matmul(hs[lo:hi], p["wv"][g], out=out[lo:hi])
+        out[lo:hi] += p["bv"][g]
+    return out
 
 
 def log_probs(p, hs: np.ndarray, cls: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Natural log of P(class | state), and of P(word | class, state) for the learned groups."""
-    logit = hs @ p["wc"] + p["bc"]
-    top = logit.max(axis=1)
-    out = logit[np.arange(len(hs)), cls] - top - np.log(np.exp(logit - top[:, None]).sum(axis=1))
-    for g in range(GROUPS):
-        at = np.flatnonzero(cls == g)
-        if len(at):
-            inner = hs[at] @ p["wv"][g] + p["bv"][g]
-            m = inner.max(axis=1)
-            out[at] += inner[np.arange(len(at)), rank[at] % GROUP] - m - np.log(np.exp(inner - m[:, None]).sum(axis=1))
+    logit = hs @ p["wc"]
+    logit += p["bc"]
+    _, total, shift = exps(logit)
+    out = logit[np.arange(len(hs)), cls] - shift - np.log(total)
+    at, groups = by_group(cls)
+    if len(at):
+        inner = inner_logits(p, hs[at], groups)
+        _, total, shift = exps(inner)
+        out[at] += inner[np.arange(len(at)), rank[at] % GROUP] - shift - np.log(total)
     return out
 
 
@@ -206,32 +239,38 @@ def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, r
     for turn, lo in enumerate(range(0, width, span), 1):
         cols = grid[:, lo : lo + span]
         use = real[:, lo : lo + span].astype(np.float32)
-        kept = []
+        kept, states = [], []
         for t in range(cols.shape[1]):
             h = h * ~first[cols[:, t]][:, None]
             new, z, r, n, gn = step(p, inputs[cols[:, t]], h)
             kept.append((h, z, r, n, gn))
+            states.append(new)
             h = new
-        hs = np.concatenate([_after(k) for k in kept])
+        hs = np.concatenate(states)
         where, weight = cols.T.ravel(), use.T.ravel() / max(use.sum(), 1)
         g = {k: np.zeros_like(x) for k, x in p.items()}
-        logit = hs @ p["wc"] + p["bc"]
-        logit = np.exp(logit - logit.max(axis=1, keepdims=True))
-        err = logit / logit.sum(axis=1, keepdims=True)
-        err[np.arange(len(hs)), cls[where]] -= 1
+        logit = hs @ p["wc"]
+        logit += p["bc"]
+        err, total, _ = exps(logit)
+        err /= total[:, None]
+        own = cls[where]
+        err[np.arange(len(hs)), own] -= 1
         err *= weight[:, None]
         g["wc"], g["bc"] = hs.T @ err, err.sum(axis=0)
         dhs = err @ p["wc"].T
-        for k in range(GROUPS):
-            at = np.flatnonzero(cls[where] == k)
-            if len(at):
-                inner = hs[at] @ p["wv"][k] + p["bv"][k]
-                inner = np.exp(inner - inner.max(axis=1, keepdims=True))
-                inner /= inner.sum(axis=1, keepdims=True)
-                inner[np.arange(len(at)), rank[where[at]] % GROUP] -= 1
-                inner *= weight[at][:, None]
-                g["wv"][k], g["bv"][k] = hs[at].T @ inner, inner.sum(axis=0)
-                dhs[at] += inner @ p["wv"][k].T
+        at, groups = by_group(own)
+        if len(at):
+            some = hs[at]
+            inner, total, _ = exps(inner_logits(p, some, groups))
+            inner /= total[:, None]
+            inner[np.arange(len(at)), rank[where[at]] % GROUP] -= 1
+            inner *= weight[at][:, None]
+            back = np.empty_like(some)
+            for k, lo, hi in groups:
+                np.matmul(some[lo:hi].T, inner[lo:hi], out=g["wv"][k])
+                np.matmul(inner[lo:hi], p["wv"][k].T, out=back[lo:hi])
+            g["bv"][[k for k, _, _ in groups]] = np.add.reduceat(inner, [lo for _, lo, _ in groups], axis=0)
+            dhs[at] += back
         dhs, dh = dhs.reshape(cols.shape[1], streams, H), np.zeros((streams, H), np.float32)
         das, dgs = np.empty((2, cols.shape[1], streams, 3 * H), np.float32)
         for t in range(cols.shape[1] - 1, -1, -1):
@@ -249,7 +288,7 @@ def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, r
             dh += dg @ p["u"].T
             dh *= ~first[cols[:, t]][:, None]
         # Every step's share at once: inputs are sorted, so that those that occur several times are summed.
-        fed = inputs[where]
+        fed = inputs[where].astype(np.uint16)
         order = np.argsort(fed, kind="stable")
         fed = fed[order]
         new = np.flatnonzero(np.concatenate(([True], fed[1:] != fed[:-1])))
@@ -269,11 +308,6 @@ def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, r
     return p
 
 
-def _after(kept) -> np.ndarray:
-    before, z, _, n, _ = kept
-    return n + z * (before - n)
-
-
 def _tokens(batches, vocab: Vocabulary, most: int):
     """Groups of whole rows of about ``most`` tokens: (ids, tokens per row, hashes, ranks, classes, inputs)."""
     held, size = [], 0
