@@ -320,6 +320,25 @@ def test_grammar_is_the_composition_of_its_parts():
     assert {r for _, r in t.GRAMMAR.arcs.values()} == {None, *t.READINGS}
 
 
+def test_findings_against_reading_clause_by_clause():
+    t, rng = toxicity, np.random.default_rng(9)
+    lists = {t.INSULT: t.INSULTS, t.THREAT: t.THREATS, t.TARGET: t.TARGETS, t.NEGATION: t.NEGATIONS, t.SPEECH_VERB: t.SPEECH, t.WORD: ["mill", "river", "stone"]}
+    kind = {w: k for k, words in lists.items() for w in words if w.isalpha()}
+    words = sorted(kind)
+    texts = [" ".join(words[k] + "." * int(rng.random() < 0.1) for k in rng.integers(0, len(words), rng.integers(0, 40))) for _ in range(300)]
+    from tierflow.llm.base import text_buffers
+
+    b, offs = text_buffers(pa.array(texts))
+    got = t.findings(b, offs, t.Lexicon({}))
+    for text, row in zip(texts, got, strict=True):
+        sums, top = dict.fromkeys(t.READINGS, 0.0), 0.0
+        for clause in text.split("."):
+            string = [kind[w] for w in clause.split()]
+            top = max(top, t.read_clause(string, [t.GENERAL] * len(string), sums))
+        marks = text.count(".")
+        assert row[: len(sums)].tolist() == [sums[k] for k in t.READINGS] and row[-2] == top and len(text.split()) <= row[-1] <= len(text.split()) + marks
+
+
 @pytest.fixture(scope="module", params=["doc_id < 6000", "doc_id >= 4000", "doc_id % 2 = 0"])
 def subset(spark, request):
     sf = "/root/testdata/sf0.1"

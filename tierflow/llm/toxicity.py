@@ -188,10 +188,56 @@ class Lexicon:
         return out
 
 
-_THREATS = np.array(sorted(LISTS[THREAT]), np.uint64)
+_LISTED = {h: kind for kind, words in LISTS.items() for h in words}
+_LISTED_KEYS = np.array(sorted(_LISTED), np.uint64)
+_LISTED_KIND = np.array([SYMBOLS.index(_LISTED[int(h)]) for h in _LISTED_KEYS], np.uint8)
+_LISTED_MAYBE = np.zeros(1 << 16, bool)
+_LISTED_MAYBE[(_LISTED_KEYS & U(0xFFFF)).astype(np.int64)] = True
+#: The composed machine as arrays: next state and reading (-1: none) by state and symbol; the start is state 0.
+_NUMBER = {state: k for k, state in enumerate(dict.fromkeys([GRAMMAR.start, *(state for state, _ in GRAMMAR.arcs)]))}
+_NEXT = np.array([[_NUMBER[GRAMMAR.arcs[state, x][0]] for x in SYMBOLS] for state in _NUMBER], np.int64)
+_READS = np.array([[READINGS.index(r) if (r := GRAMMAR.arcs[state, x][1]) else -1 for x in SYMBOLS] for state in _NUMBER], np.int64)
 FOUND = len(READINGS) + 2  # a row of findings: the sum of each reading, the strongest event without aim, the units
 
 
+def symbols_of(whole: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The symbol of each unit, as its place in SYMBOLS, from the hash of the whole unit and its lexical weight."""
+    out = np.full(len(whole), SYMBOLS.index(WORD), np.uint8)
+    at = np.flatnonzero(_LISTED_MAYBE[(whole & U(0xFFFF)).astype(np.int64)])
+    place = np.minimum(np.searchsorted(_LISTED_KEYS, whole[at]), len(_LISTED_KEYS) - 1)
+    known = _LISTED_KEYS[place] == whole[at]
+    out[at[known]] = _LISTED_KIND[place[known]]
+    out[weight > 0] = SYMBOLS.index(INSULT)
+    return out
+
+
+def events(symbol: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit, reading) of every event; ``first`` marks the first unit of each clause.
+
+    All clauses that hold an insult or a threat verb are read at once, unit by unit, the longest first.
+    """
+    begin = np.flatnonzero(first)
+    clause = np.cumsum(first) - 1
+    held = np.unique(clause[symbol <= SYMBOLS.index(THREAT)])
+    size = np.diff(np.append(begin, len(symbol)))[held]
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[held][order], size[order]
+    state, units_found, readings = np.zeros(len(size), np.int64), [], []
+    active = len(size) - np.searchsorted(size[::-1], np.arange(int(size[0]) if len(size) else 0), "right")
+    for t, n in enumerate(active.tolist()):
+        at = begin[:n] + t
+        x = symbol[at]
+        reading = _READS[state[:n], x]
+        state[:n] = _NEXT[state[:n], x]
+        hit = np.flatnonzero(reading >= 0)
+        if len(hit):
+            units_found.append(at[hit])
+            readings.append(reading[hit])
+    if not units_found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(units_found), np.concatenate(readings)
+
+
 def findings(b: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
     """The findings of each row."""
     starts, ends, per_row, feats = unit_features(b, offs)
@@ -202,30 +248,19 @@ def findings(b: np.ndarray, offs: np.ndarray, lexicon: Lexicon) -> np.ndarray:
     weight = lexicon.look(feats[0])
     for h in feats[1:]:
         weight = np.maximum(weight, lexicon.look(h))
-    found = np.flatnonzero((weight > 0) | np.isin(feats[0], _THREATS))
-    if not len(found):
-        return out
-    bounds = np.concatenate(([0], np.cumsum(per_row)))
     stops = np.zeros(256, bool)
     stops[list(b".!?;:\n")] = True
-    # A clause ends at a mark or line break between two units: count such bytes up to each unit's start.
-    marks = np.concatenate(([0], np.cumsum(stops[b])))
-    clause = marks[starts]
-    row = np.searchsorted(bounds, found, "right") - 1
-    done = -1
-    for i, r in zip(found.tolist(), row.tolist(), strict=True):
-        if i <= done:
-            continue  # its clause has been read
-        lo = max(int(np.searchsorted(clause, clause[i])), bounds[r])
-        hi = min(int(np.searchsorted(clause, clause[i], "right")), bounds[r + 1])
-        done = hi - 1
-        symbols = []
-        for h, w in zip(feats[0][lo:hi].tolist(), weight[lo:hi].tolist(), strict=True):
-            symbols.append(INSULT if w > 0 else next((k for k, words in LISTS.items() if h in words), WORD))
-        sums = dict.fromkeys(READINGS, 0.0)
-        top = read_clause(symbols, [w if w > 0 else GENERAL for w in weight[lo:hi].tolist()], sums)
-        out[r, : len(READINGS)] += [sums[k] for k in READINGS]
-        out[r, -2] = max(out[r, -2], top)
+    # A clause ends with its row, or at a mark or line break between two units: count such bytes up to each unit's start.
+    marks = np.concatenate(([0], np.cumsum(stops[b])))[starts]
+    row = np.repeat(np.arange(len(per_row)), per_row)
+    first = np.ones(len(starts), bool)
+    first[1:] = (marks[1:] != marks[:-1]) | (row[1:] != row[:-1])
+    at, reading = events(symbols_of(feats[0], weight), first)
+    own = np.where(weight[at] > 0, weight[at], GENERAL)
+    n = len(READINGS)
+    out[:, :n] = np.bincount(row[at] * n + reading, own, len(per_row) * n).reshape(-1, n)
+    aimless = ~np.isin(reading, [READINGS.index(k) for k in ("targeted", "threat")])
+    np.maximum.at(out[:, -2], row[at][aimless], own[aimless])
     return out
 
 
