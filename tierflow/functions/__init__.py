@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+#: What Python's ``strip`` takes off: the white space of Unicode and four separators. A fixed value.
+BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]"
+
+
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{BLANKS}+|{BLANKS}+$", "")
+
+
 def safe_int(text: Column) -> Column:
-    """An integer with thousands separators, else null."""
-    return F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast("int")
+    """An integer with thousands separators, else null; null too beyond 32 bits."""
+    digits = F.replace(stripped(text), F.lit(","), F.lit(""))
+    return F.when(digits.rlike(r"^[+-]?[0-9]+$"), digits.try_cast("int"))
 
 
 def safe_float(text: Column) -> Column:
-    return F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast("double")
+    """A number with thousands separators, else null."""
+    digits = F.replace(stripped(text), F.lit(","), F.lit(""))
+    return F.when(digits.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), digits.try_cast("double"))
 
 
 POSTBACK = r"__doPostBack\('([^']*)','([^']*)'\)"  # a fixed pattern of the pages
@@ -32,9 +43,12 @@ def next_page(current: Column, pages: Column, ellipsis: Column) -> Column:
     return F.when(current.isNotNull(), F.coalesce(F.try_element_at(pages, current + 1), F.try_element_at(ellipsis, F.lit(-1))))
 
 
+FORBIDDEN = r'[<>:"/\\|?*]'  # fixed value: the signs that file names may not hold
+
+
 def slugify(text: Column, most: int = 50) -> Column:
-    """Blanks and signs that file names forbid become single underscores; at most ``most`` characters; never empty."""
-    s = F.regexp_replace(F.replace(F.trim(text), F.lit(" "), F.lit("_")), r'[<>:"/\\|?*]', "_")
+    """Blanks and forbidden signs become single underscores; at most ``most`` characters; never empty."""
+    s = F.regexp_replace(F.replace(stripped(text), F.lit(" "), F.lit("_")), FORBIDDEN, "_")
     s = F.regexp_replace(F.regexp_replace(s, "_+", "_"), "^_+|_+$", "")
     s = F.regexp_replace(F.substring(s, 1, most), "_+$", "")
     return F.coalesce(F.nullif(s, F.lit("")), F.lit("unnamed"))
@@ -49,10 +63,15 @@ def content_hash(data: Column) -> Column:
     return F.sha2(data, 256)
 
 
+# Fixed value: where the portal's headers name a file: an optional asterisk, an optional quote, then all up to a quote, a
+# semicolon or the line's end.
+DISPOSITION = r"""filename[*]?=["']?([^"';\n]+)"""
+
+
 def disposition_filename(header: Column, lower: bool = True) -> Column:
     """The file name of a Content-Disposition header; null without one."""
     header = F.lower(header) if lower else header
-    return F.nullif(F.regexp_extract(header, r"""filename[*]?=["']?([^"';\n]+)""", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(header, DISPOSITION, 1), F.lit(""))
 
 
 def is_pdf_response(content_type: Column, disposition: Column) -> Column:
@@ -65,12 +84,9 @@ def file_year(label: Column) -> Column:
 
 
 def format_bytes(n: Column) -> Column:
-    # Exact halves go to the even digit, as in the reports.
-    shown = lambda x, unit: F.format_string(f"%.1f {unit}", F.bround(x, 1))
-    out = shown(n / 1024.0**4, "TB")
-    for power, unit in ((4, "GB"), (3, "MB"), (2, "KB")):
-        out = F.when(n < 1024**power, shown(n / float(1024 ** (power - 1)), unit)).otherwise(out)
-    return F.when(n.isNull() | (n < 1024), F.concat(F.coalesce(n, F.lit(0)).cast("string"), F.lit(" B"))).otherwise(out)
+    """Bytes below 1024 as they are, then KB, MB and GB with one decimal; exact halves go to the even digit."""
+    shown = lambda power, unit: F.format_string(f"%.1f {unit}", F.bround(n / 1024.0**power, 1))
+    return F.when(n >= 1024**3, shown(3, "GB")).when(n >= 1024**2, shown(2, "MB")).when(n >= 1024, shown(1, "KB")).otherwise(F.concat(F.coalesce(n, F.lit(0)).cast("string"), F.lit(" B")))
 
 
 def format_number(n: Column) -> Column:
@@ -94,12 +110,19 @@ def progress_text(done: Column, total: Column) -> Column:
     return F.concat(done.cast("string"), F.lit("/"), F.when(F.coalesce(total, F.lit(0)) == 0, "?").otherwise(total.cast("string")))
 
 
-#: Icons of statuses, fixed values of the reports.
-ICONS = {"PENDING": "⏳", "IN_PROGRESS": "🔄", "RUNNING": "🔄", "DOWNLOADING": "🔄", "DONE": "✅", "COMPLETED": "✅", "DOWNLOADED": "✅", "UPLOADED": "✅", "PARTIAL": "🔶", "MISSING": "❓", "ERROR": "❌", "FAILED": "❌"}
+# The icons of statuses in the reports, by kind of row. Any other status has the icon of ``UNKNOWN``.
+ICONS = {
+    "run": {"PENDING": "⏳", "RUNNING": "🔄", "COMPLETED": "✅", "FAILED": "❌"},
+    "district": {"PENDING": "⏳", "IN_PROGRESS": "🔄", "DONE": "✅", "ERROR": "❌"},
+    "body": {"PENDING": "⏳", "IN_PROGRESS": "🔄", "PARTIAL": "📊", "DONE": "✅", "ERROR": "❌"},
+    "project": {"PENDING": "⏳", "DOWNLOADING": "🔄", "DOWNLOADED": "✅", "MISSING": "⚠️", "ERROR": "❌"},
+    "pdf": {"PENDING": "⏳", "UPLOADED": "✅", "FAILED": "❌"},
+}
+UNKNOWN = "❓"
 
 
-def status_icon(status: Column) -> Column:
-    return F.coalesce(F.create_map(*(F.lit(x) for kv in ICONS.items() for x in kv))[status], F.lit("❓"))
+def status_icon(status: Column, kind: str = "project") -> Column:
+    return F.coalesce(F.create_map(*(F.lit(x) for kv in ICONS[kind].items() for x in kv))[status], F.lit(UNKNOWN))
 
 
 def district_icon(done: Column, pending: Column, total: Column) -> Column:

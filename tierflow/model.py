@@ -26,8 +26,12 @@ def read_model(spark: SparkSession, path: str) -> Model:
     return Model(*(spark.read.schema(s).parquet(f"{path}/{t}") for t, s in schemas.TABLES.items()))
 
 
-def write_model(model: Model, path: str, mode: str = "errorifexists") -> None:
+def write_model(model: Model, path: str, mode: str = "errorifexists", clustered: bool = False) -> None:
+    """Writes the tables; ``clustered`` lays them out by ``schemas.LAYOUT``, at the price of a shuffle and a sort."""
     for name, df in model.tables().items():
+        if clustered:
+            keys = schemas.LAYOUT[name]
+            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
         df.write.mode(mode).parquet(f"{path}/{name}")
 
 
@@ -36,10 +40,48 @@ def create_empty(spark: SparkSession, path: str) -> None:
     write_model(Model(*(spark.createDataFrame([], s) for s in schemas.TABLES.values())), path)
 
 
-def read_jdbc(spark: SparkSession, url: str, properties: dict[str, str], partitions: int = 32) -> Model:
-    """Tables of a relational database; each is read in ``partitions`` slices of its text key."""
-    slices = [f"mod(abs(hashtext(id::text)), {partitions}) = {k}" for k in range(partitions)]
-    return Model(*(spark.read.jdbc(url, t, predicates=slices, properties=properties) for t in schemas.TABLES))
+def drop(spark: SparkSession, path: str) -> list[str]:
+    """Deletes the tables under ``path`` and returns the names of those that were there; nothing else is touched."""
+    hadoop, gone = spark._jvm.org.apache.hadoop.fs, []
+    for name in schemas.TABLES:
+        at = hadoop.Path(f"{path}/{name}")
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True):
+            gone.append(name)
+    return gone
+
+
+#: Versions of the stored schema: what each step up does, and what undoes it.
+MIGRATIONS = [(create_empty, drop)]
+
+
+def migrate(spark: SparkSession, path: str, have: int, to: int | None = None) -> int:
+    """Brings the tables from version ``have`` to ``to`` (None: the newest), step by step up or down; returns the version."""
+    to = len(MIGRATIONS) if to is None else to
+    if not 0 <= to <= len(MIGRATIONS) or not 0 <= have <= len(MIGRATIONS):
+        raise ValueError(f"versions go from 0 to {len(MIGRATIONS)}")
+    for k in range(have, to):
+        MIGRATIONS[k][0](spark, path)
+    for k in range(have, to, -1):
+        MIGRATIONS[k - 1][1](spark, path)
+    return to
+
+
+def key_ranges(column: str, keys: list[str]) -> list[str]:
+    """Predicates that split a text key at the sorted ``keys``: half-open ranges, the first one with the nulls."""
+    quoted = ["'" + k.replace("'", "''") + "'" for k in sorted(set(keys))]
+    if not quoted:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(quoted, quoted[1:], strict=False)]
+    return [f"{column} < {quoted[0]} OR {column} IS NULL", *inner, f"{column} >= {quoted[-1]}"]
+
+
+def read_jdbc(spark: SparkSession, url: str, properties: dict[str, str], splits: list[str] | None = None) -> Model:
+    """Tables of a relational database, read in ranges of the primary key that its index serves.
+
+    ``splits``: keys at which the ranges part; None cuts ids that begin with a hexadecimal digit into sixteen ranges.
+    """
+    ranges = key_ranges("id", [f"{k:x}" for k in range(1, 16)] if splits is None else splits)
+    return Model(*(spark.read.jdbc(url, t, predicates=ranges, properties=properties) for t in schemas.TABLES))
 
 
 def _pick(number, values) -> F.Column:
@@ -159,7 +201,7 @@ D AS (SELECT y || '-' || seg || '-' || c_nationkey AS id, 'run-0' AS scrape_run_
         min(o_orderdate) AS discovered_at, CASE WHEN c_nationkey % 11 <> 0 THEN max(o_orderdate) END AS last_processed_at
       FROM j GROUP BY y, seg, c_mktsegment, c_nationkey, n_name),
 LB AS (SELECT y || '-' || c_custkey AS id, y || '-' || seg || '-' || c_nationkey AS district_id, c_custkey AS lb_index, c_name AS lb_name,
-        count(*) AS expected_projects, count(*) - c_custkey % 2 AS scraped_projects, c_custkey % 7 AS last_page_scraped,
+        count(*) AS expected_projects, count(*) - c_custkey % 2 AS scraped_projects, c_custkey % 7 AS last_page_scraped, CAST(NULL AS INT) AS total_pages, 'gvStat' AS postback_target,
         ['PENDING','IN_PROGRESS','PARTIAL','DONE','ERROR'][1 + (c_custkey + y) % 5] AS status, (c_custkey + y) % 4 AS retry_count,
         CASE WHEN (c_custkey + y) % 5 = 4 THEN 'no table for ' || c_name END AS error_message, 'Select$' || (c_custkey % 100) AS postback_argument,
         min(o_orderdate) AS discovered_at, CASE WHEN c_custkey % 11 <> 0 THEN max(o_orderdate) END AS last_scraped_at
@@ -169,9 +211,11 @@ P AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, y || '-' || o_custkey AS local_b
         CASE WHEN o_orderkey % 13 <> 0 THEN CAST(CAST(round(o_totalprice / 2) AS BIGINT) AS VARCHAR) END AS expense,
         1 + o_orderkey % 7 AS page_number, 'Select$' || (o_orderkey % 20) AS select_argument,
         ['PENDING','DOWNLOADING','DOWNLOADED','MISSING','ERROR'][CAST(substr(o_orderpriority, 1, 1) AS INT)] AS pdf_status,
-        o_orderkey % 5 AS pdf_retry_count, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS pdf_last_attempt_at, o_orderdate AS scraped_at
+        o_orderkey % 5 AS pdf_retry_count, CASE WHEN substr(o_orderpriority, 1, 1) = '5' THEN 'no file for ' || o_orderkey END AS pdf_error_message, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS pdf_last_attempt_at, o_orderdate AS scraped_at
       FROM o),
 PDF AS (SELECT 'pdf-' || o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS project_id, 'pdfs/' || o_orderkey || '.pdf' AS gcs_path,
+        'archive' AS gcs_bucket, CAST(NULL AS VARCHAR) AS original_url, CAST(NULL AS VARCHAR) AS redirect_url, o_orderdate AS downloaded_at,
+        CASE WHEN min(l_returnflag) = 'N' THEN 'refused' END AS upload_error,
         o_orderkey || '.pdf' AS original_filename, CAST(sum(l_quantity) AS BIGINT) * 1000 AS file_size_bytes,
         sha256(CAST(o_orderkey AS VARCHAR)) AS content_hash,
         CASE min(l_returnflag) WHEN 'A' THEN 'PENDING' WHEN 'N' THEN 'FAILED' ELSE 'UPLOADED' END AS status,
@@ -179,5 +223,8 @@ PDF AS (SELECT 'pdf-' || o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS projec
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority LIKE '3%' GROUP BY o_orderkey, o_orderdate),
 R AS (SELECT 'run-' || r_regionkey AS id, 1 + r_regionkey % 4 AS current_phase,
         ['PENDING','RUNNING','COMPLETED','FAILED','CANCELLED'][1 + r_regionkey % 5] AS status,
-        TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(r_regionkey AS INT)) AS created_at FROM region)
+        TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(r_regionkey AS INT)) AS created_at,
+        CASE WHEN r_regionkey > 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(r_regionkey AS INT)) END AS started_at,
+        CASE WHEN r_regionkey = 2 THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(r_regionkey AS INT)) END AS completed_at,
+        CASE WHEN r_regionkey = 3 THEN 'stopped' END AS error_message FROM region)
 """

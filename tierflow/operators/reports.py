@@ -56,9 +56,24 @@ def pdfs_by_year_district(model: Model) -> DataFrame:
 
 
 def year_rollup(model: Model) -> DataFrame:
-    """Districts, years and the whole in one pass: subtotals by rollup."""
-    df = bodies_with_district(model).rollup(F.col("d_year_label").alias("year_label"), F.col("d_district_name").alias("district_name"))
-    return df.agg(F.count("*").alias("total"), *counts("lb_status", {"done": "DONE"}), F.grouping_id().cast("int").alias("level"))
+    """Bodies done by district, year and in all, with percentages: subtotals by rollup, in one pass."""
+    return progress_detail(model, 3).select("year_label", "district_name", "total", "done", "in_progress", "pct", "level")
+
+
+def progress_detail(model: Model, phase: int) -> DataFrame:
+    """Phase 2 (districts), 3 (bodies) or 4 (projects) by year and district: total, done, in_progress, percentage.
+
+    ``level`` is 0 for a district of a year, 1 for a year, 3 for all. A project is done once its document is there or missing.
+    """
+    if phase == 2:
+        df, status, words = model.districts, "status", FOUR
+        by = [F.col("year_label"), F.col("district_name")]
+    else:
+        df, status = (bodies_with_district(model), "lb_status") if phase == 3 else (chain(model), "p_pdf_status")
+        words = FOUR if phase == 3 else {"done": ("DOWNLOADED", "MISSING"), "in_progress": "DOWNLOADING", "pending": "PENDING"}
+        by = [F.col("d_year_label").alias("year_label"), F.col("d_district_name").alias("district_name")]
+    df = df.rollup(*by).agg(F.count("*").alias("total"), *counts(status, words), F.grouping_id().cast("int").alias("level"))
+    return df.withColumn("pct", ratio(F.col("done"), F.col("total"))).select("year_label", "district_name", "total", "done", "in_progress", "pending", "pct", "level")
 
 
 def nested(df: DataFrame, outer: str, inner: str, value: str) -> DataFrame:
@@ -160,37 +175,64 @@ def phase_status(model: Model) -> DataFrame:
     return out.select("phase", "total", "pending", "in_progress", "done", "errors", complete.alias("is_complete"), ratio(F.col("done"), F.col("total")).alias("progress_pct"))
 
 
-def level_totals(model: Model) -> DataFrame:
-    """One row with the counters that every definition of completeness reads."""
-    d = model.districts.agg(F.count("*").alias("d"), *counts("status", {"d_done": "DONE", "d_pending": "PENDING", "d_progress": "IN_PROGRESS"}))
-    lb = model.bodies.agg(F.count("*").alias("b"), *counts("status", {"b_done": "DONE", "b_pending": "PENDING", "b_progress": "IN_PROGRESS", "b_partial": "PARTIAL", "b_error": "ERROR"}))
-    p = model.projects.agg(F.count("*").alias("p"), *counts("pdf_status", {"p_downloaded": "DOWNLOADED", "p_missing": "MISSING", "p_pending": "PENDING", "p_progress": "DOWNLOADING"}))
-    u = model.pdfs.agg(F.count("*").alias("u"), *counts("status", {"u_done": "UPLOADED"}))
-    return d.crossJoin(lb).crossJoin(p).crossJoin(u)  # one row each
+def level_totals(model: Model, *levels: str) -> DataFrame:
+    """One row with the counters that the definitions of completeness read, of the ``levels`` asked for: d, b, p and u."""
+    each = {
+        "d": lambda: model.districts.agg(F.count("*").alias("d"), *counts("status", {"d_done": "DONE", "d_pending": "PENDING", "d_progress": "IN_PROGRESS"})),
+        "b": lambda: model.bodies.agg(F.count("*").alias("b"), *counts("status", {"b_done": "DONE", "b_pending": "PENDING", "b_progress": "IN_PROGRESS", "b_partial": "PARTIAL", "b_error": "ERROR"})),
+        "p": lambda: model.projects.agg(F.count("*").alias("p"), *counts("pdf_status", {"p_downloaded": "DOWNLOADED", "p_missing": "MISSING", "p_pending": "PENDING", "p_progress": "DOWNLOADING"})),
+        "u": lambda: model.pdfs.agg(F.count("*").alias("u"), *counts("status", {"u_done": "UPLOADED"})),
+    }
+    rows = [each[k]() for k in levels]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.crossJoin(row)  # one row each
+    return out
 
 
 def pipeline_status(model: Model) -> DataFrame:
-    t = level_totals(model)
+    t = level_totals(model, "d", "b", "p")
     return t.select(((F.col("d_done") > 0) & (F.col("d_pending") == 0)).alias("phase1"), ((F.col("b_done") > 0) & (F.col("b_pending") == 0)).alias("phase2"), ((F.col("p_pending") == 0) & (F.col("p_downloaded") > 0)).alias("phase3"))
 
 
+#: Names of the phases in the progress report, fixed values.
+PHASES = ("Discover Districts", "Discover Local Bodies", "Scrape Projects", "Download PDFs")
+
+
 def progress_report(model: Model) -> DataFrame:
-    """Percentages and flags of the progress report; its third flag looks at documents, its fourth phase has none."""
-    t = level_totals(model)
-    done4 = F.col("p_downloaded") + F.col("p_missing")
-    return t.select(
-        ((F.col("d") > 0)).alias("phase1_complete"),
-        ratio(F.col("d_done"), F.col("d")).alias("phase2_pct"),
-        ((F.col("d_done") > 0) & (F.col("d_pending") == 0)).alias("phase2_complete"),
-        ratio(F.col("b_done"), F.col("b")).alias("phase3_pct"),
-        ((F.col("p_pending") == 0) & (F.col("p_downloaded") > 0)).alias("phase3_complete"),
-        ratio(done4, F.col("p")).alias("phase4_pct"),
-    )
+    """The progress report, a row a phase: name, complete, total, done, missing, percent, rows by status.
+
+    Its first phase is done with its rows; its third flag looks at documents, its fourth phase has none. ``progress_detail``
+    has the breakdowns by year and district.
+    """
+    by = lambda df, column: df.groupBy(F.col(column).alias("status")).agg(F.count("*").alias("n"))
+
+    def one(df: DataFrame, column: str, done: str) -> DataFrame:
+        grouped = by(df, column)  # one row a status
+        n = lambda *s: F.coalesce(F.sum(F.when(F.col("status").isin(*s), F.col("n"))), F.lit(0))
+        status = F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n"))))
+        return grouped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), n(done).alias("done"), n("PENDING").alias("pending"), n("MISSING").alias("missing"), status.alias("status"))
+
+    d, b, p = one(model.districts, "status", "DONE"), one(model.bodies, "status", "DONE"), one(model.projects, "pdf_status", "DOWNLOADED")
+    named = lambda t, k: t.select(*(F.col(c).alias(f"{k}_{c}") for c in t.columns))
+    t = named(d, "d").crossJoin(named(b, "b")).crossJoin(named(p, "p"))  # one row each
+    some = F.col("d_total") > 0
+    none = F.lit(None)
+    rows = [
+        (1, some, F.col("d_total"), F.col("d_total"), none, F.when(some, 100.0).otherwise(0.0), none),
+        (2, (F.col("d_done") > 0) & (F.col("d_pending") == 0), F.col("d_total"), F.col("d_done"), none, ratio(F.col("d_done"), F.col("d_total")), F.col("d_status")),
+        (3, (F.col("p_pending") == 0) & (F.col("p_done") > 0), F.col("b_total"), F.col("b_done"), none, ratio(F.col("b_done"), F.col("b_total")), F.col("b_status")),
+        (4, none, F.col("p_total"), F.col("p_done"), F.col("p_missing"), ratio(F.col("p_done") + F.col("p_missing"), F.col("p_total")), F.col("p_status")),
+    ]
+    kinds = {"phase": "int", "complete": "boolean", "total": "long", "done": "long", "missing": "long", "percent": "double", "status": "map<string,bigint>"}
+    cell = lambda row: F.struct(*((F.lit(v) if isinstance(v, int) else v).cast(k).alias(c) for v, (c, k) in zip(row, kinds.items(), strict=True)))
+    out = t.select(F.explode(F.array(*map(cell, rows))).alias("r")).select("r.*")
+    return out.withColumn("name", F.element_at(F.array(*map(F.lit, PHASES)), F.col("phase"))).select("phase", "name", *list(kinds)[1:])
 
 
 def completeness(model: Model) -> DataFrame:
     """Completeness as each level's own check defines it."""
-    t = level_totals(model)
+    t = level_totals(model, "d", "b", "p")
     return t.select(
         ((F.col("d") > 0) & (F.col("d_pending") == 0) & (F.col("d_progress") == 0)).alias("districts_complete"),
         ((F.col("b") > 0) & (F.col("b_pending") == 0) & (F.col("b_progress") == 0) & (F.col("b_partial") == 0)).alias("bodies_complete"),
@@ -200,7 +242,7 @@ def completeness(model: Model) -> DataFrame:
 
 def summary(model: Model) -> DataFrame:
     """The status report's four words."""
-    t = level_totals(model)
+    t = level_totals(model, "d", "b", "p", "u")
     word = lambda done, some: F.when(done, "Complete").when(some, "In Progress").otherwise("Not Started")
     return t.select(
         word((F.col("d") > 0) & (F.col("d_done") == F.col("d")), F.col("d") > 0).alias("phase1"),
@@ -225,3 +267,57 @@ def scheduler_status(queues: DataFrame, most: int = 1000) -> DataFrame:
 
 def latest_runs(model: Model, n: int = 1) -> DataFrame:
     return model.runs.orderBy(F.desc("created_at"), "id").limit(n)
+
+
+def pdfs_by_group(model: Model, chunk: int = 10_000) -> DataFrame:
+    """Documents of each (district_name, lb_type_label) as lists of (id, path), in parts of about ``chunk``.
+
+    A part is a share of its group by the hash of the id, so no list grows with its group: a group has as many parts as its
+    count needs, and ``part`` numbers them from 0.
+    """
+    above = chain(model, "p_id", "d_district_name", "d_lb_type_label")
+    df = model.pdfs.join(above, F.col("project_id") == F.col("p_id"))
+    df = df.select(F.col("d_district_name").alias("district_name"), F.col("d_lb_type_label").alias("lb_type_label"), "id", F.col("gcs_path").alias("path"))
+    keys = ["district_name", "lb_type_label"]
+    parts = df.groupBy(*keys).agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    df = df.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    return df.groupBy(*keys, "part").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "path"))).alias("pdfs"))
+
+
+#: Counters of a run's outcomes: name and the (step, result) that it counts.
+OUTCOMES = {
+    "districts_sampled": ("district", "sampled"),
+    "local_bodies_discovered": ("local_body", "discovered"),
+    "local_bodies_sampled": ("local_body", "sampled"),
+    "projects_scraped": ("project", "scraped"),
+    "projects_sampled": ("project", "sampled"),
+    "pdfs_downloaded": ("pdf", "downloaded"),
+    "pdfs_missing": ("pdf", "missing"),
+    "pdfs_error": ("pdf", "error"),
+}
+
+
+def run_statistics(outcomes: DataFrame, errors: int = 10) -> DataFrame:
+    """Counters, seconds from the first to the last outcome, errors and the first of their messages, of rows
+    (step, result, message, ts). ``errors``: most messages that are listed; their number is never cut."""
+    counted = outcomes.agg(
+        *(F.count_if((F.col("step") == s) & (F.col("result") == r)).alias(k) for k, (s, r) in OUTCOMES.items()),
+        F.count("message").alias("n_errors"),
+        F.coalesce(F.round(F.timestamp_diff("MILLISECOND", F.min("ts"), F.max("ts")) / 1000.0, 1), F.lit(0.0)).alias("duration_seconds"),
+    )
+    first = outcomes.where("message is not null").orderBy(F.asc_nulls_last("ts"), "message").limit(errors)
+    first = first.agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col("ts").isNull().alias("late"), "ts", "message"))), lambda x: x["message"]).alias("errors"))
+    return counted.crossJoin(first)  # one row each
+
+
+def schedule_due(schedule: DataFrame, as_of: Column) -> DataFrame:
+    """Jobs of rows (name, every_seconds, last_run) that are due, with the time they have been due since.
+
+    A job that never ran is due at once (since null); one that missed several turns is due once.
+    """
+    since = F.col("last_run") + F.make_dt_interval(secs=F.col("every_seconds"))
+    return schedule.withColumn("since", since).where(F.col("last_run").isNull() | (F.col("since") <= as_of)).select("name", "every_seconds", "since")
+
+
+# The periodic jobs and their seconds.
+SCHEDULE = {"full_pipeline": 86_400, "progress": 3_600, "reset_stuck": 900}

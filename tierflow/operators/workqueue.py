@@ -80,6 +80,11 @@ def by_key(df: DataFrame, **key) -> DataFrame:
     return df
 
 
+def children_of(df: DataFrame, parent: str, value: str, *order: str) -> DataFrame:
+    """The rows of one parent, in their order."""
+    return df.where(F.col(parent) == value).orderBy(*order)
+
+
 def exactly_one(df: DataFrame) -> DataFrame:
     """Fails where a key names several rows; reads two rows at most."""
     if len(df.limit(2).collect()) > 1:

@@ -11,6 +11,8 @@ from tierflow.plans import bodies_with_district, chain, preagg_left_join
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+#: The same queries as functions of a model, for models that are stored.
+ON_MODEL: dict = {}
 
 AS_OF = "2001-07-25 00:00:00"
 DAY = 1440
@@ -26,6 +28,8 @@ def add(name: str, sql: str | None, model: bool = True):
 
     def put(make):
         QUERIES[name] = (lambda spark, sf_dir: make(derive(spark, sf_dir))) if model else make
+        if model:
+            ON_MODEL[name] = make
         if sql:
             ORACLE[name] = (MODEL_SQL + sql) if model else sql
         return make
@@ -55,7 +59,7 @@ add("D06_districts_by_year_district", f"SELECT year_label, district_name, count(
 add("D07_bodies_by_year_district", f"SELECT D.year_label, D.district_name, count(*) AS total, {counters('LB.status', **FOUR)} FROM LB JOIN D ON LB.district_id = D.id GROUP BY 1, 2")(reports.bodies_by_year_district)
 add("D08_pdfs_by_year", f"SELECT D.year_label, count(*) AS total, {counters('P.pdf_status', **FIVE)} FROM {CHAIN_SQL} GROUP BY 1")(reports.pdfs_by_year)
 add("D09_pdfs_by_year_district", f"SELECT D.year_label, D.district_name, count(*) AS total, {counters('P.pdf_status', **FIVE)} FROM {CHAIN_SQL} GROUP BY 1, 2")(reports.pdfs_by_year_district)
-add("D10_total_counts", "SELECT count(*) AS d, (SELECT count(*) FROM LB) AS b, (SELECT count(*) FROM P) AS p FROM D")(lambda m: reports.level_totals(m).select("d", "b", "p"))
+add("D10_total_counts", "SELECT count(*) AS d, (SELECT count(*) FROM LB) AS b, (SELECT count(*) FROM P) AS p FROM D")(lambda m: reports.level_totals(m, "d", "b", "p").select("d", "b", "p"))
 for key, column in (("D13_by_district_name", "district_name"), ("D14_by_year_label", "year_label"), ("D15_by_lb_type_label", "lb_type_label")):
     # The oracle keeps the correlated form.
     sql = f"""SELECT g.{column}, count(*) AS total, {counters('g.status', done='DONE', pending='PENDING', errors='ERROR')},
@@ -86,10 +90,54 @@ def upload_sql() -> str:
 
 add("D12_fail_rates", fail_sql())(lambda m: reports.fail_rates(m, as_of(), WINDOWS))
 add("D19_upload_rates", upload_sql())(lambda m: reports.upload_rates(m, as_of(), WINDOWS))
-add("D22_year_rollup", f"SELECT D.year_label, D.district_name, count(*) AS total, {counters('LB.status', done='DONE')}, CAST(grouping(D.year_label) * 2 + grouping(D.district_name) AS INT) AS level FROM LB JOIN D ON LB.district_id = D.id GROUP BY ROLLUP (D.year_label, D.district_name)")(reports.year_rollup)
-add("D24_pdfs_by_group", f"SELECT D.district_name, D.lb_type_label, count(*) AS n, string_agg(PDF.id, ',' ORDER BY PDF.id) AS ids FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id GROUP BY 1, 2")(
-    lambda m: m.pdfs.join(chain(m, "p_id", "d_district_name", "d_lb_type_label"), F.col("project_id") == F.col("p_id")).groupBy(F.col("d_district_name").alias("district_name"), F.col("d_lb_type_label").alias("lb_type_label")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
-)
+PCT = "CASE WHEN count(*) > 0 THEN round({0} / count(*) * 100, 1) ELSE 0 END"
+
+
+def detail_sql(source: str, names: str, status: str, done: str, progress: str) -> str:
+    """Counts by year and district with the subtotals of a rollup, each with its percentage."""
+    of = lambda words: f"count(*) FILTER ({status} IN ({', '.join(repr(x) for x in words.split())}))"
+    level = f"CAST(grouping({names}.year_label) * 2 + grouping({names}.district_name) AS INT) AS level"
+    columns = f"{names}.year_label, {names}.district_name, count(*) AS total, {of(done)} AS done, {of(progress)} AS in_progress, {of('PENDING')} AS pending, {PCT.format(of(done))} AS pct, {level}"
+    return f"SELECT {columns} FROM {source} GROUP BY ROLLUP ({names}.year_label, {names}.district_name)"
+
+
+DETAIL = {
+    2: detail_sql("D", "D", "D.status", "DONE", "IN_PROGRESS"),
+    3: detail_sql("LB JOIN D ON LB.district_id = D.id", "D", "LB.status", "DONE", "IN_PROGRESS"),
+    4: detail_sql(CHAIN_SQL, "D", "P.pdf_status", "DOWNLOADED MISSING", "DOWNLOADING"),
+}
+for phase, sql in DETAIL.items():
+    add(f"L06_detail_phase{phase}", sql)(lambda m, phase=phase: reports.progress_detail(m, phase))
+add("D22_year_rollup", f"SELECT * EXCLUDE (pending) FROM ({DETAIL[3]})")(reports.year_rollup)
+add(
+    "D24_pdfs_by_group",
+    """SELECT D.district_name, D.lb_type_label, 0 AS part, count(*) AS n, string_agg(PDF.id || ' ' || PDF.gcs_path, ',' ORDER BY PDF.id) AS pdfs
+ FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id GROUP BY 1, 2""",  # groups of under 10,000 are one part
+)(lambda m: reports.pdfs_by_group(m).withColumn("pdfs", F.expr("array_join(transform(pdfs, x -> concat(x.id, ' ', x.path)), ',')")))
+
+
+def _outcomes(m) -> DataFrame:
+    """Steps and results as a run notes them: bodies sampled, projects scraped, documents by their status."""
+    result = F.when(F.col("pdf_status") == "DOWNLOADED", "downloaded").when(F.col("pdf_status") == "MISSING", "missing").when(F.col("pdf_status") == "ERROR", "error").otherwise("waiting")
+    steps = m.projects.select(F.lit("pdf").alias("step"), result.alias("result"), F.col("pdf_error_message").alias("message"), F.col("pdf_last_attempt_at").alias("ts"))
+    found = m.projects.select(F.lit("project").alias("step"), F.lit("scraped").alias("result"), F.lit(None).cast("string").alias("message"), F.col("scraped_at").alias("ts"))
+    bodies = m.bodies.select(F.lit("local_body").alias("step"), F.lit("discovered").alias("result"), F.lit(None).cast("string").alias("message"), F.col("discovered_at").alias("ts"))
+    return steps.unionByName(found).unionByName(bodies)
+
+
+add(
+    "D25_run_statistics",
+    f""", e AS (SELECT pdf_error_message AS m, pdf_last_attempt_at AS t FROM P WHERE pdf_status = 'ERROR' ORDER BY t NULLS LAST, m LIMIT 10),
+ t AS (SELECT scraped_at AS t FROM P UNION ALL SELECT pdf_last_attempt_at FROM P UNION ALL SELECT discovered_at FROM LB)
+ SELECT 0 AS districts_sampled, (SELECT count(*) FROM LB) AS local_bodies_discovered, 0 AS local_bodies_sampled, count(*) AS projects_scraped, 0 AS projects_sampled,
+ {counters('pdf_status', pdfs_downloaded='DOWNLOADED', pdfs_missing='MISSING', pdfs_error='ERROR', n_errors='ERROR')},
+ (SELECT CAST(round(date_diff('millisecond', min(t), max(t)) / 1000.0, 1) AS DOUBLE) FROM t) AS duration_seconds, (SELECT string_agg(m, ',' ORDER BY t NULLS LAST, m) FROM e) AS errors FROM P""",
+)(lambda m: reports.run_statistics(_outcomes(m)).withColumn("errors", F.array_join("errors", ",")))
+add(
+    "D26_export_summary",
+    f""", g AS (SELECT 'pdfs_flat_' || D.year_label || '.csv' AS file, count(*) AS rows FROM {CHAIN_SQL} LEFT JOIN PDF ON PDF.project_id = P.id GROUP BY 1)
+ SELECT * FROM g UNION ALL SELECT 'TOTAL', CAST(sum(rows) AS BIGINT) FROM g""",
+)(lambda m: exports.export_summary(exports.flat(m).groupBy(F.concat(F.lit("pdfs_flat_"), fn.file_year(F.col("year_label")), F.lit(".csv")).alias("file")).agg(F.count("*").alias("rows"))))
 FAIL = "count(*) AS total, count(*) FILTER (pdf_status = 'DOWNLOADED') AS downloaded, count(*) FILTER (pdf_status IN ('MISSING', 'ERROR')) AS failed, count(*) FILTER (pdf_status IN ('DOWNLOADED', 'MISSING', 'ERROR')) AS attempted"
 add("L10_by_year_failure", f", g AS (SELECT CASE WHEN grouping(D.year_label) = 1 THEN 'TOTAL' ELSE D.year_label END AS year_label, {FAIL} FROM {CHAIN_SQL} GROUP BY ROLLUP (D.year_label)) SELECT *, CASE WHEN attempted > 0 THEN round(failed / attempted * 100, 1) ELSE 0 END AS fail_pct, CASE WHEN total > 0 THEN round(attempted / total * 100, 1) ELSE 0 END AS attempted_pct FROM g")(reports.by_year_failure)
 ORACLE["D11_stats_by_year"] = ORACLE["L10_by_year_failure"] + " WHERE year_label <> 'TOTAL'"
@@ -113,6 +161,20 @@ add("D21_bodies_with_pending_pdfs", f"SELECT DISTINCT P.local_body_id, D.year_va
 add("D21_waiting_per_body", "SELECT local_body_id, count(*) AS waiting FROM P WHERE pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR') AND pdf_retry_count < 3 GROUP BY 1")(reports.pending_bodies_with_pdfs)
 add("H11_claim_batch", "SELECT CASE WHEN id IN (SELECT id FROM D WHERE status IN ('PENDING', 'ERROR') AND retry_count < 3 ORDER BY year_val DESC, lb_type_val, district_index LIMIT 100) THEN 'IN_PROGRESS' ELSE status END AS status, count(*) AS n FROM D GROUP BY 1")(lambda m: reports.count_by(wq.claim(m.districts, wq.pending_districts(m, 100))[1], "status"))
 add("B01_by_id", "SELECT id, district_name FROM D WHERE id = '1997-3-15'")(lambda m: wq.by_key(m.districts, id="1997-3-15").select("id", "district_name"))
+ONE = {"scrape_runs": ("R", "run-2"), "districts": ("D", "1997-3-15"), "local_bodies": ("LB", "1998-899"), "projects": ("P", "12222"), "pdfs": ("PDF", "pdf-12225")}
+
+
+def _by_id(m) -> DataFrame:
+    out = None
+    for name, df in m.tables().items():
+        row = wq.by_key(df, id=ONE[name][1]).select(F.lit(name).alias("table_name"), "id")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+add("B01_by_id_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, id FROM {v} WHERE id = '{i}'" for t, (v, i) in ONE.items()))(_by_id)
+add("B05_bodies_of_district", "SELECT id, lb_index FROM LB WHERE district_id = '1997-3-15'")(lambda m: wq.children_of(m.bodies, "district_id", "1997-3-15", "lb_index").select("id", "lb_index"))
+add("B05_projects_of_body", "SELECT id, page_number, project_no FROM P WHERE local_body_id = '1998-899'")(lambda m: wq.children_of(m.projects, "local_body_id", "1998-899", "page_number", "project_no").select("id", "page_number", "project_no"))
 add("B02_by_identity", "SELECT id, status FROM D WHERE year_val = 1997 AND lb_type_val = 3 AND district_index = 16")(lambda m: wq.by_key(m.districts, year_val=1997, lb_type_val=3, district_index=16).select("id", "status"))
 add("B03_pdf_of_project", "SELECT id, status FROM PDF WHERE project_id = '12222'")(lambda m: wq.by_key(m.pdfs, project_id="12222").select("id", "status"))
 add("B04_by_hash", "SELECT id FROM PDF WHERE content_hash = sha256('12222') ORDER BY id LIMIT 1")(lambda m: m.pdfs.where(F.col("content_hash") == F.sha2(F.lit("12222"), 256)).orderBy("id").limit(1).select("id"))
@@ -142,22 +204,54 @@ add("L11_gating", f", ph AS ({PHASES}) SELECT phase, coalesce(lag(total) OVER (O
 HAS = lambda view, column, value: f"(SELECT count(*) FROM {view} WHERE {column} = '{value}')"
 ALL = lambda view: f"(SELECT count(*) FROM {view})"
 add("L05_pipeline_status", f"SELECT {HAS('D', 'status', 'DONE')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0 AS phase1, {HAS('LB', 'status', 'DONE')} > 0 AND {HAS('LB', 'status', 'PENDING')} = 0 AS phase2, {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADED')} > 0 AS phase3")(reports.pipeline_status)
-add("L06_progress_report", f"SELECT {ALL('D')} > 0 AS phase1_complete, round({HAS('D', 'status', 'DONE')} / {ALL('D')} * 100, 1) AS phase2_pct, {HAS('D', 'status', 'DONE')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0 AS phase2_complete, round({HAS('LB', 'status', 'DONE')} / {ALL('LB')} * 100, 1) AS phase3_pct, {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADED')} > 0 AS phase3_complete, round(({HAS('P', 'pdf_status', 'DOWNLOADED')} + {HAS('P', 'pdf_status', 'MISSING')}) / {ALL('P')} * 100, 1) AS phase4_pct")(reports.progress_report)
+add(
+    "L06_progress_report",
+    f""", s AS (SELECT string_agg(status || '=' || n, ',' ORDER BY status) AS s, 2 AS phase FROM (SELECT status, count(*) AS n FROM D GROUP BY 1)
+ UNION ALL SELECT string_agg(status || '=' || n, ',' ORDER BY status), 3 FROM (SELECT status, count(*) AS n FROM LB GROUP BY 1)
+ UNION ALL SELECT string_agg(pdf_status || '=' || n, ',' ORDER BY pdf_status), 4 FROM (SELECT pdf_status, count(*) AS n FROM P GROUP BY 1)),
+ rep AS (SELECT 1 AS phase, 'Discover Districts' AS name, {ALL('D')} > 0 AS complete, {ALL('D')} AS total, {ALL('D')} AS done, NULL AS missing, CASE WHEN {ALL('D')} > 0 THEN 100.0 ELSE 0 END AS percent
+ UNION ALL SELECT 2, 'Discover Local Bodies', {HAS('D', 'status', 'DONE')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0, {ALL('D')}, {HAS('D', 'status', 'DONE')}, NULL, round({HAS('D', 'status', 'DONE')} / {ALL('D')} * 100, 1)
+ UNION ALL SELECT 3, 'Scrape Projects', {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADED')} > 0, {ALL('LB')}, {HAS('LB', 'status', 'DONE')}, NULL, round({HAS('LB', 'status', 'DONE')} / {ALL('LB')} * 100, 1)
+ UNION ALL SELECT 4, 'Download PDFs', NULL, {ALL('P')}, {HAS('P', 'pdf_status', 'DOWNLOADED')}, {HAS('P', 'pdf_status', 'MISSING')}, round(({HAS('P', 'pdf_status', 'DOWNLOADED')} + {HAS('P', 'pdf_status', 'MISSING')}) / {ALL('P')} * 100, 1))
+ SELECT rep.*, s.s AS status FROM rep LEFT JOIN s ON rep.phase = s.phase""",
+)(lambda m: reports.progress_report(m).withColumn("status", F.expr("array_join(transform(array_sort(map_entries(status)), e -> concat(e.key, '=', e.value)), ',')")))
 add("L07_completeness", f"SELECT {ALL('D')} > 0 AND {HAS('D', 'status', 'PENDING')} = 0 AND {HAS('D', 'status', 'IN_PROGRESS')} = 0 AS districts_complete, {ALL('LB')} > 0 AND {HAS('LB', 'status', 'PENDING')} = 0 AND {HAS('LB', 'status', 'IN_PROGRESS')} = 0 AND {HAS('LB', 'status', 'PARTIAL')} = 0 AS bodies_complete, {HAS('P', 'pdf_status', 'PENDING')} = 0 AND {HAS('P', 'pdf_status', 'DOWNLOADING')} = 0 AS projects_complete")(reports.completeness)
 WORDS = lambda done, some: f"CASE WHEN {done} THEN 'Complete' WHEN {some} THEN 'In Progress' ELSE 'Not Started' END"
 add("L08_summary", f"SELECT {WORDS(ALL('D') + ' > 0 AND ' + HAS('D', 'status', 'DONE') + ' = ' + ALL('D'), ALL('D') + ' > 0')} AS phase1, {WORDS(ALL('LB') + ' > 0 AND ' + HAS('LB', 'status', 'DONE') + ' = ' + ALL('LB'), ALL('LB') + ' > 0')} AS phase2, {WORDS(ALL('P') + ' > 0 AND ' + HAS('LB', 'status', 'DONE') + ' + ' + HAS('LB', 'status', 'ERROR') + ' = ' + ALL('LB'), ALL('P') + ' > 0')} AS phase3, {WORDS(ALL('PDF') + ' > 0 AND ' + HAS('PDF', 'status', 'UPLOADED') + ' = ' + ALL('PDF'), ALL('PDF') + ' > 0')} AS phase4")(reports.summary)
 add("L09_kpis", f", u AS (SELECT count(*) AS uploaded, CAST(sum(file_size_bytes) AS BIGINT) AS bytes, count(*) FILTER (uploaded_at > TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY) AS uploads FROM PDF WHERE status = 'UPLOADED'), l AS (SELECT count(*) FILTER (pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR')) AS remaining, count(*) AS projects FROM P) SELECT u.*, l.*, CASE WHEN uploads > 0 THEN round(remaining / (uploads / {365 * DAY}.0 * 60), 2) END AS hours_remaining FROM u, l")(lambda m: reports.kpis(m, as_of(), 365 * DAY))
 
 # --- exports ---------------------------------------------------------------------------------------------------------
+FLAT_SQL = """SELECT D.year_val, D.year_label, D.lb_type_val, D.lb_type_label, D.district_index, D.district_name,
+ LB.lb_index AS local_body_index, LB.lb_name AS local_body_name, P.project_no, P.project_name, P.formulation, P.expense, P.pdf_status,
+ P.pdf_status = 'DOWNLOADED' AS pdf_downloaded, PDF.gcs_path AS pdf_gcs_path, PDF.gcs_bucket AS pdf_gcs_bucket, PDF.original_url AS pdf_original_url,
+ PDF.file_size_bytes AS pdf_file_size_bytes, PDF.content_hash AS pdf_content_hash, P.scraped_at AS project_scraped_at,
+ PDF.downloaded_at AS pdf_downloaded_at, PDF.uploaded_at AS pdf_uploaded_at FROM """ + CHAIN_SQL + " LEFT JOIN PDF ON PDF.project_id = P.id"
+add("A14_flat_export", FLAT_SQL + " WHERE D.year_val = 1997 AND D.district_name ILIKE '%ation_1%'")(lambda m: exports.flat_order(exports.flat(m, 1997, "ation_1")))
+add("A15_flat_all", FLAT_SQL)(exports.flat)
+add("F12_export_years", "SELECT DISTINCT year_val, year_label FROM D")(exports.years)
+add(
+    "A16_districts_export",
+    """SELECT id, year_val, year_label, lb_type_val, lb_type_label, district_index, district_name, num_local_bodies, num_projects, postback_target,
+ postback_argument, status, retry_count, error_message, discovered_at, last_processed_at FROM D""",
+)(exports.districts)
+add(
+    "A17_bodies_export",
+    """SELECT LB.id, LB.district_id, D.district_name, D.year_label, D.lb_type_label, LB.lb_index, LB.lb_name, LB.expected_projects, LB.scraped_projects,
+ LB.last_page_scraped, LB.total_pages, LB.postback_target, LB.postback_argument, LB.status, LB.retry_count, LB.error_message, LB.discovered_at,
+ LB.last_scraped_at FROM LB JOIN D ON LB.district_id = D.id""",
+)(exports.bodies)
 add(
-    "A14_flat_export",
-    f"SELECT D.year_label, D.lb_type_label, D.district_name, D.district_index, LB.lb_name AS local_body_name, LB.lb_index AS local_body_index, P.project_no, P.project_name, P.formulation, P.expense, P.pdf_status, P.pdf_status = 'DOWNLOADED' AS pdf_downloaded, PDF.gcs_path, PDF.file_size_bytes, PDF.status AS upload_status, PDF.uploaded_at, D.lb_type_val FROM {CHAIN_SQL} LEFT JOIN PDF ON PDF.project_id = P.id WHERE D.year_val = 1997 AND D.district_name ILIKE '%ation_1%'",
-)(lambda m: exports.flat_order(exports.flat(m, 1997, "ation_1")))
-add("A15_flat_all", f"SELECT D.year_label, count(*) AS n, count(PDF.id) AS with_pdf, CAST(sum(PDF.file_size_bytes) AS BIGINT) AS bytes FROM {CHAIN_SQL} LEFT JOIN PDF ON PDF.project_id = P.id GROUP BY 1")(lambda m: exports.flat(m).groupBy("year_label").agg(F.count("*").alias("n"), F.count("gcs_path").alias("with_pdf"), F.sum("file_size_bytes").alias("bytes")))
-add("A16_districts_export", "SELECT id, year_val, year_label, lb_type_val, lb_type_label, district_index, district_name, num_local_bodies, num_projects, status, retry_count FROM D")(exports.districts)
-add("A17_bodies_export", "SELECT LB.id, D.year_label, D.lb_type_label, D.district_name, LB.lb_index, LB.lb_name, LB.expected_projects, LB.scraped_projects, LB.status FROM LB JOIN D ON LB.district_id = D.id")(exports.bodies)
-add("A18_projects_export", f"SELECT P.id, D.year_label, D.district_name, LB.lb_name, P.project_no, P.project_name, P.formulation, P.expense, P.page_number, P.pdf_status FROM {CHAIN_SQL}")(exports.projects)
-add("A19_pdfs_export", "SELECT PDF.id, D.year_label, D.district_name, LB.lb_name, P.project_no, PDF.gcs_path, PDF.file_size_bytes, PDF.content_hash, PDF.status FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id")(exports.pdfs)
+    "A18_projects_export",
+    f"""SELECT P.id, P.local_body_id, LB.lb_name AS local_body_name, D.district_name, D.year_label, D.lb_type_label, P.project_no, P.project_name,
+ P.formulation, P.expense, P.page_number, P.select_argument, P.pdf_status, P.pdf_retry_count, P.pdf_error_message, P.pdf_last_attempt_at, P.scraped_at
+ FROM {CHAIN_SQL}""",
+)(exports.projects)
+add(
+    "A19_pdfs_export",
+    """SELECT PDF.id, PDF.project_id, P.project_no, P.project_name, LB.lb_name AS local_body_name, D.district_name, D.year_label, PDF.gcs_path,
+ PDF.gcs_bucket, PDF.original_url, PDF.original_filename, PDF.redirect_url, PDF.file_size_bytes, PDF.content_hash, PDF.status, PDF.upload_error,
+ PDF.downloaded_at, PDF.uploaded_at FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id""",
+)(exports.pdfs)
 
 # --- upserts and transitions -----------------------------------------------------------------------------------------
 
@@ -179,14 +273,89 @@ add(
 )(lambda m: upsert.upsert_table("projects", m.projects, _project_source(m), "pass").select("id", "project_no", "project_name", "expense", "page_number", "pdf_status"))
 add("H01_district_upsert", "SELECT id, status, num_projects + 1 AS num_projects, district_name || '!' AS district_name FROM D")(lambda m: upsert.upsert_table("districts", m.districts, m.districts.withColumn("num_projects", F.col("num_projects") + 1).withColumn("district_name", F.concat("district_name", F.lit("!"))).withColumn("status", F.lit("PENDING"))).select("id", "status", F.col("num_projects").cast("long").alias("num_projects"), "district_name"))
 add("H02_body_upsert", "SELECT id, status, expected_projects * 2 AS expected_projects FROM LB")(lambda m: upsert.upsert_table("local_bodies", m.bodies, m.bodies.withColumn("expected_projects", F.col("expected_projects") * 2).withColumn("status", F.lit("PENDING"))).select("id", "status", F.col("expected_projects").cast("long").alias("expected_projects")))
+STAMP = f"TIMESTAMP '{AS_OF}'"
+
+
+def _twice(events: DataFrame) -> DataFrame:
+    """Events that come twice count once."""
+    return events.unionByName(events)
+
+
 add(
-    "H05_district_transition",
-    "SELECT id, CASE WHEN status = 'PENDING' THEN 'ERROR' WHEN status = 'IN_PROGRESS' THEN 'DONE' ELSE status END AS status, CASE WHEN status = 'PENDING' THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN status = 'PENDING' THEN 'again' ELSE error_message END AS error_message FROM D",
+    "H05_district_events",
+    f"""SELECT id, CASE status WHEN 'PENDING' THEN 'ERROR' WHEN 'IN_PROGRESS' THEN 'DONE' WHEN 'ERROR' THEN 'IN_PROGRESS' ELSE status END AS status,
+ retry_count + CASE status WHEN 'PENDING' THEN 2 ELSE 0 END AS retry_count, CASE WHEN status = 'PENDING' THEN 'again 2' ELSE error_message END AS error_message,
+ CASE WHEN status IN ('PENDING', 'IN_PROGRESS') THEN {STAMP} ELSE last_processed_at END AS last_processed_at FROM D""",
 )(
-    lambda m: upsert.transition(
-        m.districts, m.districts.where("status IN ('PENDING', 'IN_PROGRESS')").select("id", F.when(F.col("status") == "PENDING", "ERROR").otherwise("DONE").alias("to"), F.lit("again").alias("message"), as_of().alias("ts"))
-    ).select("id", "status", "retry_count", "error_message")
+    lambda m: upsert.district_events(
+        m.districts,
+        _twice(
+            m.districts.where("status <> 'DONE'")
+            .crossJoin(m.districts.sparkSession.range(1, 3).withColumnRenamed("id", "turn"))
+            .select("id", F.expr("CASE status WHEN 'PENDING' THEN 'ERROR' WHEN 'IN_PROGRESS' THEN 'DONE' ELSE 'IN_PROGRESS' END").alias("to"), F.concat(F.lit("again "), "turn").alias("message"), (as_of() - F.make_dt_interval(mins=F.lit(2) - F.col("turn"))).alias("ts"))
+        ),
+    ).select("id", "status", "retry_count", "error_message", "last_processed_at")
 )
+add(
+    "H06_body_events",
+    f"""SELECT id, CASE status WHEN 'PENDING' THEN 'DONE' WHEN 'DONE' THEN 'IN_PROGRESS' WHEN 'PARTIAL' THEN 'ERROR' ELSE status END AS status,
+ CASE status WHEN 'PENDING' THEN 77 ELSE scraped_projects END AS scraped_projects, retry_count + CASE status WHEN 'PARTIAL' THEN 1 ELSE 0 END AS retry_count,
+ CASE WHEN status IN ('PENDING', 'PARTIAL') THEN {STAMP} ELSE last_scraped_at END AS last_scraped_at FROM LB""",
+)(
+    lambda m: upsert.body_events(
+        m.bodies,
+        _twice(m.bodies.where("status IN ('PENDING', 'DONE', 'PARTIAL')").select("id", F.expr("CASE status WHEN 'PENDING' THEN 'DONE' WHEN 'DONE' THEN 'IN_PROGRESS' ELSE 'ERROR' END").alias("to"), F.lit("e").alias("message"), as_of().alias("ts"), F.lit(77).alias("scraped_projects"))),
+    ).select("id", "status", "scraped_projects", "retry_count", "last_scraped_at")
+)
+add(
+    "H07_project_events",
+    f"""SELECT id, CASE pdf_status WHEN 'PENDING' THEN 'DOWNLOADING' WHEN 'DOWNLOADING' THEN 'MISSING' WHEN 'ERROR' THEN 'ERROR' ELSE pdf_status END AS pdf_status,
+ pdf_retry_count + CASE pdf_status WHEN 'ERROR' THEN 1 ELSE 0 END AS pdf_retry_count, CASE pdf_status WHEN 'ERROR' THEN 'no answer' ELSE pdf_error_message END AS pdf_error_message,
+ CASE WHEN pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR') THEN {STAMP} ELSE pdf_last_attempt_at END AS pdf_last_attempt_at FROM P""",
+)(
+    lambda m: upsert.project_events(
+        m.projects,
+        _twice(m.projects.where("pdf_status IN ('PENDING', 'DOWNLOADING', 'ERROR')").select("id", F.expr("CASE pdf_status WHEN 'PENDING' THEN 'DOWNLOADING' WHEN 'DOWNLOADING' THEN 'MISSING' ELSE 'ERROR' END").alias("to"), F.lit("no answer").alias("message"), as_of().alias("ts"))),
+    ).select("id", "pdf_status", "pdf_retry_count", "pdf_error_message", "pdf_last_attempt_at")
+)
+
+
+def _run_life(m) -> DataFrame:
+    """run-0 starts, reaches phase 3 and completes; run-1 fails; run-9 is made and starts; run-2 is made again, in vain."""
+    rows = "('run-0', 'start', 0, '', 1), ('run-0', 'phase', 2, '', 2), ('run-0', 'phase', 3, '', 3), ('run-0', 'complete', 0, '', 4), ('run-1', 'fail', 0, 'gone', 5), ('run-9', 'create', 0, '', 6), ('run-9', 'start', 0, '', 7), ('run-2', 'create', 0, '', 8), ('run-8', 'start', 0, '', 9)"
+    events = m.runs.sparkSession.sql(f"SELECT id, action, phase, message, timestamp_ntz '{AS_OF}' + make_dt_interval(0, 0, n) AS ts FROM VALUES {rows} AS t(id, action, phase, message, n)")
+    return upsert.run_events(m.runs, _twice(events))
+
+
+add(
+    "H04_run_life",
+    f""", t AS (SELECT {STAMP} AS t) SELECT id, CASE id WHEN 'run-0' THEN 3 ELSE current_phase END AS current_phase, CASE id WHEN 'run-0' THEN 'COMPLETED' WHEN 'run-1' THEN 'FAILED' ELSE status END AS status,
+ CASE id WHEN 'run-0' THEN t + INTERVAL 1 MINUTE ELSE started_at END AS started_at, CASE id WHEN 'run-0' THEN t + INTERVAL 4 MINUTE WHEN 'run-1' THEN t + INTERVAL 5 MINUTE ELSE completed_at END AS completed_at,
+ CASE id WHEN 'run-1' THEN 'gone' ELSE error_message END AS error_message, created_at FROM R, t
+ UNION ALL SELECT 'run-9', 1, 'RUNNING', t + INTERVAL 7 MINUTE, NULL, NULL, t + INTERVAL 6 MINUTE FROM t""",
+)(_run_life)
+
+
+def _pdf_life(m) -> DataFrame:
+    """Waiting documents are uploaded, failed ones fail again, and every hundredth project without one gets a row."""
+    none = F.lit(None).cast("string")
+    fields = {"project_id": none, "original_url": none, "original_filename": none, "redirect_url": none, "gcs_bucket": none, "gcs_path": none, "file_size_bytes": F.lit(None).cast("long"), "content_hash": none, "message": none}
+    event = lambda df, action, **have: df.select("id", F.lit(action).alias("action"), as_of().alias("ts"), *((have.get(k, v)).alias(k) for k, v in fields.items()))
+    up = event(m.pdfs.where("status = 'PENDING'"), "uploaded", gcs_bucket=F.lit("new"), gcs_path=F.concat(F.lit("n/"), "id"), file_size_bytes=F.lit(9).cast("long"), content_hash=F.lit("h"))
+    bad = event(m.pdfs.where("status = 'FAILED'"), "failed", message=F.lit("no space"))
+    new = event(m.projects.where("cast(id as bigint) % 100 = 1 AND pdf_status <> 'DOWNLOADED'").select(F.concat(F.lit("new-"), "id").alias("id"), F.col("id").alias("pid")), "insert", project_id=F.col("pid"), original_url=F.lit("http://h/x.pdf"))
+    lost = event(m.projects.where("id = '1'").select(F.lit("nowhere").alias("id")), "uploaded", gcs_path=F.lit("x"))
+    return upsert.pdf_events(m.pdfs, _twice(up.unionByName(bad).unionByName(new).unionByName(lost)))
+
+
+add(
+    "H09_pdf_life",
+    f"""SELECT id, project_id, CASE status WHEN 'PENDING' THEN 'UPLOADED' ELSE status END AS status, CASE status WHEN 'PENDING' THEN 'new' ELSE gcs_bucket END AS gcs_bucket,
+ CASE status WHEN 'PENDING' THEN 'n/' || id ELSE gcs_path END AS gcs_path, CASE status WHEN 'PENDING' THEN 9 ELSE file_size_bytes END AS file_size_bytes,
+ CASE status WHEN 'PENDING' THEN 'h' ELSE content_hash END AS content_hash, CASE status WHEN 'FAILED' THEN 'no space' ELSE upload_error END AS upload_error,
+ CASE status WHEN 'PENDING' THEN {STAMP} ELSE uploaded_at END AS uploaded_at, original_url FROM PDF
+ UNION ALL SELECT 'new-' || id, id, 'PENDING', NULL, NULL, NULL, NULL, NULL, NULL, 'http://h/x.pdf' FROM P WHERE CAST(id AS BIGINT) % 100 = 1 AND pdf_status <> 'DOWNLOADED'""",
+)(lambda m: _pdf_life(m).select("id", "project_id", "status", "gcs_bucket", "gcs_path", "file_size_bytes", "content_hash", "upload_error", "uploaded_at", "original_url"))
 add("H06_body_progress", "SELECT id, status, CASE WHEN status = 'PARTIAL' THEN 9 ELSE last_page_scraped END AS last_page_scraped FROM LB")(lambda m: upsert.set_progress(m.bodies, m.bodies.where("status = 'PARTIAL'").select("id", F.lit(9).alias("page"), F.lit(1).alias("scraped"))).select("id", "status", "last_page_scraped"))
 add("H08_mark_children", "SELECT CASE WHEN pdf_status IN ('PENDING', 'ERROR') AND local_body_id IN (SELECT id FROM LB WHERE status = 'DONE') THEN 'DOWNLOADING' ELSE pdf_status END AS status, count(*) AS n FROM P GROUP BY 1")(lambda m: reports.count_by(upsert.mark_children(m.projects, m.bodies.where("status = 'DONE'"), ("PENDING", "ERROR"), "DOWNLOADING")[0], "pdf_status"))
 STUCK = f"pdf_status = 'DOWNLOADING' AND (pdf_last_attempt_at IS NULL OR pdf_last_attempt_at < TIMESTAMP '{AS_OF}' - INTERVAL 1000 DAY)"
@@ -206,6 +375,29 @@ add("K01_sample", f"SELECT id FROM P ORDER BY {LOT(7)}, id LIMIT 100")(lambda m:
 add("K02_children_sample", f"SELECT id FROM LB WHERE district_id = '1997-3-15' ORDER BY {LOT(7)}, id LIMIT 5")(lambda m: sampling.children(m.bodies, "district_id", "1997-3-15", 5, 7).select("id"))
 add("E01_per_parent_sample", f"SELECT id, district_id FROM LB QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY {LOT(3)}, id) <= 2")(lambda m: sampling.per_group(m.bodies, 2, ("district_id",), 3).select("id", "district_id"))
 add("K04_strata", f"SELECT PDF.id, D.district_name, D.lb_type_label FROM PDF JOIN P ON PDF.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id WHERE PDF.status = 'UPLOADED' AND D.year_label = '1997-1998' QUALIFY row_number() OVER (PARTITION BY D.district_name, D.lb_type_label ORDER BY {LOT(1, 'PDF.id')}, PDF.id) <= 2")(lambda m: sampling.uploaded_strata(m, "1997-1998", 2, 1).select("id", "district_name", "lb_type_label"))
+SHORT = lambda c, n: f"CASE WHEN length(coalesce({c}, '')) > {n} THEN substr({c}, 1, {n - 3}) || '...' ELSE coalesce({c}, '') END"
+SAID = lambda c: f"CASE WHEN coalesce({c}, '') = '' THEN 'None' ELSE {SHORT(c, 50)} END"
+OF = lambda a, b: f"{a} || '/' || CASE WHEN coalesce({b}, 0) = 0 THEN '?' ELSE CAST({b} AS VARCHAR) END"
+MONEY = lambda c: f"'₹' || format('{{:,}}', coalesce(TRY_CAST({c} AS BIGINT), 0))"
+ICON = lambda c, kind: f"CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fn.ICONS[kind].items()) + " ELSE '❓' END"
+add("K03_districts", f"SELECT {ICON('status', 'district')} AS icon, id, year_label, lb_type_label, district_name, coalesce(num_local_bodies, 0) AS num_local_bodies, num_projects, status, postback_target, postback_argument, discovered_at, last_processed_at FROM D ORDER BY {LOT(11)}, id LIMIT 40")(lambda m: sampling.district_records(m, 40, 11))
+add(
+    "K03_bodies",
+    f""", s AS (SELECT * FROM LB ORDER BY {LOT(11)}, id LIMIT 40) SELECT {ICON('s.status', 'body')} AS icon, s.id, s.lb_name, s.lb_index, D.district_name || ' (' || D.lb_type_label || ', ' || D.year_label || ')' AS parent,
+ {OF('s.scraped_projects', 's.expected_projects')} AS projects, {OF('s.last_page_scraped', 's.total_pages')} AS pages, s.status, {SAID('s.error_message')} AS error, s.discovered_at, s.last_scraped_at FROM s JOIN D ON s.district_id = D.id""",
+)(lambda m: sampling.body_records(m, 40, 11))
+add(
+    "K03_projects",
+    f""", s AS (SELECT * FROM P ORDER BY {LOT(11)}, id LIMIT 40) SELECT {ICON('s.pdf_status', 'project')} AS icon, s.id, s.project_no, {SHORT('s.project_name', 60)} AS name, {MONEY('s.formulation')} AS formulation, {MONEY('s.expense')} AS expense,
+ s.page_number, s.select_argument, LB.lb_name, D.district_name || ' (' || D.lb_type_label || ', ' || D.year_label || ')' AS location, s.pdf_status, s.pdf_retry_count, {SAID('s.pdf_error_message')} AS pdf_error, s.scraped_at
+ FROM s JOIN LB ON s.local_body_id = LB.id JOIN D ON LB.district_id = D.id""",
+)(lambda m: sampling.project_records(m, 40, 11))
+add(
+    "K03_pdfs",
+    f""", s AS (SELECT * FROM PDF ORDER BY {LOT(11)}, id LIMIT 40) SELECT {ICON('s.status', 'pdf')} AS icon, s.id, P.project_no || ' - ' || {SHORT('P.project_name', 40)} AS project, LB.lb_name, D.district_name || ' (' || D.year_label || ')' AS location,
+ coalesce(s.gcs_path, 'Not uploaded') AS gcs_path, coalesce(s.gcs_bucket, 'N/A') AS gcs_bucket, coalesce(s.original_filename, 'N/A') AS filename, printf('%.1f KB', coalesce(s.file_size_bytes, 0) / 1024.0) AS size,
+ coalesce(substr(s.content_hash, 1, 16) || '...', 'N/A') AS hash, s.status, {SAID('s.upload_error')} AS error, s.downloaded_at, s.uploaded_at FROM s JOIN P ON s.project_id = P.id JOIN LB ON P.local_body_id = LB.id JOIN D ON LB.district_id = D.id""",
+)(lambda m: sampling.pdf_records(m, 40, 11))
 add(
     "K05_cascade",
     f""", d3 AS (SELECT id FROM D ORDER BY {LOT(5)}, id LIMIT 3), b3 AS (SELECT LB.id, district_id FROM LB JOIN d3 ON LB.district_id = d3.id QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY {LOT(5, 'LB.id')}, LB.id) <= 3)
@@ -214,13 +406,27 @@ add(
 add("K06_size_bands", f", q AS (SELECT quantile_cont(file_size_bytes, [0.45, 0.55, 0.95, 0.99]) AS q FROM PDF), b AS (SELECT id, file_size_bytes, CASE WHEN file_size_bytes BETWEEN q[1] AND q[2] THEN 'median' WHEN file_size_bytes > q[4] THEN 'top99' WHEN file_size_bytes > q[3] THEN 'top95' END AS band FROM PDF, q) SELECT * FROM (SELECT id, band, file_size_bytes FROM b WHERE band = 'median' ORDER BY {LOT(2)}, id LIMIT 50) UNION ALL SELECT * FROM (SELECT id, band, file_size_bytes FROM b WHERE band IN ('top95', 'top99') ORDER BY band DESC, {LOT(2)}, id LIMIT 50)")(lambda m: sampling.by_size(m, 50, 2))
 Q = ", ".join(f"round(quantile_cont(file_size_bytes, {p}), 3) AS {'p' + f'{p * 100:g}'.replace('.', '_')}" for p in stats.LEVELS)
 add("D27_size_percentiles", f"SELECT count(*) AS n, min(file_size_bytes) AS min, max(file_size_bytes) AS max, round(avg(file_size_bytes), 3) AS mean, round(stddev_samp(file_size_bytes), 3) AS std, {Q} FROM PDF")(lambda m: stats.describe(m.pdfs, "file_size_bytes"))
-add("D28_log_histogram", ", e AS (SELECT CAST(min(file_size_bytes) AS DOUBLE) AS lo, CAST(max(file_size_bytes) AS DOUBLE) AS hi FROM PDF), x AS (SELECT CAST(least(floor(ln(file_size_bytes / lo) / (ln(hi / lo) / 29) + 1e-9), 28) AS INT) AS bin, lo, hi, count(*) AS n FROM PDF, e GROUP BY ALL), y AS (SELECT *, lo * exp(ln(hi / lo) / 29 * bin) AS a, lo * exp(ln(hi / lo) / 29 * (bin + 1)) AS b FROM x) SELECT bin, round(a, 2) AS bin_lo, round(b, 2) AS bin_hi, round((a + b) / 2, 2) AS bin_mid, n, round(sum(n) OVER (ORDER BY bin) / sum(n) OVER () * 100, 4) AS cumulative_pct FROM y")(lambda m: stats.log_histogram(m.pdfs, "file_size_bytes"))
+add(
+    "D28_log_histogram",
+    """, e AS (SELECT CAST(min(file_size_bytes) AS DOUBLE) AS lo, CAST(max(file_size_bytes) AS DOUBLE) AS hi FROM PDF),
+ x AS (SELECT CAST(least(floor(ln(file_size_bytes / lo) / (ln(hi / lo) / 29) + 1e-9), 28) AS INT) AS bin, count(*) AS n FROM PDF, e GROUP BY 1),
+ y AS (SELECT CAST(range AS INT) AS bin, coalesce(n, 0) AS n, lo * exp(ln(hi / lo) / 29 * range) AS a, lo * exp(ln(hi / lo) / 29 * (range + 1)) AS b FROM range(29) CROSS JOIN e LEFT JOIN x ON x.bin = range)
+ SELECT bin, round(a, 2) AS bin_lo, round(b, 2) AS bin_hi, round((a + b) / 2, 2) AS bin_mid, n, round(sum(n) OVER (ORDER BY bin) / sum(n) OVER () * 100, 4) AS cumulative_pct FROM y""",
+)(lambda m: stats.log_histogram(m.pdfs, "file_size_bytes"))
 add("D29_per_bucket", "SELECT status, count(*) AS n, round(avg(file_size_bytes), 4) AS file_size_bytes_mean, round(median(file_size_bytes), 4) AS file_size_bytes_median FROM PDF GROUP BY 1")(lambda m: stats.per_bucket(m.pdfs, "status", "file_size_bytes"))
 add("D30_per_run", "SELECT page_number, round(avg(CAST(formulation AS BIGINT)), 4) AS mean, round(median(CAST(formulation AS BIGINT)), 4) AS median, round(quantile_cont(CAST(formulation AS BIGINT), 0.9), 4) AS p90, round(quantile_cont(CAST(formulation AS BIGINT), 0.99), 4) AS p99, max(CAST(formulation AS BIGINT)) AS max, count(*) FILTER (CAST(formulation AS BIGINT) > 200000) AS runaways FROM P GROUP BY 1")(lambda m: stats.per_run(m.projects.withColumn("v", F.col("formulation").cast("long")), "page_number", "v", 200000))
 add("D31_pearson", "SELECT round(corr(CAST(PDF.file_size_bytes AS DOUBLE), CAST(P.formulation AS DOUBLE)), 6) AS r FROM PDF JOIN P ON PDF.project_id = P.id")(lambda m: stats.pearson(m.pdfs.join(m.projects.select(F.col("id").alias("project_id"), F.col("formulation").cast("double").alias("f")), "project_id").withColumn("s", F.col("file_size_bytes").cast("double")), "s", "f"))
 add("D32_stratified_total", "SELECT round(avg(file_size_bytes) FILTER (file_size_bytes <= 150000), 6) AS mean_low, round(avg(file_size_bytes) FILTER (file_size_bytes > 150000), 6) AS mean_top, round(1000 * (0.9 * avg(file_size_bytes) FILTER (file_size_bytes <= 150000) + (1 - 0.9) * avg(file_size_bytes) FILTER (file_size_bytes > 150000)), 4) AS total FROM PDF")(lambda m: stats.stratified_total(m.pdfs, "file_size_bytes", F.col("file_size_bytes") > 150000, 1000))
 add("D34_projection", "SELECT round(avg(file_size_bytes) * 1000, 4) AS by_mean, round(median(file_size_bytes) * 1000, 4) AS by_median, round(avg(file_size_bytes) * 1000 * 0.5, 4) AS batch FROM PDF")(lambda m: stats.projection(m.pdfs, "file_size_bytes", 1000))
-add("D33_bootstrap", None)(lambda m: stats.bootstrap(m.pdfs, "id", "file_size_bytes"))
+DRAWN = " + ".join(f"CASE WHEN u >= {edge!r} * 2147483647 THEN 1 ELSE 0 END" for edge in stats.POISSON)
+add(
+    "D33_bootstrap",
+    f""", dg AS (SELECT sha256(id || '/0') AS s, CAST(file_size_bytes AS DOUBLE) AS x, file_size_bytes > 150000 AS top FROM PDF),
+ h AS (SELECT CAST('0x' || substr(s, 1, 8) AS BIGINT) % 2147483647 AS a, CAST('0x' || substr(s, 9, 8) AS BIGINT) % 2147483647 AS b, x, top FROM dg),
+ u AS (SELECT k, x, top, (a * k + b) % 2147483647 AS u FROM h, range(2000) AS it(k)), w AS (SELECT k, x, top, {DRAWN} AS w FROM u),
+ t AS (SELECT k, 1000 * (0.9 * coalesce(sum(w * x) FILTER (NOT top) / nullif(sum(w) FILTER (NOT top), 0), 0) + (1 - 0.9) * coalesce(sum(w * x) FILTER (top) / nullif(sum(w) FILTER (top), 0), 0)) AS t FROM w GROUP BY k)
+ SELECT round(quantile_cont(t, 0.1), 4) AS low, round(quantile_cont(t, 0.9), 4) AS high, count(*) AS iterations FROM t""",
+)(lambda m: stats.bootstrap(m.pdfs, "id", "file_size_bytes", top=F.col("file_size_bytes") > 150000, total=1000))
 add("C10_compare_runs", "SELECT id, page_number AS n_a, pdf_retry_count AS n_b, pdf_retry_count - page_number AS delta, round(CAST(formulation AS DOUBLE) - CAST(expense AS DOUBLE), 4) AS cost_savings FROM P WHERE expense IS NOT NULL")(
     lambda m: stats.compare_runs(m.projects.select("id", F.col("page_number").cast("long").alias("n"), F.col("formulation").cast("double").alias("c")), m.projects.where("expense IS NOT NULL").select("id", F.col("pdf_retry_count").cast("long").alias("n"), F.col("expense").cast("double").alias("c")), "id", "n", "c")
 )
@@ -239,8 +445,25 @@ add(
 )(lambda m: m.projects.select("id", fn.safe_int(F.col("formulation")).alias("amount"), fn.file_year(F.concat("local_body_id", F.lit("/a b"))).alias("file_label"), fn.format_currency(F.col("expense")).alias("currency"), fn.truncate(F.col("project_name"), 12).alias("short_name"), fn.is_totals_row(F.col("project_no")).alias("totals_like")))
 add(
     "I16_report_text",
-    "SELECT id, CASE WHEN file_size_bytes < 1024 THEN file_size_bytes || ' B' WHEN file_size_bytes < 1048576 THEN printf('%.1f KB', file_size_bytes / 1024.0) ELSE printf('%.1f MB', file_size_bytes / 1048576.0) END AS size_text, CASE WHEN status = 'UPLOADED' THEN '✅' WHEN status = 'FAILED' THEN '❌' ELSE '⏳' END AS icon, substr(content_hash, 1, 16) AS short_hash FROM PDF",
-)(lambda m: m.pdfs.select("id", fn.format_bytes(F.col("file_size_bytes")).alias("size_text"), fn.status_icon(F.col("status")).alias("icon"), fn.prefix(F.col("content_hash"), 16).alias("short_hash")))
+    """SELECT id, CASE WHEN b >= 1073741824 THEN printf('%.1f GB', b / 1073741824.0) WHEN b >= 1048576 THEN printf('%.1f MB', b / 1048576.0) WHEN b >= 1024 THEN printf('%.1f KB', b / 1024.0) ELSE b || ' B' END AS size_text,
+ substr(content_hash, 1, 16) AS short_hash FROM (SELECT id, content_hash, file_size_bytes * file_size_bytes // 7 AS b FROM PDF)""",
+)(lambda m: m.pdfs.select("id", fn.format_bytes(F.expr("file_size_bytes * file_size_bytes div 7")).alias("size_text"), fn.prefix(F.col("content_hash"), 16).alias("short_hash")))
+
+
+def icon_sql(view: str, column: str, kind: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fn.ICONS[kind].items())
+    return f"SELECT '{kind}' AS kind, {column} AS status, CASE {column} {cases} ELSE '❓' END AS icon, count(*) AS n FROM {view} GROUP BY 2"
+
+
+def _icons(m) -> DataFrame:
+    out = None
+    for kind, df, column in (("run", m.runs, "status"), ("district", m.districts, "status"), ("body", m.bodies, "status"), ("project", m.projects, "pdf_status"), ("pdf", m.pdfs, "status")):
+        rows = reports.count_by(df, column).select(F.lit(kind).alias("kind"), "status", fn.status_icon(F.col("status"), kind).alias("icon"), "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+add("I23_status_icons", " UNION ALL ".join([icon_sql("R", "status", "run"), icon_sql("D", "status", "district"), icon_sql("LB", "status", "body"), icon_sql("P", "pdf_status", "project"), icon_sql("PDF", "status", "pdf")]))(_icons)
 add("I22_progress_text", "SELECT id, scraped_projects || '/' || CASE WHEN coalesce(expected_projects, 0) = 0 THEN '?' ELSE CAST(expected_projects AS VARCHAR) END AS progress FROM LB")(lambda m: m.bodies.select("id", fn.progress_text(F.col("scraped_projects"), F.col("expected_projects")).alias("progress")))
 add("I33_tiles", "SELECT id, CAST(ceil(page_number / 4) AS INT) AS tiles, round(page_number * 1000 / 1e6 * 0.5 + pdf_retry_count * 100 / 1e6 * 3.0, 8) AS cost FROM P")(lambda m: m.projects.select("id", fn.tiles(F.col("page_number")).alias("tiles"), F.round(fn.cost(F.col("page_number") * 1000, F.col("pdf_retry_count") * 100, 0.5, 3.0), 8).alias("cost")))
 add("I34_era", "SELECT id, CASE WHEN year_val + 17 BETWEEN 2012 AND 2016 THEN '2012-2016' WHEN year_val + 17 BETWEEN 2017 AND 2020 THEN '2017-2020' WHEN year_val + 17 BETWEEN 2021 AND 2026 THEN '2021-2026' END AS era FROM D")(lambda m: m.districts.select("id", fn.era(F.col("year_val") + 17).alias("era")))

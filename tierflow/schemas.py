@@ -10,34 +10,93 @@ BODY_STATUS = ("PENDING", "IN_PROGRESS", "PARTIAL", "DONE", "ERROR")
 PDF_STATUS = ("PENDING", "DOWNLOADING", "DOWNLOADED", "MISSING", "ERROR")
 UPLOAD_STATUS = ("PENDING", "UPLOADING", "UPLOADED", "FAILED")
 
-S, I, TS = T.StringType(), T.IntegerType(), T.TimestampNTZType()
+S, I, L, TS = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampNTZType()
 
-
-def _schema(text: str) -> T.StructType:
-    kinds = {"s": S, "i": I, "t": TS, "l": T.LongType(), "d": T.DoubleType()}
-    fields = []
-    for item in text.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, kinds[kind[0]], not kind.endswith("!")))
-    return T.StructType(fields)
-
-
-RUNS = _schema("id:s! current_phase:i! status:s! started_at:t completed_at:t error_message:s created_at:t!")
-DISTRICTS = _schema(
-    "id:s! scrape_run_id:s year_val:i! year_label:s! lb_type_val:i! lb_type_label:s! district_index:i! district_name:s! "
-    "num_local_bodies:i num_projects:i postback_target:s! postback_argument:s! status:s! retry_count:i! error_message:s discovered_at:t! last_processed_at:t"
+# The columns of the five tables, in order, and whether they may be null.
+RUNS = T.StructType(
+    [
+        T.StructField("id", S, False),
+        T.StructField("current_phase", I, False),
+        T.StructField("status", S, False),
+        T.StructField("started_at", TS, True),
+        T.StructField("completed_at", TS, True),
+        T.StructField("error_message", S, True),
+        T.StructField("created_at", TS, False),
+    ]
 )
-BODIES = _schema(
-    "id:s! district_id:s! lb_index:i! lb_name:s! expected_projects:i scraped_projects:i! last_page_scraped:i! total_pages:i "
-    "postback_target:s! postback_argument:s! status:s! retry_count:i! error_message:s discovered_at:t! last_scraped_at:t"
+DISTRICTS = T.StructType(
+    [
+        T.StructField("id", S, False),
+        T.StructField("scrape_run_id", S, True),
+        T.StructField("year_val", I, False),
+        T.StructField("year_label", S, False),
+        T.StructField("lb_type_val", I, False),
+        T.StructField("lb_type_label", S, False),
+        T.StructField("district_index", I, False),
+        T.StructField("district_name", S, False),
+        T.StructField("num_local_bodies", I, True),
+        T.StructField("num_projects", I, True),
+        T.StructField("postback_target", S, False),
+        T.StructField("postback_argument", S, False),
+        T.StructField("status", S, False),
+        T.StructField("retry_count", I, False),
+        T.StructField("error_message", S, True),
+        T.StructField("discovered_at", TS, False),
+        T.StructField("last_processed_at", TS, True),
+    ]
 )
-PROJECTS = _schema(
-    "id:s! local_body_id:s! project_no:s! project_name:s! formulation:s expense:s page_number:i! select_argument:s! "
-    "pdf_status:s! pdf_retry_count:i! pdf_error_message:s pdf_last_attempt_at:t scraped_at:t!"
+BODIES = T.StructType(
+    [
+        T.StructField("id", S, False),
+        T.StructField("district_id", S, False),
+        T.StructField("lb_index", I, False),
+        T.StructField("lb_name", S, False),
+        T.StructField("expected_projects", I, True),
+        T.StructField("scraped_projects", I, False),
+        T.StructField("last_page_scraped", I, False),
+        T.StructField("total_pages", I, True),
+        T.StructField("postback_target", S, False),
+        T.StructField("postback_argument", S, False),
+        T.StructField("status", S, False),
+        T.StructField("retry_count", I, False),
+        T.StructField("error_message", S, True),
+        T.StructField("discovered_at", TS, False),
+        T.StructField("last_scraped_at", TS, True),
+    ]
 )
-PDFS = _schema(
-    "id:s! project_id:s! gcs_path:s gcs_bucket:s original_url:s original_filename:s redirect_url:s file_size_bytes:l "
-    "content_hash:s status:s! upload_error:s downloaded_at:t uploaded_at:t"
+PROJECTS = T.StructType(
+    [
+        T.StructField("id", S, False),
+        T.StructField("local_body_id", S, False),
+        T.StructField("project_no", S, False),
+        T.StructField("project_name", S, False),
+        T.StructField("formulation", S, True),
+        T.StructField("expense", S, True),
+        T.StructField("page_number", I, False),
+        T.StructField("select_argument", S, False),
+        T.StructField("pdf_status", S, False),
+        T.StructField("pdf_retry_count", I, False),
+        T.StructField("pdf_error_message", S, True),
+        T.StructField("pdf_last_attempt_at", TS, True),
+        T.StructField("scraped_at", TS, False),
+    ]
+)
+PDFS = T.StructType(
+    [
+        T.StructField("id", S, False),
+        T.StructField("project_id", S, False),
+        T.StructField("gcs_path", S, True),
+        T.StructField("gcs_bucket", S, True),
+        T.StructField("original_url", S, True),
+        T.StructField("original_filename", S, True),
+        T.StructField("redirect_url", S, True),
+        T.StructField("file_size_bytes", L, True),
+        T.StructField("content_hash", S, True),
+        T.StructField("status", S, False),
+        T.StructField("upload_error", S, True),
+        T.StructField("downloaded_at", TS, True),
+        T.StructField("uploaded_at", TS, True),
+    ]
 )
 TABLES = {"scrape_runs": RUNS, "districts": DISTRICTS, "local_bodies": BODIES, "projects": PROJECTS, "pdfs": PDFS}
 
@@ -47,3 +106,13 @@ UPSERTS = {
     "local_bodies": (("district_id", "lb_index"), ("lb_name", "expected_projects", "postback_argument")),
     "projects": (("local_body_id", "project_no"), ("project_name", "formulation", "expense", "select_argument")),
 }
+
+#: How tables are written, in place of indexes: ranges of the first columns over files, rows sorted by all of them, so that
+#: the statistics of files and row groups prune lookups by parent, identity, status and hash.
+LAYOUT = {
+    "scrape_runs": ("created_at",),
+    "districts": ("year_val", "lb_type_val", "district_index"),
+    "local_bodies": ("district_id", "lb_index"),
+    "projects": ("local_body_id", "project_no"),
+    "pdfs": ("project_id", "content_hash"),
+}
