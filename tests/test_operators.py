@@ -378,8 +378,45 @@ def test_bootstrap_covers_the_mean(spark):
 
 def test_settings():
     assert Settings.from_env({"TIERFLOW_BATCH_SIZE": "7"}).batch_size == 7
+    for bad in ({"max_retries": 99}, {"delay_min": 2.0}, {"log_level": "LOUD"}, {"max_queue": 9}, {"storage_backend": "tape"}):
+        with pytest.raises(ValueError):
+            Settings(**bad)
+    assert Settings.from_env({"TIERFLOW_LIMIT_ENABLED": "no", "TIERFLOW_DELAY_MIN": "0.2"}).limit_enabled is False
     with pytest.raises(ValueError):
-        Settings(max_retries=99)
+        Settings.from_env({"TIERFLOW_LIMIT_ENABLED": "perhaps"})
+
+
+def test_command_line(spark, sf, tmp_path, capsys):
+    from tierflow import cli
+
+    data = str(tmp_path / "m")
+    write_model(derive(spark, sf), data)
+    for argv in (["progress", "-d"], ["status"], ["dashboard", "--as-of", "2001-07-25"], ["sample", "-c", "2"], ["sample", "--phase", "3"], ["pending", "--level", "projects"], ["queue-status"], ["run-discovery"]):
+        cli.main(["--data", data, *argv])
+    out = capsys.readouterr().out
+    assert "Discover Local Bodies" in out and "Not Started" not in out and "project-tables" in out
+    cli.main(["--data", data, "run-phase", "3", "--batch-size", "40", "--max-queue", "100000"])
+    claimed = int(capsys.readouterr().out.split(":")[1].split()[0])
+    after = upsert.current(spark, f"{data}/snapshots/bodies")
+    m = read_model(spark, data)
+    assert claimed == wq.pending_bodies(m).count() > 0 and after.where("status = 'IN_PROGRESS'").count() == claimed + m.bodies.where("status = 'IN_PROGRESS'").count()
+    cli.main(["--data", data, "reset-stuck-pdfs", "--as-of", "2030-01-01", "--yes"])
+    assert upsert.current(spark, f"{data}/snapshots/projects").where("pdf_status = 'DOWNLOADING'").count() == 0
+    cli.main(["--data", data, "export", "--output-dir", str(tmp_path / "e"), "--at", "2026-02-15 13:38:09", "--year", "1997", "--upload", str(tmp_path / "u")])
+    assert (tmp_path / "u" / "20260215_133809" / "pdfs_flat_1997-1998.csv").is_dir()
+    cli.main(["--data", data, "drop-db"])
+    assert "projects" in capsys.readouterr().out
+
+
+def test_claims_stop_at_the_limit(spark, sf, tmp_path):
+    from tierflow import cli
+
+    m = derive(spark, sf)
+    before = m.projects.where("pdf_status = 'DOWNLOADING'").count()
+    path = str(tmp_path / "p")
+    assert cli.claim_phase(m, "pdfs", 10, before + 25, 3, path) == 25
+    assert upsert.current(spark, path).where("pdf_status = 'DOWNLOADING'").count() == before + 25
+    assert cli.claim_phase(m, "pdfs", 10, before + 25, 3, path) == 0
 
 
 def test_nested_view(spark, sf):

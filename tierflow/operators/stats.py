@@ -126,8 +126,8 @@ def projection(df: DataFrame, value: str, n: int, batch: float = 0.5) -> DataFra
 
 
 PRIME = 2**31 - 1
-#: Poisson weights with mean 1 for a draw u: the number of these edges that u reaches.
-POISSON = tuple(sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(9))
+#: Poisson weights with mean 1 for a draw u below PRIME: the number of these edges that u reaches.
+POISSON = tuple(math.ceil(sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) * PRIME) for k in range(9))
 
 
 def _weighted(iterations: int):
@@ -135,7 +135,7 @@ def _weighted(iterations: int):
 
     def run(batches):
         sums = np.zeros((4, iterations))
-        turn, edges = np.arange(iterations, dtype=np.int64), np.array(POISSON) * PRIME
+        turn, edges = np.arange(iterations, dtype=np.int64), np.array(POISSON)
         for batch in batches:
             a, b, x, top = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("a", "b", "x", "top"))
             for i in range(0, len(a), 256):

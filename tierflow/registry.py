@@ -418,7 +418,7 @@ add("D30_per_run", "SELECT page_number, round(avg(CAST(formulation AS BIGINT)),
 add("D31_pearson", "SELECT round(corr(CAST(PDF.file_size_bytes AS DOUBLE), CAST(P.formulation AS DOUBLE)), 6) AS r FROM PDF JOIN P ON PDF.project_id = P.id")(lambda m: stats.pearson(m.pdfs.join(m.projects.select(F.col("id").alias("project_id"), F.col("formulation").cast("double").alias("f")), "project_id").withColumn("s", F.col("file_size_bytes").cast("double")), "s", "f"))
 add("D32_stratified_total", "SELECT round(avg(file_size_bytes) FILTER (file_size_bytes <= 150000), 6) AS mean_low, round(avg(file_size_bytes) FILTER (file_size_bytes > 150000), 6) AS mean_top, round(1000 * (0.9 * avg(file_size_bytes) FILTER (file_size_bytes <= 150000) + (1 - 0.9) * avg(file_size_bytes) FILTER (file_size_bytes > 150000)), 4) AS total FROM PDF")(lambda m: stats.stratified_total(m.pdfs, "file_size_bytes", F.col("file_size_bytes") > 150000, 1000))
 add("D34_projection", "SELECT round(avg(file_size_bytes) * 1000, 4) AS by_mean, round(median(file_size_bytes) * 1000, 4) AS by_median, round(avg(file_size_bytes) * 1000 * 0.5, 4) AS batch FROM PDF")(lambda m: stats.projection(m.pdfs, "file_size_bytes", 1000))
-DRAWN = " + ".join(f"CASE WHEN u >= {edge!r} * 2147483647 THEN 1 ELSE 0 END" for edge in stats.POISSON)
+DRAWN = " + ".join(f"CASE WHEN u >= {edge} THEN 1 ELSE 0 END" for edge in stats.POISSON)
 add(
     "D33_bootstrap",
     f""", dg AS (SELECT sha256(id || '/0') AS s, CAST(file_size_bytes AS DOUBLE) AS x, file_size_bytes > 150000 AS top FROM PDF),
