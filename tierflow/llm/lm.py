@@ -29,6 +29,7 @@ from tierflow.llm.textscan import span_hash, word_spans
 H, GROUPS, GROUP, BINS = 16, 16, 32, 24
 LEARNED = GROUPS * GROUP
 LENGTHS = np.array([3, 5, 7, 9, 11, 14, 19])  # last byte length of each class of other words but the last
+LENGTH_CLASS = np.searchsorted(LENGTHS, np.arange(LENGTHS[-1] + 2)).astype(np.int8)
 C = GROUPS + BINS + len(LENGTHS) + 1
 START = LEARNED + C
 INPUTS = START + 1
@@ -44,7 +45,7 @@ def row_words(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     words = np.ones(len(h), bool)
     words[np.cumsum(n) - 1] = False
     h[words] = span_hash(b, starts, ends).view(np.int64)
-    lc[words] = np.searchsorted(LENGTHS, ends - starts)
+    lc[words] = LENGTH_CLASS[np.minimum(ends - starts, len(LENGTH_CLASS) - 1)]
     return h, lc, n
 
 
@@ -85,6 +86,7 @@ class Vocabulary:
         cls[LEARNED:] = GROUPS + np.minimum((mass * BINS).astype(int), BINS - 1)
         self.place = np.argsort(head_h, kind="stable")
         self.keys, self.c, self.cls = head_h[self.place], head_c, cls.astype(np.int8)
+        self.slots, self.probes = self._table(head_h)
         sums = np.bincount(cls, head_c, C)
         for k, (n, _) in rest.items():
             sums[GROUPS + BINS + k] = n
@@ -94,13 +96,40 @@ class Vocabulary:
             self.inside = np.where(rank < LEARNED, 0.0, np.log10(np.maximum(head_c, 1)) - np.log10(np.maximum(sums[cls], 1)))
         self.rest_norm = np.array([np.log10(rest.get(k, (0, 0))[0] + 0.1 * (rest.get(k, (0, 0))[1] + 1)) for k in range(len(LENGTHS) + 1)])
 
+    def _table(self, head_h: np.ndarray) -> tuple[np.ndarray, int]:
+        """An open hash table of ranks: a word lies in the slot of its hash or one of the next ``probes`` - 1."""
+        self.hashes, self.bits = head_h, max(4, int(4 * len(head_h)).bit_length())
+        slots, left, probes = np.full(1 << self.bits, -1, np.int32), np.arange(len(head_h)), 0
+        at = self._slot(head_h)
+        while len(left):
+            free = slots[at[left]] < 0
+            take = left[free]
+            _, one = np.unique(at[take], return_index=True)
+            slots[at[take[one]]] = take[one]
+            left = np.setdiff1d(left, take[one], assume_unique=True)
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            probes += 1
+        return slots, probes
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h.view(np.uint64) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def look(self, h: np.ndarray) -> np.ndarray:
         """Rank in the head, -1 for other words."""
-        u, back = np.unique(h, return_inverse=True)
-        if not len(self.keys):
-            return np.full(len(h), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, u), len(self.keys) - 1)
-        return np.where(self.keys[at] == u, self.place[at], -1)[back]
+        h = np.ascontiguousarray(h)
+        out = np.full(len(h), -1, np.int64)
+        at, left = self._slot(h), None
+        for _ in range(self.probes):
+            rank = self.slots[at if left is None else at[left]]
+            there = rank >= 0
+            hit = there & (self.hashes[rank] == (h if left is None else h[left]))
+            where = np.flatnonzero(hit) if left is None else left[hit]
+            out[where] = rank[hit]
+            left = np.flatnonzero(there & ~hit) if left is None else left[there & ~hit]
+            if not len(left):
+                break
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+        return out
 
     def encode(self, h: np.ndarray, lc: np.ndarray):
         """(rank, class, input id) of each token."""
@@ -129,15 +158,20 @@ def flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in SHAPES])
 
 
-def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
+def views(v: np.ndarray) -> dict[str, np.ndarray]:
+    """The parameters as parts of one vector, sharing its memory."""
     out, at = {}, 0
     for k, s in SHAPES.items():
         n = int(np.prod(s))
-        out[k] = v[at : at + n].reshape(s).astype(np.float32)
+        out[k] = v[at : at + n].reshape(s)
         at += n
     return out
 
 
+def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
+    return {k: x.astype(np.float32) for k, x in views(v).items()}
+
+
 def step(p, x: np.ndarray, h: np.ndarray):
     """One step of the gated unit: (new state, update gate, reset gate, candidate, its recurrent part)."""
     a, g = p["wx"][x], h @ p["u"]
@@ -158,8 +192,9 @@ def step(p, x: np.ndarray, h: np.ndarray):
 
 def exps(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(exponentials, their sums by row, the shift that was taken off). One shift serves all rows unless a row's sum vanishes."""
-    shift = logit.max() if logit.size else 0.0
-    e = np.exp(logit - shift)
+    shift = logit.max() if logit.size else logit.dtype.type(0)
+    e = np.subtract(logit, shift)
+    np.exp(e, out=e)
     total = e @ np.ones(e.shape[1], e.dtype)
     if total.all():
         return e, total, np.broadcast_to(shift, len(logit))
@@ -225,86 +260,111 @@ def step_state(p, x, h):
     return step(p, x, h)[0]
 
 
+def gates(a: np.ndarray, g: np.ndarray, h: np.ndarray):
+    """As ``step`` with units in rows and streams in columns, so that each gate is one block of memory. Overwrites ``a``."""
+    zr = a[: 2 * H]
+    zr += g[: 2 * H]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    z, r, n = a[:H], a[H : 2 * H], a[2 * H :]
+    n += r * g[2 * H :]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, z, r, n
+
+
 def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, rate: float = 0.01):
     """Truncated backpropagation with Adam over one pass of the rows, laid end to end in streams."""
     first = np.zeros(len(ids), bool)
     first[np.cumsum(lens) - lens] = True
-    inputs = np.where(first, START, np.concatenate(([START], ids[:-1]))).astype(np.int32)
+    inputs = np.where(first, START, np.concatenate(([START], ids[:-1]))).astype(np.uint16)
     streams = max(1, min(streams, len(ids) // (2 * span)))
     width = -(-len(ids) // streams)
     grid = np.minimum(np.arange(streams)[:, None] * width + np.arange(width), len(ids) - 1)
     real = (np.arange(streams)[:, None] * width + np.arange(width)) < len(ids)
-    h = np.zeros((streams, H), np.float32)
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    h = np.zeros((H, streams), np.float32)
+    whole = flat(p)
+    p, (m, v, grad) = views(whole), np.zeros((3, len(whole)), np.float32)
+    g = views(grad)
     for turn, lo in enumerate(range(0, width, span), 1):
-        cols = grid[:, lo : lo + span]
-        use = real[:, lo : lo + span].astype(np.float32)
-        kept, states = [], []
-        for t in range(cols.shape[1]):
-            h = h * ~first[cols[:, t]][:, None]
-            new, z, r, n, gn = step(p, inputs[cols[:, t]], h)
-            kept.append((h, z, r, n, gn))
-            states.append(new)
-            h = new
-        hs = np.concatenate(states)
-        where, weight = cols.T.ravel(), use.T.ravel() / max(use.sum(), 1)
-        g = {k: np.zeros_like(x) for k, x in p.items()}
+        cols = grid[:, lo : lo + span].T
+        steps = len(cols)
+        use = real[:, lo : lo + span].T.astype(np.float32)
+        where, weight = cols.ravel(), use.ravel() / max(use.sum(), 1)
+        fed, goes_on = inputs[where], (~first[cols]).astype(np.float32)
+        a = np.ascontiguousarray(p["wx"][fed].reshape(steps, streams, 3 * H).transpose(0, 2, 1))
+        ut, kept, states = np.ascontiguousarray(p["u"].T), [], np.empty((steps, H, streams), np.float32)
+        for t in range(steps):
+            h = h * goes_on[t]
+            recurrent = ut @ h
+            new, z, r, n = gates(a[t], recurrent, h)
+            kept.append((h, z, r, n, recurrent[2 * H :]))
+            states[t] = h = new
+        hs = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, H)
+        grad[:] = 0
         logit = hs @ p["wc"]
         logit += p["bc"]
         err, total, _ = exps(logit)
-        err /= total[:, None]
         own = cls[where]
-        err[np.arange(len(hs)), own] -= 1
-        err *= weight[:, None]
-        g["wc"], g["bc"] = hs.T @ err, err.sum(axis=0)
+        err *= (weight / total)[:, None]
+        err[np.arange(len(hs)), own] -= weight
+        g["wc"][:], g["bc"][:] = hs.T @ err, err.sum(axis=0)
         dhs = err @ p["wc"].T
         at, groups = by_group(own)
         if len(at):
             some = hs[at]
             inner, total, _ = exps(inner_logits(p, some, groups))
-            inner /= total[:, None]
-            inner[np.arange(len(at)), rank[where[at]] % GROUP] -= 1
-            inner *= weight[at][:, None]
+            share = weight[at]
+            inner *= (share / total)[:, None]
+            inner[np.arange(len(at)), rank[where[at]] % GROUP] -= share
             back = np.empty_like(some)
             for k, lo, hi in groups:
                 np.matmul(some[lo:hi].T, inner[lo:hi], out=g["wv"][k])
                 np.matmul(inner[lo:hi], p["wv"][k].T, out=back[lo:hi])
             g["bv"][[k for k, _, _ in groups]] = np.add.reduceat(inner, [lo for _, lo, _ in groups], axis=0)
             dhs[at] += back
-        dhs, dh = dhs.reshape(cols.shape[1], streams, H), np.zeros((streams, H), np.float32)
-        das, dgs = np.empty((2, cols.shape[1], streams, 3 * H), np.float32)
-        for t in range(cols.shape[1] - 1, -1, -1):
+        dhs, dh = np.ascontiguousarray(dhs.reshape(steps, streams, H).transpose(0, 2, 1)), np.zeros((H, streams), np.float32)
+        das, dgs = np.empty((2, steps, 3 * H, streams), np.float32)
+        for t in range(steps - 1, -1, -1):
             before, z, r, n, gn = kept[t]
             dh += dhs[t]
             da, dg = das[t], dgs[t]
-            dn = dh * (1 - z)
-            dn *= 1 - n * n
-            np.multiply(dh * (before - n), z * (1 - z), out=da[:, :H])
-            np.multiply(dn * gn, r * (1 - r), out=da[:, H : 2 * H])
-            da[:, 2 * H :] = dn
-            dg[:, : 2 * H] = da[:, : 2 * H]
-            np.multiply(dn, r, out=dg[:, 2 * H :])
+            dn = da[2 * H :]
+            np.multiply(n, n, out=dn)
+            np.subtract(1, dn, out=dn)
+            dn *= dh * (1 - z)
+            np.multiply(dh * (before - n), z * (1 - z), out=da[:H])
+            np.multiply(dn * gn, r * (1 - r), out=da[H : 2 * H])
+            dg[: 2 * H] = da[: 2 * H]
+            np.multiply(dn, r, out=dg[2 * H :])
             dh *= z
-            dh += dg @ p["u"].T
-            dh *= ~first[cols[:, t]][:, None]
+            dh += p["u"] @ dg
+            dh *= goes_on[t]
         # Every step's share at once: inputs are sorted, so that those that occur several times are summed.
-        fed = inputs[where].astype(np.uint16)
         order = np.argsort(fed, kind="stable")
         fed = fed[order]
         new = np.flatnonzero(np.concatenate(([True], fed[1:] != fed[:-1])))
-        g["wx"][fed[new]] = np.add.reduceat(das.reshape(-1, 3 * H)[order], new, axis=0)
-        g["u"] = np.concatenate([k[0] for k in kept]).T @ dgs.reshape(-1, 3 * H)
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-        scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        g["wx"][fed[new]] = np.add.reduceat(np.take(das.transpose(0, 2, 1).reshape(-1, 3 * H), order, axis=0), new, axis=0)
+        g["u"][:] = np.stack([k[0] for k in kept], axis=1).reshape(H, -1) @ np.ascontiguousarray(dgs.transpose(0, 2, 1)).reshape(-1, 3 * H)
+        norm = float(np.sqrt(grad @ grad))
+        grad *= np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * grad
+        v *= np.float32(0.999)
+        grad *= grad
+        grad *= np.float32(0.001)
+        v += grad
         size, root = np.float32(rate / (1 - 0.9**turn)), np.float32(1 / np.sqrt(1 - 0.999**turn))
-        for k, x in g.items():
-            x *= scale
-            m[k] *= np.float32(0.9)
-            m[k] += np.float32(0.1) * x
-            v[k] *= np.float32(0.999)
-            x *= x
-            v[k] += np.float32(0.001) * x
-            p[k] -= size * m[k] / (np.sqrt(v[k]) * root + np.float32(1e-6))
+        step_size = np.sqrt(v)
+        step_size *= root
+        step_size += np.float32(1e-6)
+        np.divide(m, step_size, out=step_size)
+        step_size *= size
+        whole -= step_size
     return p
 
 
