@@ -115,21 +115,58 @@ def test_word_bpe_equals_the_library(library):
         assert ids[ends[k] - per[k] : ends[k]].tolist() == ids_of(library, t)[:-1], t
 
 
+def zipf_shard(n, seed=2):
+    ids = np.minimum(np.random.default_rng(seed).zipf(1.4, n), 49000).astype(np.uint16)
+    return ids, wavelet.dump([3, None], np.array([n - n // 2, n // 2]), ids)
+
+
 def test_wavelet_matrix():
-    rng = np.random.default_rng(2)
-    ids = np.minimum(rng.zipf(1.4, 5000), 49000).astype(np.uint16)
-    shard = wavelet.Shard(wavelet.dump([3, None], np.array([2000, 3000]), ids))
-    assert shard.doc_ids == [3, None] and (shard.all_tokens() == ids).all()
-    for i in (0, 511, 512, 1234, 4999):
-        assert shard.access(i) == ids[i]
-    for token in (1, 2, 17, 49001):
-        where = np.flatnonzero(ids == token)
-        assert shard.count(token) == len(where)
-        assert shard.count(token, 100, 4000) == ((where >= 100) & (where < 4000)).sum()
-        for k in {0, len(where) // 2, len(where) - 1} if len(where) else ():
-            assert shard.find(token, k) == where[k]
-    with pytest.raises(IndexError):
-        shard.find(49001, 0)
+    for n in (1, 511, 512, 513, 5000):
+        ids, raw = zipf_shard(n)
+        shard = wavelet.Shard(raw)
+        assert shard.doc_ids == [3, None] and (shard.all_tokens() == ids).all()
+        for i in {0, 511, 512, 1234, n - 1} & set(range(n)):
+            assert shard.access(i) == ids[i]
+        for lo, hi in ((0, 0), (n // 3, n // 2), (n - 1, n)):
+            assert (shard.tokens(lo, hi) == ids[lo:hi]).all()
+        for token in (1, 2, 17, 49001):
+            where = np.flatnonzero(ids == token)
+            assert shard.count(token) == len(where)
+            assert shard.count(token, n // 5, n - n // 6) == ((where >= n // 5) & (where < n - n // 6)).sum()
+            for k in {0, len(where) // 2, len(where) - 1} if len(where) else ():
+                assert shard.find(token, k) == where[k]
+        with pytest.raises(IndexError):
+            shard.find(49001, 0)
+        with pytest.raises(IndexError):
+            shard.access(n)
+    empty = wavelet.Shard(wavelet.dump([], np.zeros(0, np.int64), np.zeros(0, np.uint16)))
+    assert empty.doc_ids == [] and len(empty.all_tokens()) == 0 and empty.count(5) == 0
+
+
+def test_wavelet_lookups_read_only_a_part():
+    ids, raw = zipf_shard(900_000)
+    got = []
+
+    def read(at, size):
+        got.append(size)
+        return raw[at : at + size]
+
+    shard = wavelet.Shard(read)
+    rare = int(ids[np.flatnonzero(ids > 2000)[5]])
+    before = sum(got)
+    assert shard.access(450_000) == ids[450_000] and shard.find(rare, 0) == np.flatnonzero(ids == rare)[0]
+    assert shard.count(7, 10, 800_000) == (ids[10:800_000] == 7).sum()
+    assert sum(got) < 0.75 * len(raw) and before < 0.05 * len(raw)
+    assert (shard.tokens(100, 700) == ids[100:700]).all()
+
+
+def test_occurrences_over_all_shards(spark, documents, by_id, library):
+    manifest = wavelet.write_shards(documents, Workspace(spark, "t"), shard_tokens=5000)
+    rows = sorted([*by_id.items(), (0, by_id[0])], key=lambda r: r[0])
+    flat = [(i, t) for i, text in rows for t in ids_of(library, text)]
+    for token in (1, flat[100][1], 48_000):
+        got = sorted((r.position, r.doc_id) for r in wavelet.find_token(manifest, token).collect())
+        assert got == [(k, i) for k, (i, t) in enumerate(flat) if t == token]
 
 
 def test_wavelet_query(spark, documents, empty, by_id, library):

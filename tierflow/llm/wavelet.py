@@ -1,7 +1,14 @@
 """Token ids in wavelet-matrix shards: rank and select over succinct bit-planes, one compressed file per shard.
 
-File: magic, header length, JSON header, then zstd frames: document ids, document lengths and, from the highest bit to the
-lowest, one frame per bit-plane. Ranks over 512-bit blocks are made when a shard is opened.
+File: magic, header length, JSON header, then zstd frames: document ids, a null mask, document lengths and, from the highest
+bit to the lowest, the rank directory of each bit-plane (ones before each block of 512 bits) and the plane itself in pieces
+of ``PIECE`` bytes. The header tells where every frame lies, so a token, a count or an occurrence is answered from the
+directories and the pieces that hold the bits asked for; the rest of the file is neither read nor decompressed.
+
+Reading back a range of tokens follows all its positions down the levels at once, by rank; the query gets its documents so.
+
+Defined cases: null texts are empty (their end id alone); null doc_ids come first; rows that share a doc_id are ordered by
+text; extra columns are never read; an empty table gives no shard and no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +26,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tierflow.llm.base import Workspace, filesystem, parts, row_chunks, rows_of, text_buffers
 from tierflow.llm.word_bpe import encoder, vocabulary, with_end
 
-MAGIC, LEVELS = b"WVMX0001", 16
+MAGIC, LEVELS = b"WVMX0002", 16
+PIECE, BLOCK = 1 << 15, 64  # bytes of a compressed piece of a plane; bytes of a block of the rank directory
 
 
 def build(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -33,61 +41,108 @@ def build(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return planes
 
 
+def directory(plane: np.ndarray) -> np.ndarray:
+    """Ones before each block of a plane, and in all."""
+    ones = np.bitwise_count(np.pad(plane, (0, -len(plane) % BLOCK))).reshape(-1, BLOCK).sum(axis=1, dtype=np.uint32)
+    return np.concatenate((np.zeros(1, np.uint32), np.cumsum(ones, dtype=np.uint32)))
+
+
 def dump(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     planes = build(ids)
     press = zstandard.ZstdCompressor(level=1).compress
     null = np.array([x is None for x in doc_ids], bool)
-    frames = [press(np.array([x or 0 for x in doc_ids], np.int64).tobytes()), press(np.packbits(null).tobytes()), press(lengths.astype(np.int64).tobytes()), *(press(x.tobytes()) for _, x in planes)]
+    frames = [press(np.array([x or 0 for x in doc_ids], np.int64).tobytes()), press(np.packbits(null).tobytes()), press(lengths.astype(np.int64).tobytes())]
+    for _, plane in planes:
+        frames.append(press(directory(plane).tobytes()))
+        raw = plane.tobytes()
+        frames += [press(raw[k : k + PIECE]) for k in range(0, len(raw), PIECE)]
     head = json.dumps({"tokens": len(ids), "docs": len(doc_ids), "zeros": [z for z, _ in planes], "frames": [len(x) for x in frames]}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(head)), head, *frames])
 
 
 class Shard:
-    """An opened shard."""
-
-    def __init__(self, raw: bytes):
-        if raw[:8] != MAGIC:
+    """An opened shard. ``read`` (offset, size) -> bytes serves its file; bytes are a file in memory."""
+
+    def __init__(self, read):
+        if isinstance(read, bytes):
+            raw = read
+            read = lambda at, size: raw[at : at + size]
+        start = read(0, 12)
+        if start[:8] != MAGIC:
             raise ValueError("not a wavelet shard")
-        (size,) = struct.unpack("<I", raw[8:12])
-        head = json.loads(raw[12 : 12 + size])
-        self.n, self.zeros, at, frames = head["tokens"], head["zeros"], 12 + size, []
-        for k in head["frames"]:
-            frames.append(zstandard.ZstdDecompressor().decompress(raw[at : at + k]))
-            at += k
-        null = np.unpackbits(np.frombuffer(frames[1], np.uint8), count=head["docs"]).astype(bool)
-        self.doc_ids = [None if x else y for x, y in zip(null.tolist(), np.frombuffer(frames[0], np.int64).tolist(), strict=True)]
-        self.lengths = np.frombuffer(frames[2], np.int64)
-        self.planes = [np.frombuffer(x, np.uint8) for x in frames[3:]]
-        self._ranks: list[np.ndarray] | None = None
-
-    def _bits(self, level: int) -> np.ndarray:
-        return np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+        (size,) = struct.unpack("<I", start[8:12])
+        head = json.loads(read(12, size))
+        self.read, self.n, self.zeros = read, head["tokens"], head["zeros"]
+        self.sizes = head["frames"]
+        self.places = np.concatenate(([0], np.cumsum(self.sizes))) + 12 + size
+        self.pieces = -(-(-(-self.n // 8)) // PIECE)  # of a plane
+        null = np.unpackbits(np.frombuffer(self._frame(1), np.uint8), count=head["docs"]).astype(bool)
+        self.doc_ids = [None if x else y for x, y in zip(null.tolist(), np.frombuffer(self._frame(0), np.int64).tolist(), strict=True)]
+        self.lengths = np.frombuffer(self._frame(2), np.int64)
+        self._ranks: dict[int, np.ndarray] = {}
+        self._held: dict[tuple[int, int], bytes] = {}
+        self._whole: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _frame(self, k: int) -> bytes:
+        return zstandard.ZstdDecompressor().decompress(self.read(int(self.places[k]), self.sizes[k]))
+
+    def _first(self, level: int) -> int:
+        return 3 + level * (1 + self.pieces)
+
+    def _directory(self, level: int) -> np.ndarray:
+        if level not in self._ranks:
+            self._ranks[level] = np.frombuffer(self._frame(self._first(level)), np.uint32)
+        return self._ranks[level]
+
+    def _piece(self, level: int, k: int) -> bytes:
+        if (level, k) not in self._held:
+            self._held[level, k] = self._frame(self._first(level) + 1 + k)
+        return self._held[level, k]
+
+    def _plane(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """A plane as words of 64 bits and the ones before each word: what many positions at once are looked up in."""
+        if level not in self._whole:
+            raw = b"".join(self._piece(level, k) for k in range(self.pieces))
+            words = np.frombuffer(raw.ljust((len(raw) // 8 + 1) * 8, b"\0"), np.uint64) if raw else np.zeros(1, np.uint64)
+            before = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bitwise_count(words), dtype=np.int64)))
+            self._whole[level] = words, before
+        return self._whole[level]
+
+    def tokens(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """The tokens at positions [lo, hi), followed down the levels by rank all together."""
+        at = np.arange(lo, self.n if hi is None else hi, dtype=np.int64)
+        out = np.zeros(len(at), np.uint16)
+        for level in range(LEVELS):
+            words, before = self._plane(level)
+            place, rest = at >> 6, (at & 63).astype(np.uint64)
+            word = words[place]
+            bit = (word >> rest) & np.uint64(1)
+            ones = before[place] + np.bitwise_count(word & ((np.uint64(1) << rest) - np.uint64(1)))
+            bit = bit.astype(bool)
+            at = np.where(bit, self.zeros[level] + ones, at - ones)
+            out |= bit.astype(np.uint16) << np.uint16(LEVELS - 1 - level)
+        return out
 
     def all_tokens(self) -> np.ndarray:
-        """Every token in order, by undoing the levels from the last to the first."""
-        cur = np.zeros(self.n, np.uint16)
-        for level in range(LEVELS - 1, -1, -1):
-            bit, up = self._bits(level), np.empty(self.n, np.uint16)
-            up[~bit] = cur[: self.zeros[level]]
-            up[bit] = cur[self.zeros[level] :] | np.uint16(1 << (LEVELS - 1 - level))
-            cur = up
-        return cur
+        return self.tokens()
 
     def _rank1(self, level: int, i: int) -> int:
-        """Ones before position i of a level: a block count and at most 64 bytes."""
-        if self._ranks is None:
-            self._ranks = []
-            for plane in self.planes:
-                ones = np.bitwise_count(np.pad(plane, (0, -len(plane) % 64))).reshape(-1, 64).sum(axis=1, dtype=np.int64)
-                self._ranks.append(np.concatenate(([0], np.cumsum(ones))))
-        block, rest = divmod(i, 512)
-        tail = self.planes[level][block * 64 : block * 64 + (rest + 7) // 8]
-        return int(self._ranks[level][block]) + int(np.unpackbits(tail, bitorder="little")[:rest].sum())
+        """Ones before position i of a level: an entry of the directory and at most ``BLOCK`` bytes of one piece."""
+        block, rest = divmod(i, 8 * BLOCK)
+        ones = int(self._directory(level)[block])
+        if not rest:
+            return ones
+        k, at = divmod(block * BLOCK, PIECE)
+        tail = np.frombuffer(self._piece(level, k)[at : at + (rest + 7) // 8], np.uint8)
+        return ones + int(np.unpackbits(tail, bitorder="little")[:rest].sum())
 
     def access(self, i: int) -> int:
+        if not 0 <= i < self.n:
+            raise IndexError(i)
         value = 0
         for level in range(LEVELS):
-            bit = self.planes[level][i >> 3] >> (i & 7) & 1
+            k, at = divmod(i >> 3, PIECE)
+            bit = self._piece(level, k)[at] >> (i & 7) & 1
             ones = self._rank1(level, i)
             i = self.zeros[level] + ones if bit else i - ones
             value = value << 1 | int(bit)
@@ -105,13 +160,13 @@ class Shard:
         return b - a
 
     def _select(self, level: int, bit: int, k: int) -> int:
-        """Position of the k-th (from 0) given bit of a level."""
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            ones = self._rank1(level, mid + 1)
-            lo, hi = (mid + 1, hi) if (ones if bit else mid + 1 - ones) <= k else (lo, mid)
-        return lo
+        """Position of the k-th (from 0) given bit of a level: its block from the directory, then inside the block."""
+        ones = self._directory(level).astype(np.int64)
+        ranks = ones if bit else np.minimum(np.arange(len(ones)) * 8 * BLOCK, self.n) - ones
+        block = int(np.searchsorted(ranks, k, "right")) - 1
+        piece, at = divmod(block * BLOCK, PIECE)
+        bits = np.unpackbits(np.frombuffer(self._piece(level, piece)[at : at + BLOCK], np.uint8), bitorder="little")
+        return block * 8 * BLOCK + int(np.flatnonzero(bits == bit)[k - int(ranks[block])])
 
     def find(self, token: int, k: int) -> int:
         """Position of the k-th (from 0) occurrence of a token."""
@@ -154,24 +209,52 @@ def _writer(uri: str, vocab: str, shard_tokens: int):
     return write
 
 
-def _reader(batches):
+def open_shard(file) -> Shard:
+    """A shard over an open file that can be read at any place."""
+
+    def read(at: int, size: int) -> bytes:
+        file.seek(at)
+        return file.read(size)
+
+    return Shard(read)
+
+
+def _reader(batches, run: int = 1 << 18):
+    """Documents are read back in runs of about ``run`` tokens."""
     for batch in batches:
         for uri, base in zip(batch.column("uri").to_pylist(), batch.column("base").to_pylist(), strict=True):
             fs, path = filesystem(uri)
-            with fs.open_input_stream(path) as f:
-                shard = Shard(f.read())
-            ids = shard.all_tokens().astype("<u4")
-            ends = np.cumsum(shard.lengths)
-            starts = ends - shard.lengths
-            crc = [zlib.crc32(ids[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+            with fs.open_input_file(path) as f:
+                shard = open_shard(f)
+                ends = np.cumsum(shard.lengths)
+                starts, crc = ends - shard.lengths, []
+                for i, j in row_chunks(np.concatenate(([0], ends)), run):
+                    ids, lo = shard.tokens(int(starts[i]), int(ends[j - 1])).astype("<u4"), int(starts[i])
+                    crc += [zlib.crc32(ids[s - lo : e - lo]) for s, e in zip(starts[i:j].tolist(), ends[i:j].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, pa.int64()), pa.array(base + starts), pa.array(shard.lengths), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
+def find_token(manifest: DataFrame, token: int) -> DataFrame:
+    """(doc_id, position) of every occurrence of a token id, position counted over all documents: select in each shard."""
+
+    def run(batches):
+        for batch in batches:
+            for uri, base in zip(batch.column("uri").to_pylist(), batch.column("base").to_pylist(), strict=True):
+                fs, path = filesystem(uri)
+                with fs.open_input_file(path) as f:
+                    shard = open_shard(f)
+                    at = np.array([shard.find(token, k) for k in range(shard.count(token))], np.int64)
+                    ends = np.cumsum(shard.lengths)
+                    docs = [shard.doc_ids[k] for k in np.searchsorted(ends, at, "right").tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(base + at)], ["doc_id", "position"])
+
+    return manifest.select("uri", "base").mapInArrow(run, "doc_id long, position long")
+
+
 def write_shards(docs: DataFrame, ws: Workspace, vocab: str | None = None, shard_tokens: int = 2_000_000) -> DataFrame:
     """Writes the ids of ``docs`` (doc_id, text) in ascending doc_id order; the manifest (pid, seq, uri, docs, tokens, base).
 
-    Null texts are empty; null doc_ids come first; rows that share a doc_id are ordered by text. An empty table gives an
-    empty manifest.
+    An empty table gives an empty manifest.
     """
     docs = rows_of(docs)
     docs = docs.repartitionByRange(parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
