@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -82,31 +83,35 @@ def test_quality_verdict_against_em_in_plain_python(spark):
         assert r._q_kept == (not r._q_base_failed and p >= 0.5)
 
 
+def plain_votes(text):
+    """The vote of each rule on a text."""
+    text = text or ""
+    w, lines, n = split(text), [x for x in text.split("\n") if split(x)], statistics(text)
+    chars, symbols, capitals = sum(map(len, w)), n[2], sum(unicodedata.category(c) == "Lu" for c in text)
+    marked = len(re.findall(r"[#*$%&|<>][\x20\x09-\x0D]+", text))
+    rules = {
+        "symbols": (symbols, len(w), lambda x: x > 0.1, lambda x: x < 0.02),
+        "density": (symbols, chars, lambda x: x > 0.02, lambda x: x < 0.005),
+        "marked": (marked, len(w), lambda x: x > 0.1, lambda x: x < 0.02),
+        "repeats": (n[4], len(w), lambda x: x > 0.4, lambda x: x < 0.3),
+        "lines": (n[3], len(lines), lambda x: x > 0.5, lambda x: x < 0.4),
+        "capitals": (capitals, chars, lambda x: x > 0.4, lambda x: x < 0.25),
+        "shouting": (text.count("!"), len(w), lambda x: x > 0.2, lambda x: x < 0.05),
+        "vocabulary": (len(set(w)), len(w), lambda x: x < 0.1, lambda x: x > 0.15),
+        "length": (chars, len(w), lambda x: not 2.5 <= x <= 12, lambda x: 3 <= x <= 10),
+    }
+    return {k: 0 if not whole else -1 if against(part / whole) else 1 if good(part / whole) else 0 for k, (part, whole, against, good) in rules.items()}
+
+
 def test_quality_votes_in_plain_python(documents, by_id):
     for r in quality.judge(documents.select("doc_id", "text")).collect():
-        text = by_id[r.doc_id] or ""
-        w, lines = split(text), [x for x in text.split("\n") if split(x)]
-        chars, symbols = sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text))
-        marked = len(re.findall(r"[#*$%&|<>][\x20\x09-\x0D]+", text))
-        ratio = lambda a, b: None if not b else a / b
-        n = statistics(text)
-        import unicodedata
-
-        capitals = sum(unicodedata.category(c) == "Lu" for c in text)
-        want = {
-            "symbols": (ratio(symbols, len(w)), lambda x: x > 0.1, lambda x: x < 0.02),
-            "density": (ratio(symbols, chars), lambda x: x > 0.02, lambda x: x < 0.005),
-            "marked": (ratio(marked, len(w)), lambda x: x > 0.1, lambda x: x < 0.02),
-            "repeats": (ratio(n[4], len(w)), lambda x: x > 0.4, lambda x: x < 0.3),
-            "lines": (ratio(n[3], len(lines)), lambda x: x > 0.5, lambda x: x < 0.4),
-            "capitals": (ratio(capitals, chars), lambda x: x > 0.4, lambda x: x < 0.25),
-            "shouting": (ratio(text.count("!"), len(w)), lambda x: x > 0.2, lambda x: x < 0.05),
-            "vocabulary": (ratio(len(set(w)), len(w)), lambda x: x < 0.1, lambda x: x > 0.15),
-            "length": (ratio(chars, len(w)), lambda x: not 2.5 <= x <= 12, lambda x: 3 <= x <= 10),
-        }
-        assert set(want) == set(quality.RULES)
-        for k, (x, against, good) in want.items():
-            assert r[f"_q_vote_{k}"] == (0 if x is None else -1 if against(x) else 1 if good(x) else 0), k
+        assert {k: r[f"_q_vote_{k}"] for k in quality.RULES} == plain_votes(by_id[r.doc_id])
+
+
+def test_quality_drops_columns_of_its_own_names(spark):
+    df = spark.createDataFrame([(1, "a b c", 7, "x")], "doc_id long, text string, _q_n_words int, other string")
+    got = quality.judge(df)
+    assert got.first()._q_n_words == 3 and "other" in got.columns and len(set(got.columns)) == len(got.columns)
 
 
 def test_long_texts_repeat_windows_as_short_ones_do(spark):

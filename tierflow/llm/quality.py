@@ -150,6 +150,49 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """(doc_id, the base statistics, base_failed, posterior, kept) of every row."""
-    judged = judge(docs.select("doc_id", "text").select(F.col("doc_id"), F.col("text")))
-    return judged.select("doc_id", *(F.col(f"_q_{c}").alias(c) for c in STATS), F.col("_q_base_failed").alias("base_failed"), F.col("_q_posterior").alias("posterior"), F.col("_q_kept").alias("kept"))
+    """(doc_id, the base statistics, base_failed, kept) of every row."""
+    judged = judge(docs.select("doc_id", "text"))
+    return judged.select("doc_id", *(F.col(f"_q_{c}").alias(c) for c in STATS), F.col("_q_base_failed").alias("base_failed"), F.col("_q_kept").alias("kept"))
+
+
+def _oracle() -> str:
+    """The query in DuckDB's SQL: statistics by unnesting, EM as a recursive table over the list of vote patterns."""
+    votes = []
+    for k, (ratio, against, good) in enumerate(RULES.values()):
+        top, bottom = ratio.split(" / ")
+        value = f"({top}::DOUBLE / nullif({bottom}, 0))"
+        votes.append(f"{3 * k + 2} + CASE WHEN {value} {against} THEN -1 WHEN {value} {good} THEN 1 ELSE 0 END")
+    start, rules = Model(), len(RULES)
+    doubles = lambda xs: "[" + ", ".join(f"{x}::DOUBLE" for x in xs) + "]"
+    odds = "ln(prior / (1 - prior)) + list_sum(list_transform({0}, lambda c: ln(g[c] / b[c])))"
+    share = lambda p: f"list_transform(range(1, {3 * rules + 1}), lambda c: coalesce(list_sum(list_transform(pats, lambda x: CASE WHEN list_contains(x.code, c) THEN x.n * {p} ELSE 0.0 END)), 0.0))"
+    p = f"(1 / (1 + exp(-({odds.format('x.code')}))))"
+    norm = lambda sums, total: f"list_transform({sums}, lambda v: (v + 1.0) / ({total} + 3.0))"
+    return rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+i AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM w WHERE len(w) > 2),
+k AS (SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n FROM i),
+c AS (SELECT r, least(3, coalesce(lead(p) OVER (PARTITION BY r ORDER BY p) - p, 3)) AS m FROM k WHERE n > 1),
+q AS (SELECT r, sum(m)::BIGINT AS n_repeat_words FROM c GROUP BY r),
+s AS (SELECT w.r, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+  len(regexp_extract_all(t, '[#*$%&|<>][\x20\x09-\x0D]+')) AS n_marked, len(l) AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_capitals,
+  len(regexp_extract_all(t, '!')) AS n_shouts, len(list_distinct(w)) AS n_distinct, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN q ON q.r = w.r),
+v AS (SELECT *, [{", ".join(votes)}] AS code FROM s),
+pt AS (SELECT list({{'code': code, 'n': n}} ORDER BY code) AS pats FROM (SELECT code, count(*) AS n FROM v GROUP BY code)),
+em(turn, prior, g, b, done) AS (
+  SELECT 0, {start.prior}::DOUBLE, {doubles(start.by[1])}, {doubles(start.by[0])}, false
+  UNION ALL
+  SELECT turn + 1, np, ng, nb, greatest(abs(np - prior), list_max(list_transform(range(1, {3 * rules + 1}), lambda c: greatest(abs(ng[c] - g[c]), abs(nb[c] - b[c]))))) < 1e-6 FROM (
+    SELECT turn, prior, g, b, np, list_transform(range(1, {3 * rules + 1}), lambda c: CASE WHEN c % 3 = 0 THEN greatest(ng[c], nb[c]) ELSE ng[c] END) AS ng,
+      list_transform(range(1, {3 * rules + 1}), lambda c: CASE WHEN c % 3 = 1 THEN greatest(ng[c], nb[c]) ELSE nb[c] END) AS nb FROM (
+      SELECT *, least(greatest((good + 1.0) / (good + bad + 2.0), 0.01), 0.99) AS np, {norm('sg', 'good')} AS ng, {norm('sb', 'bad')} AS nb FROM (
+        SELECT *, sg[1] + sg[2] + sg[3] AS good, sb[1] + sb[2] + sb[3] AS bad FROM (
+          SELECT em.*, {share(p)} AS sg, {share(f'(1 - {p})')} AS sb FROM em, pt WHERE turn < 30 AND NOT done))))),
+m AS (SELECT * FROM em ORDER BY turn DESC LIMIT 1),
+o AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {odds.format('code')} AS odds FROM v, m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND odds >= 0 AS kept FROM o
+"""
+
+
+ORACLE = _oracle()

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm.base import table
-from tierflow.llm import byte_bpe, chat, lm
+from tierflow.llm import byte_bpe, chat, lm, quality as weak
 from tierflow.llm.media import media_features
 from tierflow.llm.near_dup import near_dup
 from tierflow.llm.packing import pack_documents
-from tierflow.llm.quality import quality
 from tierflow.llm.toxicity import toxicity
 from tierflow.llm.warc import roundtrip
 from tierflow.llm.wavelet import store_tokens
@@ -36,7 +35,7 @@ def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents"))
+    return weak.quality(table(spark, sf_dir, "documents"))
 
 
 def op7_typed_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,5 +75,6 @@ r(id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.root FROM r JOI
 m AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, w.doc_id = m.component_id AS kept FROM w JOIN m ON m.id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """,
+    "op6_weak_supervision": weak.ORACLE,
     "op7_typed_chat": chat.ORACLE,
 }
