@@ -374,6 +374,21 @@ def test_the_grammar_decides(spark, subset):
     assert max(score[k] for k in (1, 2, 6, 7, 8)) < 0.5 < min(score[k] for k in (3, 4, 5))
 
 
+def test_copies_are_no_evidence(spark):
+    """Hundreds of copies of one toxic text do not make its ordinary words toxic."""
+    rng = np.random.default_rng(12)
+    common = [f"common{k}" for k in range(200)]
+    plain = lambda n: " ".join(rng.choice(common, n))
+    copied = " ".join(f"ordinary{k} walk" for k in range(60))
+    rows = [(k, plain(60)) for k in range(150)] + [(1000 + k, f"{plain(20)} grobbling grobbling {plain(20)} grobbling") for k in range(60)]
+    rows += [(2000 + k, f"{copied} grobbling grobbling grobbling extra{k}") for k in range(300)]
+    labels = [(i, int(i >= 1000)) for i, _ in rows]
+    new = [(9001, copied), (9002, plain(60)), (9003, f"{plain(30)} grobbling and grobbling grobbling")]
+    docs = spark.createDataFrame(rows + new, "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert [got[k] for k, _ in new] == [0, 0, 1]
+
+
 def test_conflicting_labels_count_as_toxic(spark):
     rows = [(k, f"plain words number {k} again") for k in range(40)] + [(100 + k, f"you zorkface and zorkface number {k}") for k in range(40)]
     labels = [(k, 0) for k, _ in rows if k < 100] + [(k, y) for k, _ in rows if k >= 100 for y in (0, 1, None)]

@@ -11,7 +11,7 @@ nobody and threatens nobody is left out, so one isolated word never decides.
 
 Calibration: a logistic layer over the strength and its share of the text. Lexicon weights are learned on all folds but
 one and the logistic layer and the factors are fitted on the events found in the fold left out, so that they see weights
-as they are on unseen text. Factors keep the order of the grammar: threat and targeted above plain, plain above negated
+as they are on unseen text. Near copies count once and lie in one fold. Factors keep the order of the grammar: threat and targeted above plain, plain above negated
 and reported.
 
 Learning reads at most ``sample`` toxic and twice as many clean labelled rows of the training folds, those with the smallest
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierflow.llm.base import Workspace, crc_mod, ragged, row_chunks, rows_of, text_buffers
-from tierflow.llm.textscan import U, lowered, mix, span_hash
+from tierflow.llm.textscan import U, lowered, mix, shingles, span_hash, word_spans
 from tierflow.llm.word_bpe import units
 
 # The general word lists, in several languages.
@@ -281,6 +281,20 @@ def _count_features(batches):
             yield pa.RecordBatch.from_arrays([pa.array(u[at // FOLDS].view(np.int64)), pa.array((at % FOLDS).astype(np.int32)), pa.array(t[at].astype(np.int64)), pa.array(n[at].astype(np.int64))], ["feature", "fold", "t", "n"])
 
 
+def _families(batches):
+    """Adds the family of each text, the smallest hash of its five-word shingles: near copies mostly share it."""
+    for batch in batches:
+        b, offs = text_buffers(batch.column("text"))
+        family = np.zeros(len(batch), np.uint64)
+        for i, j in row_chunks(offs):
+            own, at = b[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
+            starts, ends, counts = word_spans(own, at)
+            h, row = shingles(span_hash(own, starts, ends), counts)
+            some = np.flatnonzero(counts)
+            family[i + some] = np.minimum.reduceat(h, np.searchsorted(row, some)) if len(some) else 0
+        yield pa.RecordBatch.from_arrays([batch.column("text"), batch.column("toxic"), pa.array(family.view(np.int64))], ["text", "toxic", "family"])
+
+
 def _sample_findings(lexica: list[dict[int, float]]):
     """The findings of the sample's rows, each by the lexicon that its fold did not teach."""
 
@@ -368,7 +382,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int =
     pick = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k) for y, k in ((1, sample), (0, 2 * sample))]
     chosen = ws.keep(pick[0].unionByName(pick[1]), "chosen")  # at most 3 * sample narrow rows: bounded, so broadcast
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    texts = ws.keep(texts.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold")), "texts")
+    # One text of each family, and families whole in a fold: copies would make evidence of every word they hold.
+    texts = texts.select("text", "toxic").mapInArrow(_families, "text string, toxic int, family long")
+    texts = texts.groupBy("family", "toxic").agg(F.max("text").alias("text"))
+    texts = ws.keep(texts.select("text", "toxic", F.pmod(F.xxhash64("family"), F.lit(FOLDS)).cast("int").alias("fold")), "texts")
     sizes = {(r["toxic"], r["fold"]): r["count"] for r in texts.groupBy("toxic", "fold").count().collect()}
     per = {y: np.array([sizes.get((y, k), 0) for k in range(FOLDS)]) for y in (0, 1)}
     pos, neg = int(per[1].sum()), int(per[0].sum())
@@ -384,7 +401,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, entries: int =
     feature, t, n = (top.column(k).to_numpy() for k in ("feature", "t", "n"))
     lexica = []
     for k in range(FOLDS):
-        w = _weights(t - top.column(f"t{k}").to_numpy(), n - top.column(f"n{k}").to_numpy(), pos - int(per[1][k]), neg - int(per[0][k]), evidence)
+        w = _weights(t - top.column(f"t{k}").to_numpy(), n - top.column(f"n{k}").to_numpy(), pos - int(per[1][k]), neg - int(per[0][k]), evidence * (1 - 1 / FOLDS))
         lexica.append(dict(zip(feature[w > 0].tolist(), w[w > 0].tolist(), strict=True)))
     found = texts.mapInArrow(_sample_findings(lexica), "toxic int, found array<double>").collect()
     x, y = np.array([r["found"] for r in found]), np.array([r["toxic"] for r in found], float)
