@@ -69,3 +69,16 @@ def test_plans_move_texts_once(spark, odd):
     for make in (byte_bpe.encode_documents, packing.pack_documents, lambda d: d.mapInArrow(media._to_media, media.MEMBERS)):
         plan = make(odd.select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Repartition") <= 1  # the fixture's own
+
+
+def test_tables_without_training_rows(spark):
+    """Only held-out documents: all counts are 0; labels of one class: the general list alone scores."""
+    import zlib
+
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    got = lm.score(spark.createDataFrame([(i, f"a few words {i}") for i in held], "doc_id long, text string")).collect()
+    assert len(got) == len(held) and {(r.held_out, r.n_known, r.train_tokens, r.base_score) for r in got} == {(True, 0, 0, 0.0)}
+    assert all(r.score < 0 for r in got)
+    docs = spark.createDataFrame([(1, "you idiot"), (2, None), (3, "fine")], "doc_id long, text string")
+    one = spark.createDataFrame([(1, 1), (3, 1)], "doc_id long, toxic int")
+    assert {r.doc_id: r.predicted for r in toxicity.toxicity(docs, one).collect()} == {1: 1, 2: 0, 3: 0}
