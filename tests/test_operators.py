@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow import functions as fn, schemas
+from tierflow import functions as fn, registry, schemas
 from tierflow.config import Settings
 from tierflow.model import Model, create_empty, derive, read_model, write_model
 from tierflow.operators import exports, reports, sampling, stats, upsert, workqueue as wq
@@ -165,6 +165,14 @@ def test_groups_of_documents_in_parts(spark, sf):
     assert len({p.id for r in got for p in r.pdfs}) == m.pdfs.count()
 
 
+def test_query_of_groups_keeps_a_large_group_whole(spark, sf):
+    m = derive(spark, sf)
+    project = m.projects.orderBy("id").first().id
+    pdfs = spark.range(10_500).select(F.concat(F.lit("pdf-"), "id").alias("id"), F.lit(project).alias("project_id"), F.concat(F.lit("pdfs/"), "id").alias("gcs_path"))
+    (r,) = registry.ON_MODEL["D24_pdfs_by_group"](Model(m.runs, m.districts, m.bodies, m.projects, pdfs)).collect()
+    assert (r.part, r.n) == (0, 10_500) and r.pdfs == ",".join(sorted(f"pdf-{k} pdfs/{k}" for k in range(10_500)))
+
+
 def test_run_statistics(spark, empty):
     rows = [("district", "sampled", None, NOW)] * 2 + [("pdf", "error", f"e{k}", NOW + dt.timedelta(seconds=k)) for k in range(12)] + [("pdf", "downloaded", None, None)]
     r = reports.run_statistics(spark.createDataFrame(rows, "step string, result string, message string, ts timestamp_ntz")).first()

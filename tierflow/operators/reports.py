@@ -269,18 +269,21 @@ def latest_runs(model: Model, n: int = 1) -> DataFrame:
     return model.runs.orderBy(F.desc("created_at"), "id").limit(n)
 
 
-def pdfs_by_group(model: Model, chunk: int = 10_000) -> DataFrame:
+def pdfs_by_group(model: Model, chunk: int | None = 10_000) -> DataFrame:
     """Documents of each (district_name, lb_type_label) as lists of (id, path), in parts of about ``chunk``.
 
     A part is a share of its group by the hash of the id, so no list grows with its group: a group has as many parts as its
-    count needs, and ``part`` numbers them from 0.
+    count needs, and ``part`` numbers them from 0. Without ``chunk`` each group is one list, part 0, however long it gets.
     """
     above = chain(model, "p_id", "d_district_name", "d_lb_type_label")
     df = model.pdfs.join(above, F.col("project_id") == F.col("p_id"))
     df = df.select(F.col("d_district_name").alias("district_name"), F.col("d_lb_type_label").alias("lb_type_label"), "id", F.col("gcs_path").alias("path"))
     keys = ["district_name", "lb_type_label"]
-    parts = df.groupBy(*keys).agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
-    df = df.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    if chunk is None:
+        df = df.withColumn("part", F.lit(0))
+    else:
+        parts = df.groupBy(*keys).agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+        df = df.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     return df.groupBy(*keys, "part").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("id", "path"))).alias("pdfs"))
 
 
