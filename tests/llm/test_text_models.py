@@ -293,6 +293,64 @@ def test_lm_gradient():
         assert (values[0] - values[1]) * (after[k] - p[k])[at] > 0
 
 
+def test_lm_exponentials():
+    """Small logits need no shift, large ones and rows that vanish under the others' shift do."""
+    logit = np.random.default_rng(5).standard_normal((9, 4)).astype(np.float32)
+    for add in (0.0, -50.0, 80.0, np.where(np.arange(9) < 4, 0, 300)[:, None], np.where(np.arange(9) < 4, 0, -300)[:, None]):
+        x = logit + np.float32(add)
+        e, total, shift = lm.exps(x)
+        want = np.exp(x - x.max(axis=1, keepdims=True).astype(np.float64))
+        assert np.allclose(e / total[:, None], want / want.sum(axis=1, keepdims=True), rtol=1e-4)
+        assert np.allclose(np.log(total) + shift, np.log(want.sum(axis=1)) + x.max(axis=1), rtol=1e-5)
+    assert not lm.exps(np.abs(logit))[2].any()
+
+
+def test_lm_training_against_plain_steps():
+    """Training recomputed in plain Python, stream by stream and token by token, with the sums of the same windows."""
+    vocab, rng = vocabulary(600), np.random.default_rng(3)
+    n, streams, span, rate, H = 149, 3, 8, 0.01, lm.H
+    rank = np.where(rng.random(n) < 0.2, -1, np.minimum(rng.zipf(1.2, n), 560) - 1)
+    cls = np.where(rank < 0, lm.GROUPS + lm.BINS + rng.integers(0, 8, n), np.where(rank < lm.LEARNED, rank // lm.GROUP, lm.GROUPS + 3))
+    ids = np.where((rank >= 0) & (rank < lm.LEARNED), rank, lm.LEARNED + cls).astype(np.int16)
+    lens = np.array([1, 20, 49, 2, 70, 7])
+    got = lm.train_replica(lm.initial(vocab), rank, cls, ids, lens, streams=streams, span=span, rate=rate)
+    p, starts, width = {k: v.astype(float) for k, v in lm.initial(vocab).items()}, set((np.cumsum(lens) - lens).tolist()), -(-n // streams)
+    m, v, state = {k: 0 * x for k, x in p.items()}, {k: 0 * x for k, x in p.items()}, [np.zeros(H)] * streams
+    for turn, lo in enumerate(range(0, width, span), 1):
+        g, cells = {k: 0 * x for k, x in p.items()}, [[s * width + k for k in range(lo, min(lo + span, width)) if s * width + k < n] for s in range(streams)]
+        weight = 1 / sum(map(len, cells))
+        for s, places in enumerate(cells):
+            steps = []
+            for at in places:
+                fed, before = (lm.START, np.zeros(H)) if at in starts else (ids[at - 1], state[s])
+                a, r = p["wx"][fed], before @ p["u"]
+                z, q = (1 / (1 + np.exp(-(a[k : k + H] + r[k : k + H]))) for k in (0, H))
+                c = np.tanh(a[2 * H :] + q * r[2 * H :])
+                state[s] = (1 - z) * c + z * before
+                steps.append((at, fed, before, z, q, c, r[2 * H :], state[s]))
+            dh = np.zeros(H)
+            for at, fed, before, z, q, c, r, h in reversed(steps):
+                for out, w, b, k in [(cls[at], "wc", "bc", ...)] + [(rank[at] % lm.GROUP, "wv", "bv", cls[at])] * int(cls[at] < lm.GROUPS):
+                    e = np.exp(h @ p[w][k] + p[b][k])
+                    e *= weight / e.sum()
+                    e[out] -= weight
+                    g[w][k] += np.outer(h, e)
+                    g[b][k] += e
+                    dh = dh + p[w][k] @ e
+                dc = dh * (1 - z) * (1 - c * c)
+                dz, dq = dh * (before - c) * z * (1 - z), dc * r * q * (1 - q)
+                g["wx"][fed] += np.concatenate((dz, dq, dc))
+                back = np.concatenate((dz, dq, dc * q))
+                g["u"] += np.outer(before, back)
+                dh = (dh * z + p["u"] @ back) * (at not in starts)
+        scale = min(1, 1 / np.sqrt(sum((x * x).sum() for x in g.values())))
+        for k in p:
+            m[k], v[k] = 0.9 * m[k] + 0.1 * scale * g[k], 0.999 * v[k] + 0.001 * (scale * g[k]) ** 2
+            p[k] = p[k] - rate / (1 - 0.9**turn) * m[k] / (np.sqrt(v[k] / (1 - 0.999**turn)) + 1e-6)
+    for k in p:
+        assert np.allclose(got[k], p[k], atol=1e-4), k
+
+
 def test_grammar_readings():
     def read(*symbols):
         sums = dict.fromkeys(toxicity.READINGS, 0.0)

@@ -172,29 +172,15 @@ def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
     return {k: x.astype(np.float32) for k, x in views(v).items()}
 
 
-def step(p, x: np.ndarray, h: np.ndarray):
-    """One step of the gated unit: (new state, update gate, reset gate, candidate, its recurrent part)."""
-    a, g = p["wx"][x], h @ p["u"]
-    zr = a[:, : 2 * H] + g[:, : 2 * H]
-    np.negative(zr, out=zr)
-    np.exp(zr, out=zr)
-    zr += 1
-    np.reciprocal(zr, out=zr)
-    z, r, gn = zr[:, :H], zr[:, H:], g[:, 2 * H :]
-    n = r * gn
-    n += a[:, 2 * H :]
-    np.tanh(n, out=n)
-    new = h - n
-    new *= z
-    new += n
-    return new, z, r, n, gn
-
-
 def exps(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(exponentials, their sums by row, the shift that was taken off). One shift serves all rows unless a row's sum vanishes."""
+    """(exponentials, their sums by row, the shift that was taken off). One shift serves all rows unless a row's sum vanishes;
+    none is needed where the largest logit is small."""
     shift = logit.max() if logit.size else logit.dtype.type(0)
-    e = np.subtract(logit, shift)
-    np.exp(e, out=e)
+    if 0 <= shift <= 60:
+        shift, e = logit.dtype.type(0), np.exp(logit)
+    else:
+        e = np.subtract(logit, shift)
+        np.exp(e, out=e)
     total = e @ np.ones(e.shape[1], e.dtype)
     if total.all():
         return e, total, np.broadcast_to(shift, len(logit))
@@ -224,12 +210,12 @@ def log_probs(p, hs: np.ndarray, cls: np.ndarray, rank: np.ndarray) -> np.ndarra
     logit = hs @ p["wc"]
     logit += p["bc"]
     _, total, shift = exps(logit)
-    out = logit[np.arange(len(hs)), cls] - shift - np.log(total)
+    out = logit.take(np.arange(len(hs)) * C + cls) - shift - np.log(total)
     at, groups = by_group(cls)
     if len(at):
-        inner = inner_logits(p, hs[at], groups)
+        inner = inner_logits(p, hs.take(at, axis=0), groups)
         _, total, shift = exps(inner)
-        out[at] += inner[np.arange(len(at)), rank[at] % GROUP] - shift - np.log(total)
+        out[at] += inner.take(np.arange(len(at)) * GROUP + rank.take(at) % GROUP) - shift - np.log(total)
     return out
 
 
@@ -240,28 +226,28 @@ def score_rows(p, rank, cls, ids, lens: np.ndarray, window: int = 8192) -> np.nd
     length = lens[order]
     inputs = np.concatenate(([START], ids[:-1])).astype(np.int32)
     inputs[starts] = START
-    out, h = np.zeros(len(ids), np.float64), np.zeros((len(lens), H), np.float32)
+    out, h = np.zeros(len(ids), np.float64), np.zeros((H, len(lens)), p["u"].dtype)
+    ut = np.ascontiguousarray(p["u"].T)
     active = len(lens) - np.searchsorted(length[::-1], np.arange(int(length[0]) if len(length) else 0), "right")
     hs, at, held = [], [], 0
     for t, n in enumerate(active.tolist()):
         place = starts[:n] + t
-        h = step_state(p, inputs[place], h[:n])
-        hs.append(h)
+        before = np.ascontiguousarray(h[:, :n])
+        h = gates(np.ascontiguousarray(p["wx"].take(inputs.take(place), axis=0).T), ut @ before, before, np.empty_like(before))
+        hs.append(h.T)
         at.append(place)
         held += n
         if held >= window or t == len(active) - 1:
             where = np.concatenate(at)
-            out[where] = log_probs(p, np.concatenate(hs), cls[where], rank[where])
+            out[where] = log_probs(p, np.concatenate(hs), cls.take(where), rank.take(where))
             hs, at, held = [], [], 0
     return np.add.reduceat(out, np.cumsum(lens) - lens) if len(lens) else np.zeros(0)
 
 
-def step_state(p, x, h):
-    return step(p, x, h)[0]
-
-
-def gates(a: np.ndarray, g: np.ndarray, h: np.ndarray):
-    """As ``step`` with units in rows and streams in columns, so that each gate is one block of memory. Overwrites ``a``."""
+def gates(a: np.ndarray, g: np.ndarray, h: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """One step of the gated unit from the parts of its inputs and of its state, with units in rows and streams in columns, so
+    that each gate is one block of memory. Leaves the update gate, the reset gate and the candidate in ``a`` and the new state
+    in ``new``."""
     zr = a[: 2 * H]
     zr += g[: 2 * H]
     np.negative(zr, out=zr)
@@ -269,12 +255,26 @@ def gates(a: np.ndarray, g: np.ndarray, h: np.ndarray):
     zr += 1
     np.reciprocal(zr, out=zr)
     z, r, n = a[:H], a[H : 2 * H], a[2 * H :]
-    n += r * g[2 * H :]
+    n += np.multiply(r, g[2 * H :], out=new)
     np.tanh(n, out=n)
-    new = h - n
+    np.subtract(h, n, out=new)
     new *= z
     new += n
-    return new, z, r, n
+    return new
+
+
+def classes(v: np.ndarray) -> np.ndarray:
+    """The class weights of a parameter vector with their biases as the last row; they lie side by side in it."""
+    at = sum(int(np.prod(SHAPES[k])) for k in ("wx", "u"))
+    return v[at : at + (H + 1) * C].reshape(H + 1, C)
+
+
+def softmax_error(logit: np.ndarray, own: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The gradient of the weighted loss in the logits, ``own`` being the right column of each row."""
+    err, total, _ = exps(logit)
+    err *= (weight / total)[:, None]
+    err.reshape(-1)[np.arange(len(own)) * err.shape[1] + own] -= weight
+    return err
 
 
 def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, rate: float = 0.01):
@@ -282,6 +282,7 @@ def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, r
     first = np.zeros(len(ids), bool)
     first[np.cumsum(lens) - lens] = True
     inputs = np.where(first, START, np.concatenate(([START], ids[:-1]))).astype(np.uint16)
+    group, place = np.minimum(cls, GROUPS).astype(np.uint8), (rank % GROUP).astype(np.int64)
     streams = max(1, min(streams, len(ids) // (2 * span)))
     width = -(-len(ids) // streams)
     grid = np.minimum(np.arange(streams)[:, None] * width + np.arange(width), len(ids) - 1)
@@ -290,66 +291,78 @@ def train_replica(p, rank, cls, ids, lens, streams: int = 128, span: int = 16, r
     whole = flat(p)
     p, (m, v, grad) = views(whole), np.zeros((3, len(whole)), np.float32)
     g = views(grad)
+    # Biases are the last row of the weights: the state gets a column of ones.
+    wv, gv, rows = np.empty((GROUPS, H + 1, GROUP), np.float32), np.empty((GROUPS, H + 1, GROUP), np.float32), np.ones((streams * span, H + 1), np.float32)
+    befores, recurrents, news, backs = (np.empty((span, k * H, streams), np.float32) for k in (1, 3, 1, 4))
     for turn, lo in enumerate(range(0, width, span), 1):
         cols = grid[:, lo : lo + span].T
         steps = len(cols)
         use = real[:, lo : lo + span].T.astype(np.float32)
         where, weight = cols.ravel(), use.ravel() / max(use.sum(), 1)
-        fed, goes_on = inputs[where], (~first[cols]).astype(np.float32)
-        a = np.ascontiguousarray(p["wx"][fed].reshape(steps, streams, 3 * H).transpose(0, 2, 1))
-        ut, kept, states = np.ascontiguousarray(p["u"].T), [], np.empty((steps, H, streams), np.float32)
+        fed, goes_on = inputs.take(where), (~first.take(where)).astype(np.float32).reshape(steps, streams)
+        a = np.ascontiguousarray(p["wx"].take(fed, axis=0).reshape(steps, streams, 3 * H).transpose(0, 2, 1))
+        ut, before, recurrent, states = np.ascontiguousarray(p["u"].T), befores[:steps], recurrents[:steps], news[:steps]
         for t in range(steps):
-            h = h * goes_on[t]
-            recurrent = ut @ h
-            new, z, r, n = gates(a[t], recurrent, h)
-            kept.append((h, z, r, n, recurrent[2 * H :]))
-            states[t] = h = new
-        hs = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, H)
+            np.multiply(h, goes_on[t], out=before[t])
+            np.matmul(ut, before[t], out=recurrent[t])
+            h = gates(a[t], recurrent[t], before[t], states[t])
+        h = h.copy()
+        # Words sorted by learned group, those outside the learned groups last.
+        groups = group.take(where)
+        order = np.argsort(groups, kind="stable")
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(groups, minlength=GROUPS + 1)[:GROUPS]))).tolist()
+        groups, learned = [(k, bounds[k], bounds[k + 1]) for k in range(GROUPS) if bounds[k] < bounds[k + 1]], bounds[-1]
+        rows[: len(where)].reshape(steps, streams, H + 1)[:, :, :H] = states.transpose(0, 2, 1)
+        hs, where, weight = rows[: len(where)].take(order, axis=0), where.take(order), weight.take(order)
         grad[:] = 0
-        logit = hs @ p["wc"]
-        logit += p["bc"]
-        err, total, _ = exps(logit)
-        own = cls[where]
-        err *= (weight / total)[:, None]
-        err[np.arange(len(hs)), own] -= weight
-        g["wc"][:], g["bc"][:] = hs.T @ err, err.sum(axis=0)
+        err = softmax_error(hs @ classes(whole), cls.take(where), weight)
+        np.matmul(hs.T, err, out=classes(grad))
         dhs = err @ p["wc"].T
-        at, groups = by_group(own)
-        if len(at):
-            some = hs[at]
-            inner, total, _ = exps(inner_logits(p, some, groups))
-            share = weight[at]
-            inner *= (share / total)[:, None]
-            inner[np.arange(len(at)), rank[where[at]] % GROUP] -= share
-            back = np.empty_like(some)
+        if learned:
+            wv[:, :H], wv[:, H], gv[:] = p["wv"], p["bv"], 0
+            inner, back = np.empty((learned, GROUP), np.float32), np.empty((learned, H), np.float32)
+            for k, lo, hi in groups:
+                np.matmul(hs[lo:hi], wv[k], out=inner[lo:hi])
+            inner = softmax_error(inner, place.take(where[:learned]), weight[:learned])
             for k, lo, hi in groups:
-                np.matmul(some[lo:hi].T, inner[lo:hi], out=g["wv"][k])
+                np.matmul(hs[lo:hi].T, inner[lo:hi], out=gv[k])
                 np.matmul(inner[lo:hi], p["wv"][k].T, out=back[lo:hi])
-            g["bv"][[k for k, _, _ in groups]] = np.add.reduceat(inner, [lo for _, lo, _ in groups], axis=0)
-            dhs[at] += back
-        dhs, dh = np.ascontiguousarray(dhs.reshape(steps, streams, H).transpose(0, 2, 1)), np.zeros((H, streams), np.float32)
-        das, dgs = np.empty((2, steps, 3 * H, streams), np.float32)
+            g["wv"][:], g["bv"][:] = gv[:, :H], gv[:, H]
+            dhs[:learned] += back
+        unsorted = np.empty_like(order)
+        unsorted[order] = np.arange(len(order))
+        dhs, dh = np.ascontiguousarray(dhs.take(unsorted, axis=0).reshape(steps, streams, H).transpose(0, 2, 1)), np.zeros((H, streams), np.float32)
+        # The factors that do not depend on what flows back, for all steps at once.
+        z, r, n = a[:, :H], a[:, H : 2 * H], a[:, 2 * H :]
+        rest, dn = 1 - z, n * n
+        np.subtract(1, dn, out=dn)
+        dn *= rest
+        rest *= z
+        rest *= before - n
+        dr = 1 - r
+        dr *= r
+        dr *= recurrent[:, 2 * H :]
+        # Of each step: candidate, update gate, reset gate, the candidate's recurrent part. The first three belong to the inputs, the last three to the state.
+        das = backs[:steps]
         for t in range(steps - 1, -1, -1):
-            before, z, r, n, gn = kept[t]
             dh += dhs[t]
-            da, dg = das[t], dgs[t]
-            dn = da[2 * H :]
-            np.multiply(n, n, out=dn)
-            np.subtract(1, dn, out=dn)
-            dn *= dh * (1 - z)
-            np.multiply(dh * (before - n), z * (1 - z), out=da[:H])
-            np.multiply(dn * gn, r * (1 - r), out=da[H : 2 * H])
-            dg[: 2 * H] = da[: 2 * H]
-            np.multiply(dn, r, out=dg[2 * H :])
-            dh *= z
-            dh += p["u"] @ dg
+            da = das[t]
+            own = da[:H]
+            np.multiply(dh, dn[t], out=own)
+            np.multiply(dh, rest[t], out=da[H : 2 * H])
+            np.multiply(own, dr[t], out=da[2 * H : 3 * H])
+            np.multiply(own, r[t], out=da[3 * H :])
+            dh *= z[t]
+            dh += p["u"] @ da[H:]
             dh *= goes_on[t]
-        # Every step's share at once: inputs are sorted, so that those that occur several times are summed.
+        # Every step's share at once: inputs are sorted, so that those that occur several times are summed, two numbers at a time.
         order = np.argsort(fed, kind="stable")
-        fed = fed[order]
+        fed = fed.take(order)
         new = np.flatnonzero(np.concatenate(([True], fed[1:] != fed[:-1])))
-        g["wx"][fed[new]] = np.add.reduceat(np.take(das.transpose(0, 2, 1).reshape(-1, 3 * H), order, axis=0), new, axis=0)
-        g["u"][:] = np.stack([k[0] for k in kept], axis=1).reshape(H, -1) @ np.ascontiguousarray(dgs.transpose(0, 2, 1)).reshape(-1, 3 * H)
+        share = np.take(das[:, : 3 * H].transpose(0, 2, 1).reshape(-1, 3 * H), order, axis=0)
+        share = np.add.reduceat(share.view(np.complex64), new, axis=0).view(np.float32)
+        g["wx"][fed[new]] = np.concatenate((share[:, H:], share[:, :H]), axis=1)
+        g["u"][:] = np.matmul(before, das[:, H:].transpose(0, 2, 1)).sum(axis=0)
         norm = float(np.sqrt(grad @ grad))
         grad *= np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         m *= np.float32(0.9)
