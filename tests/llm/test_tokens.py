@@ -160,6 +160,36 @@ def test_wavelet_lookups_read_only_a_part():
     assert (shard.tokens(100, 700) == ids[100:700]).all()
 
 
+def test_wavelet_ranges_cost_ranks_by_prefix_not_by_token(monkeypatch):
+    rng = np.random.default_rng(5)
+    for ids in (zipf_shard(200_000)[0], rng.integers(0, 1 << 16, 70_000).astype(np.uint16), np.full(66_000, 49_151, np.uint16), np.arange(65_536).astype(np.uint16)):
+        n = len(ids)
+        shard = wavelet.Shard(wavelet.dump([1], np.array([n]), ids))
+        for lo, hi in ((0, n), (0, 0), (n, n), (7, 8), (511, 513), *np.sort(rng.integers(0, n + 1, (20, 2))).tolist()):
+            got = shard.tokens(lo, hi)
+            assert got.dtype == np.uint16 and (got == ids[lo:hi]).all()
+    ids, raw = zipf_shard(200_000)
+    shard = wavelet.Shard(raw)
+    shard.tokens(0, 1)  # reads the planes
+    counted, count = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: counted.append(np.size(x)) or count(x))
+    assert (shard.tokens(1000, 190_000) == ids[1000:190_000]).all()
+    prefixes = sum(len(np.unique(ids[1000:190_000] >> (wavelet.LEVELS - k))) for k in range(wavelet.LEVELS))
+    assert len(counted) == wavelet.LEVELS and sum(counted) == 2 * prefixes < 189_000
+
+
+def test_wavelet_build_in_steps():
+    ids, _ = zipf_shard(5000)
+    for step in (1, 7, 4999, 5000, 5001):
+        for (zeros, plane), (z, p) in zip(wavelet.build(ids), wavelet.build(ids, step), strict=True):
+            assert zeros == z and (plane == p).all()
+    cur = ids
+    for level, (zeros, plane) in enumerate(wavelet.build(ids)):
+        bit = cur >> (wavelet.LEVELS - 1 - level) & 1
+        assert zeros == (bit == 0).sum() and (np.unpackbits(plane, bitorder="little")[: len(ids)] == bit).all()
+        cur = np.concatenate((cur[bit == 0], cur[bit == 1]))
+
+
 def test_occurrences_over_all_shards(spark, documents, by_id, library):
     manifest = wavelet.write_shards(documents, Workspace(spark, "t"), shard_tokens=5000)
     rows = sorted([*by_id.items(), (0, by_id[0])], key=lambda r: r[0])

@@ -5,7 +5,9 @@ bit to the lowest, the rank directory of each bit-plane (ones before each block
 of ``PIECE`` bytes. The header tells where every frame lies, so a token, a count or an occurrence is answered from the
 directories and the pieces that hold the bits asked for; the rest of the file is neither read nor decompressed.
 
-Reading back a range of tokens follows all its positions down the levels at once, by rank; the query gets its documents so.
+Reading back a range of tokens follows it down the levels as the intervals it takes there, one for each prefix of ids that
+occurs in it, by the ranks of their two ends; the bits in the intervals then put the ids in order. The query gets its
+documents so.
 
 Defined cases: null texts are empty (their end id alone); null doc_ids come first; rows that share a doc_id are ordered by
 text; extra columns are never read; an empty table gives no shard and no rows.
@@ -30,14 +32,20 @@ MAGIC, LEVELS = b"WVMX0002", 16
 PIECE, BLOCK = 1 << 15, 64  # bytes of a compressed piece of a plane; bytes of a block of the rank directory
 
 
-def build(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(zeros, packed bits) per level, highest bit first."""
+def build(ids: np.ndarray, step: int = 1 << 16) -> list[tuple[int, np.ndarray]]:
+    """(zeros, packed bits) per level, highest bit first. A level is dealt out in steps that stay in the processor's cache."""
     planes, cur = [], ids.astype(np.uint16)
     for level in range(LEVELS):
         bit = (cur & np.uint16(1 << (LEVELS - 1 - level))) != 0
-        ones = cur[bit]
-        planes.append((len(cur) - len(ones), np.packbits(bit, bitorder="little")))
-        cur = np.concatenate((cur[~bit], ones))
+        a, b = 0, len(cur) - int(np.count_nonzero(bit))
+        planes.append((b, np.packbits(bit, bitorder="little")))
+        down = np.empty_like(cur)
+        for k in range(0, len(cur), step):
+            some, one = cur[k : k + step], bit[k : k + step]
+            zeros, ones = np.flatnonzero(~one), np.flatnonzero(one)  # places: numpy takes by them faster than by a mask
+            down[a : a + len(zeros)], down[b : b + len(ones)] = some[zeros], some[ones]
+            a, b = a + len(zeros), b + len(ones)
+        cur = down
     return planes
 
 
@@ -47,6 +55,15 @@ def directory(plane: np.ndarray) -> np.ndarray:
     return np.concatenate((np.zeros(1, np.uint32), np.cumsum(ones, dtype=np.uint32)))
 
 
+def _within(bits: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bits of all intervals, one after the other."""
+    size = ends - starts
+    total = int(size.sum())
+    if 64 * len(size) < total:  # long intervals: slices
+        return np.concatenate([bits[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return bits[np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(total)]
+
+
 def dump(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     planes = build(ids)
     press = zstandard.ZstdCompressor(level=1).compress
@@ -81,7 +98,7 @@ class Shard:
         self.lengths = np.frombuffer(self._frame(2), np.int64)
         self._ranks: dict[int, np.ndarray] = {}
         self._held: dict[tuple[int, int], bytes] = {}
-        self._whole: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self._whole: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def _frame(self, k: int) -> bytes:
         return zstandard.ZstdDecompressor().decompress(self.read(int(self.places[k]), self.sizes[k]))
@@ -99,28 +116,41 @@ class Shard:
             self._held[level, k] = self._frame(self._first(level) + 1 + k)
         return self._held[level, k]
 
-    def _plane(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """A plane as words of 64 bits and the ones before each word: what many positions at once are looked up in."""
+    def _plane(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A plane's bits, its words of 64 bits and the ones before each word: what many positions at once are looked up in."""
         if level not in self._whole:
             raw = b"".join(self._piece(level, k) for k in range(self.pieces))
-            words = np.frombuffer(raw.ljust((len(raw) // 8 + 1) * 8, b"\0"), np.uint64) if raw else np.zeros(1, np.uint64)
-            before = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bitwise_count(words), dtype=np.int64)))
-            self._whole[level] = words, before
+            words = np.frombuffer(raw.ljust((len(raw) // BLOCK + 1) * BLOCK, b"\0"), np.uint64).reshape(-1, BLOCK // 8)
+            ones = np.bitwise_count(words)
+            before = self._directory(level)[: len(words), None] + np.cumsum(ones, axis=1, dtype=np.int64) - ones
+            bits = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").view(bool)
+            self._whole[level] = bits, words.ravel(), before.ravel()
         return self._whole[level]
 
     def tokens(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
-        """The tokens at positions [lo, hi), followed down the levels by rank all together."""
-        at = np.arange(lo, self.n if hi is None else hi, dtype=np.int64)
-        out = np.zeros(len(at), np.uint16)
+        """The tokens at positions [lo, hi): the range's intervals of every level by rank, then its bits from the last level up."""
+        starts, ends = np.array([lo], np.int64), np.array([self.n if hi is None else hi], np.int64)
+        if ends[0] <= lo:
+            return np.zeros(0, np.uint16)
+        values, inside = np.zeros(1, np.uint16), []
         for level in range(LEVELS):
-            words, before = self._plane(level)
+            bits, words, before = self._plane(level)
+            inside.append(_within(bits, starts, ends))
+            at = np.concatenate((starts, ends))
             place, rest = at >> 6, (at & 63).astype(np.uint64)
-            word = words[place]
-            bit = (word >> rest) & np.uint64(1)
-            ones = before[place] + np.bitwise_count(word & ((np.uint64(1) << rest) - np.uint64(1)))
-            bit = bit.astype(bool)
-            at = np.where(bit, self.zeros[level] + ones, at - ones)
-            out |= bit.astype(np.uint16) << np.uint16(LEVELS - 1 - level)
+            ones = before[place] + np.bitwise_count(words[place] & ((np.uint64(1) << rest) - np.uint64(1)))
+            a, b = ones[: len(starts)], ones[len(starts) :]
+            zero, one = np.flatnonzero(ends - b > starts - a), np.flatnonzero(b > a)
+            starts = np.concatenate(((starts - a)[zero], self.zeros[level] + a[one]))
+            ends = np.concatenate(((ends - b)[zero], self.zeros[level] + b[one]))
+            values = np.concatenate((values[zero], values[one] | np.uint16(1 << (LEVELS - 1 - level))))
+        out = np.repeat(values, ends - starts)
+        while inside:
+            bit = inside.pop()
+            zeros, ones = np.flatnonzero(~bit), np.flatnonzero(bit)
+            up = np.empty_like(out)
+            up[zeros], up[ones] = out[: len(zeros)], out[len(zeros) :]
+            out = up
         return out
 
     def all_tokens(self) -> np.ndarray:
