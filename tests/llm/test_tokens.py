@@ -115,6 +115,32 @@ def test_word_bpe_equals_the_library(library):
         assert ids[ends[k] - per[k] : ends[k]].tolist() == ids_of(library, t)[:-1], t
 
 
+def test_known_pieces_are_looked_up_without_sorting(monkeypatch):
+    rng = np.random.default_rng(9)
+    raw = bytes(range(256)) * 4
+    cache = PieceCache(lambda ps: (np.concatenate([np.frombuffer(p, np.uint8) for p in ps]).astype(np.uint16), np.array([len(p) for p in ps])), most=300_000)
+    hashes = np.unique(np.concatenate((rng.integers(0, 1 << 63, 50_000, np.uint64), np.arange(2000, dtype=np.uint64) << np.uint64(40), np.arange(500, dtype=np.uint64))))
+    starts = rng.integers(0, 1000, len(hashes))
+    ends = starts + 1 + rng.integers(0, 9, len(hashes))
+
+    def ask(which):
+        got, lens = cache.tokens(raw, [hashes[which], ~hashes[which]], starts[which], ends[which])
+        assert (lens == (ends - starts)[which]).all()
+        assert got.tolist() == [x for k in which.tolist() for x in raw[starts[k] : ends[k]]]
+
+    for _ in range(4):  # grows more than once; many hashes want one slot
+        ask(rng.integers(0, len(hashes), 20_000))
+    ask(np.arange(len(hashes)))
+    assert cache.n == len(hashes)  # each was encoded once
+    sorts, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda x, **k: sorts.append(len(x)) or unique(x, **k))
+    ask(rng.integers(0, len(hashes), 20_000))
+    assert not sorts and cache.n == len(hashes)
+    cache.most = 10_000  # starts anew
+    ask(np.arange(9000, -1, -1))
+    assert cache.n == 9001
+
+
 def zipf_shard(n, seed=2):
     ids = np.minimum(np.random.default_rng(seed).zipf(1.4, n), 49000).astype(np.uint16)
     return ids, wavelet.dump([3, None], np.array([n - n // 2, n // 2]), ids)
@@ -178,6 +204,40 @@ def test_wavelet_ranges_cost_ranks_by_prefix_not_by_token(monkeypatch):
     assert len(counted) == wavelet.LEVELS and sum(counted) == 2 * prefixes < 189_000
 
 
+def test_wavelet_reader_takes_a_shard_in_one_run(tmp_path, monkeypatch):
+    ids, _ = zipf_shard(600_000)
+    per = np.array([250_000, 0, 1, 349_999])
+    (tmp_path / "a.wvm").write_bytes(wavelet.dump([4, 7, None, 9], per, ids))
+    runs, shared, within, tokens = [], [], wavelet._within, wavelet.Shard.tokens
+
+    def watched(bits, *at):
+        got = within(bits, *at)
+        shared.append(np.shares_memory(got, bits))
+        return got
+
+    monkeypatch.setattr(wavelet.Shard, "tokens", lambda self, lo, hi: runs.append((lo, hi)) or tokens(self, lo, hi))
+    monkeypatch.setattr(wavelet, "_within", watched)
+    batch = pa.RecordBatch.from_pydict({"uri": [f"file://{tmp_path}/a.wvm"], "base": [10]})
+    (got,) = wavelet._reader([batch])
+    assert runs == [(0, 600_000)] and shared == [True] * wavelet.LEVELS  # every level whole, none copied
+    ends = np.cumsum(per)
+    want = [(d, 10 + e - n, n, crc(ids[e - n : e])) for d, e, n in zip([4, 7, None, 9], ends.tolist(), per.tolist())]
+    assert [tuple(r.values()) for r in got.to_pylist()] == want
+    runs.clear()
+    (got,) = wavelet._reader([batch], 100_000)
+    assert len(runs) > 1 and all(hi - lo < 600_000 for lo, hi in runs)
+
+
+def test_wavelet_deal_and_back_in_steps():
+    rng = np.random.default_rng(8)
+    for n in (1, 7, 64, 5000):
+        for bit in (np.zeros(n, bool), np.ones(n, bool), rng.random(n) < 0.3):
+            values = rng.integers(0, 1 << 16, n).astype(np.uint16)
+            down = np.concatenate((values[~bit], values[bit]))
+            for step in (1, 7, 4999, 5000, 1 << 15):
+                assert (wavelet._undeal(bit, down, step) == values).all()
+
+
 def test_wavelet_build_in_steps():
     ids, _ = zipf_shard(5000)
     for step in (1, 7, 4999, 5000, 5001):

@@ -1,7 +1,7 @@
 """A bounded per-process cache from byte pieces to token ids, looked up and assembled with array operations.
 
-A piece is known by two independent 64-bit hashes: the first finds its place, the second must agree with the one kept there.
-A span whose second hash differs is encoded by itself.
+A piece is known by two independent 64-bit hashes: the first finds its place, by an open table with linear probing, the
+second must agree with the one kept there. A span whose second hash differs is encoded by itself.
 """
 
 from __future__ import annotations
@@ -11,12 +11,6 @@ from collections.abc import Callable
 import numpy as np
 
 
-def _merge(k1, v1, k2, v2):
-    keys, values = np.concatenate((k1, k2)), np.concatenate((v1, v2))
-    order = np.argsort(keys, kind="stable")
-    return keys[order], values[order]
-
-
 class PieceCache:
     """``encode``: pieces (bytes) to (ids of all in order, number of ids of each). At ``most`` pieces it starts anew."""
 
@@ -25,18 +19,40 @@ class PieceCache:
         self._clear()
 
     def _clear(self) -> None:
-        none_k, none_v = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.old, self.new = (none_k, none_v), (none_k, none_v)
+        self._table(1 << 16)
         self.ids, self.used = np.zeros(1 << 16, self.kind), 0
         self.starts, self.lens, self.check, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.uint64), 0
 
-    @staticmethod
-    def _find(level, u: np.ndarray) -> np.ndarray:
-        keys, values = level
-        if not len(keys):
-            return np.full(len(u), -1, np.int64)
-        at = np.minimum(np.searchsorted(keys, u), len(keys) - 1)
-        return np.where(keys[at] == u, values[at], -1)
+    def _table(self, slots: int) -> None:
+        self.slots, self.keys, self.places, self.held = slots, np.zeros(slots, np.uint64), np.full(slots, -1, np.int32), 0
+
+    def _find(self, u: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 for one that is not kept."""
+        at = (u & np.uint64(self.slots - 1)).view(np.int64)
+        found = self.places[at]
+        left = ((found >= 0) & (self.keys[at] != u)).nonzero()[0]  # another hash is there: on to the next slots
+        at = at[left]
+        while len(left):
+            at = (at + 1) & (self.slots - 1)
+            found[left] = self.places[at]
+            other = ((found[left] >= 0) & (self.keys[at] != u[left])).nonzero()[0]
+            left, at = left[other], at[other]
+        return found
+
+    def _keep(self, u: np.ndarray, place: np.ndarray) -> None:
+        """Takes up distinct hashes that are not kept yet, with their distinct places."""
+        if 2 * (self.held + len(u)) > self.slots:
+            used = self.places >= 0
+            u, place = np.concatenate((self.keys[used], u)), np.concatenate((self.places[used], place))
+            self._table(1 << (4 * len(u) - 1).bit_length())
+        self.held += len(u)
+        at, place = (u & np.uint64(self.slots - 1)).view(np.int64), place.astype(np.int32)
+        while len(u):
+            free = self.places[at] < 0
+            self.places[at[free]] = place[free]
+            lost = self.places[at] != place  # taken before, or by another of these
+            self.keys[at[~lost]] = u[~lost]
+            u, place, at = u[lost], place[lost], (at[lost] + 1) & (self.slots - 1)
 
     def _add(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, check: np.ndarray) -> np.ndarray:
         ids, lens = self.encode([raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
@@ -59,19 +75,14 @@ class PieceCache:
             return np.zeros(0, self.kind), np.zeros(0, np.int64)
         if self.n > self.most:
             self._clear()
-        u, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        place = self._find(self.old, u)
-        miss = np.flatnonzero(place < 0)
-        place[miss] = self._find(self.new, u[miss])
-        miss = np.flatnonzero(place < 0)
+        place = self._find(hashes)
+        miss = (place < 0).nonzero()[0]
         if len(miss):
-            at = first[miss]
-            place[miss] = self._add(raw, starts[at], ends[at], check[at])
-            self.new = _merge(*self.new, u[miss], place[miss])
-            if len(self.new[0]) > max(1 << 16, len(self.old[0]) // 4):
-                self.old = _merge(*self.old, *self.new)
-                self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        place = place[back]
+            u, first, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            at = miss[first]
+            new = self._add(raw, starts[at], ends[at], check[at])
+            self._keep(u, new)
+            place[miss] = new[back]
         other = np.flatnonzero(self.check[place] != check)
         if len(other):
             place[other] = self._add(raw, starts[other], ends[other], check[other])

@@ -30,9 +30,15 @@ from tierflow.llm.word_bpe import encoder, vocabulary, with_end
 
 MAGIC, LEVELS = b"WVMX0002", 16
 PIECE, BLOCK = 1 << 15, 64  # bytes of a compressed piece of a plane; bytes of a block of the rank directory
+STEP = 1 << 15  # tokens of a level that are moved at once
 
 
-def build(ids: np.ndarray, step: int = 1 << 16) -> list[tuple[int, np.ndarray]]:
+def _places(bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of zeros and of ones: numpy takes and puts by them faster than by a mask."""
+    return (~bit).nonzero()[0], bit.nonzero()[0]
+
+
+def build(ids: np.ndarray, step: int = STEP) -> list[tuple[int, np.ndarray]]:
     """(zeros, packed bits) per level, highest bit first. A level is dealt out in steps that stay in the processor's cache."""
     planes, cur = [], ids.astype(np.uint16)
     for level in range(LEVELS):
@@ -41,14 +47,24 @@ def build(ids: np.ndarray, step: int = 1 << 16) -> list[tuple[int, np.ndarray]]:
         planes.append((b, np.packbits(bit, bitorder="little")))
         down = np.empty_like(cur)
         for k in range(0, len(cur), step):
-            some, one = cur[k : k + step], bit[k : k + step]
-            zeros, ones = np.flatnonzero(~one), np.flatnonzero(one)  # places: numpy takes by them faster than by a mask
-            down[a : a + len(zeros)], down[b : b + len(ones)] = some[zeros], some[ones]
+            some, (zeros, ones) = cur[k : k + step], _places(bit[k : k + step])
+            some.take(zeros, out=down[a : a + len(zeros)], mode="clip")  # no place is outside; only this mode needs no copy of ``out``
+            some.take(ones, out=down[b : b + len(ones)], mode="clip")
             a, b = a + len(zeros), b + len(ones)
         cur = down
     return planes
 
 
+def _undeal(bit: np.ndarray, down: np.ndarray, step: int = STEP) -> np.ndarray:
+    """What ``build`` dealt out by ``bit`` (zeros first), in its order again; both halves are read in steps, front to back."""
+    up, a, b = np.empty_like(down), 0, len(down) - int(np.count_nonzero(bit))
+    for k in range(0, len(down), step):
+        some, (zeros, ones) = up[k : k + step], _places(bit[k : k + step])
+        some[zeros], some[ones] = down[a : a + len(zeros)], down[b : b + len(ones)]
+        a, b = a + len(zeros), b + len(ones)
+    return up
+
+
 def directory(plane: np.ndarray) -> np.ndarray:
     """Ones before each block of a plane, and in all."""
     ones = np.bitwise_count(np.pad(plane, (0, -len(plane) % BLOCK))).reshape(-1, BLOCK).sum(axis=1, dtype=np.uint32)
@@ -57,6 +73,8 @@ def directory(plane: np.ndarray) -> np.ndarray:
 
 def _within(bits: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The bits of all intervals, one after the other."""
+    if (starts[1:] == ends[:-1]).all():  # one stretch: all of a shard takes a level whole
+        return bits[starts[0] : ends[-1]]
     size = ends - starts
     total = int(size.sum())
     if 64 * len(size) < total:  # long intervals: slices
@@ -146,11 +164,7 @@ class Shard:
             values = np.concatenate((values[zero], values[one] | np.uint16(1 << (LEVELS - 1 - level))))
         out = np.repeat(values, ends - starts)
         while inside:
-            bit = inside.pop()
-            zeros, ones = np.flatnonzero(~bit), np.flatnonzero(bit)
-            up = np.empty_like(out)
-            up[zeros], up[ones] = out[: len(zeros)], out[len(zeros) :]
-            out = up
+            out = _undeal(inside.pop(), out)
         return out
 
     def all_tokens(self) -> np.ndarray:
@@ -249,8 +263,8 @@ def open_shard(file) -> Shard:
     return Shard(read)
 
 
-def _reader(batches, run: int = 1 << 18):
-    """Documents are read back in runs of about ``run`` tokens."""
+def _reader(batches, run: int = 1 << 22):
+    """Documents are read back in runs of about ``run`` tokens: a usual shard in one, whose ranks and stretches are the fewest."""
     for batch in batches:
         for uri, base in zip(batch.column("uri").to_pylist(), batch.column("base").to_pylist(), strict=True):
             fs, path = filesystem(uri)

@@ -15,28 +15,30 @@ import numpy as np
 from tierflow.llm.piececache import PieceCache
 from tierflow.llm.textscan import SPACES, lowered, span_keys
 
-_MARK = np.zeros(256, bool)
-_MARK[list(b".,!?;:*$%&#()-")] = True
-_ALPHA = np.zeros(256, bool)
-_ALPHA[[*range(65, 91), *range(97, 123)]] = True
+_WORD, _MARK, _ALPHA = 1, 2, 4  # classes of bytes, looked up in one pass
+_CLASS = np.where(SPACES, 0, _WORD).astype(np.uint8)
+_CLASS[list(b".,!?;:*$%&#()-")] |= _MARK
+_CLASS[[*range(65, 91), *range(97, 123)]] |= _ALPHA
+_CLASSES = _CLASS.tobytes()
 
 
 def units(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, units per row)."""
     n = len(b)
-    word = np.empty(n + 2, bool)
-    word[0] = word[-1] = False
-    np.logical_not(SPACES[b], out=word[1:-1])
+    kinds = np.frombuffer(b.tobytes().translate(_CLASSES), np.uint8)
+    word = np.zeros(n + 2, bool)
+    np.not_equal(kinds, 0, out=word[1:-1])
     cut = np.zeros(n + 1, bool)
     if n > 1:
-        mark, letter = _MARK[b], _ALPHA[b]
+        mark, letter = (kinds & _MARK) != 0, (kinds & _ALPHA) != 0
         latin = np.zeros(n, bool)  # last byte of U+00C0 to U+023F without two signs and the one that gives two in lower case
         lead, last = b[:-1], b[1:]
         latin[1:] = (lead >= 0xC3) & (lead <= 0xC8) & (last >= 0x80) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7))) & ~((lead == 0xC4) & (last == 0xB0))
         cut[1:-1] = ((letter | latin)[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
     cut[offs] = True
-    starts = np.flatnonzero(word[1:-1] & (cut[:-1] | ~word[:-2]))
-    ends = np.flatnonzero(word[1:-1] & (cut[1:] | ~word[2:])) + 1
+    cut |= word[1:] != word[:-1]
+    starts = np.flatnonzero(word[1:-1] & cut[:-1])
+    ends = np.flatnonzero(word[1:-1] & cut[1:]) + 1
     return starts, ends, np.diff(np.searchsorted(starts, offs))
 
 
@@ -65,7 +67,9 @@ class WordEncoder:
         out: list = [None] * len(texts)
         model, other = self.tokenizer.model.tokenize, []
         for k, x in enumerate(texts):
-            if x.isalpha() and max(x) <= "\xff":  # one word without normal forms to make: straight to the merges
+            if pieces[k].isalpha():  # ASCII letters stand for their own bytes
+                out[k] = [y.id for y in model(x.lower())]
+            elif x.isalpha() and max(x) <= "\xff":  # one word without normal forms to make: straight to the merges
                 out[k] = [y.id for y in model(x.lower().encode().decode("latin-1").translate(_BYTES))]
             else:
                 other.append(k)
